@@ -1,0 +1,18 @@
+"""The corpus pipeline: stages over `documents`, each written and read again."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = []
+
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order, applied to the documents table."""
+    raise NotImplementedError
