@@ -6,23 +6,68 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontam import CONTAMINATION_SQL, contamination_digest
+from .langid import predict_languages
+from .media import media_digest
 from .neardup import near_duplicates
+from .quality import quality
+from .toxicity import toxicity
+from .urlfilter import URL_SQL, url_verdicts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores of all documents."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text stored as WAV samples, and of its spectral fingerprint."""
+    return media_digest(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of documents on four-word shingles at 0.8."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the standing rules on every page url."""
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_classifier,
+        op2_media_columns,
+        op3_toxicity,
+        op4_benchmark_decontamination,
         op5_minhash_near_dedup,
+        op9_language_id,
+        op10_url_filters,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_benchmark_decontamination": CONTAMINATION_SQL,
+    "op10_url_filters": URL_SQL,
+}
