@@ -44,3 +44,7 @@ class Scratch:
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             remove(self.spark, table._docpipe_path)
+
+    def clear(self) -> None:
+        """Remove all tables of this run."""
+        remove(self.spark, self.path)

@@ -3,10 +3,10 @@
 Words that differ most between toxic and other labelled documents (chi-square)
 and all identity terms are the features. For every labelled sentence with an
 identity term, a counterfactual is made by swapping the term for another of its
-group; the squared change of the document's score under the swap is penalised, so
+group; the squared change of the document's logit under the swap is penalised, so
 the weight of a mention goes to what its group has in common and neutral mentions
-are not punished. Data term and penalty are quadratic: partitions sum their share
-of the normal equations and the driver solves one small system. Rows the fit did
+are not punished. Each Newton step of the logistic fit sums the partitions' shares
+of the gradient and Hessian, and the driver solves one small system. Rows the fit did
 not use calibrate scores by isotonic regression.
 
 Defined cases: null and empty texts have no features and get that score; a null
@@ -31,9 +31,12 @@ from ._store import Scratch
 
 SUM_PARTITIONS = 8
 BINS = 400
+REACH = 10.0  # margins beyond are calibrated as this one
+NEWTON_STEPS = 10
 FEATURES = 400  # selected words; identity terms come on top
 LEAST_CHI = 25.0
-LEAST_DOCS = 5
+LEAST_DOCS = 3
+STEMS = (4, 5)
 
 # Groups of identity terms that are swapped for each other.
 IDENTITY_GROUPS = (
@@ -61,6 +64,11 @@ def words_of(text: bytes) -> set[bytes]:
     return set(text.translate(X.ALNUM_FOLD).split())
 
 
+def features_of(words: set[bytes]) -> set[bytes]:
+    """The words, and their stems as first bytes (inflected languages) marked with a star."""
+    return words.union(*({w[:k] + b"*" for w in words if len(w) > k} for k in STEMS))
+
+
 def swapped_words(text: bytes, terms: dict[bytes, bytes]) -> set[bytes]:
     """The words after the identity terms of each sentence are swapped."""
     out: set[bytes] = set()
@@ -69,6 +77,10 @@ def swapped_words(text: bytes, terms: dict[bytes, bytes]) -> set[bytes]:
     return out
 
 
+def bin_of(margin: float) -> int:
+    return min(BINS - 1, max(0, int((margin + REACH) / (2 * REACH) * BINS)))
+
+
 @dataclass
 class ToxicityModel:
     index: dict[bytes, int] = field(default_factory=dict)
@@ -77,12 +89,6 @@ class ToxicityModel:
     values: np.ndarray = field(default_factory=lambda: np.zeros(0))
     constant: float | None = None
 
-    def vector(self, words: set[bytes]) -> np.ndarray:
-        x = np.zeros(len(self.index) + 1)
-        x[[self.index[w] for w in self.index.keys() & words]] = 1
-        x[-1] = 1
-        return x
-
     def margin(self, words: set[bytes]) -> float:
         found = sorted(self.index[w] for w in self.index.keys() & words)
         return float(self.weights[found].sum() + self.weights[-1])
@@ -90,21 +96,42 @@ class ToxicityModel:
     def score(self, text: bytes) -> float:
         if self.constant is not None:
             return self.constant
-        return float(np.clip(np.interp(self.margin(words_of(text)), self.knots, self.values), 0, 1))
+        return float(np.clip(np.interp(self.margin(features_of(words_of(text))), self.knots, self.values), 0, 1))
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in X.slices(batches, "text"):
-        found = [[w.decode() for w in words_of(t)] for t in X.text_bytes(batch.column("text"))]
+        found = [[w.decode("latin-1") for w in features_of(words_of(t))] for t in X.text_bytes(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.string()))], names=["y", "words"])
 
 
+def _coded_rows(index: dict[bytes, int], terms: dict[bytes, bytes]):
+    """Feature numbers of each text and, if it has identity terms, of its counterfactual; the last number is the constant."""
+
+    def code(words: set[bytes]) -> list[int]:
+        return [*sorted(index[w] for w in index.keys() & features_of(words)), len(index)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in X.slices(batches, "text"):
+            at, other = [], []
+            for text in X.text_bytes(batch.column("text")):
+                words = words_of(text)
+                at.append(code(words))
+                other.append(code(swapped_words(text, terms)) if terms.keys() & words else None)
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("y"), batch.column("late"), pa.array(at, ints), pa.array(other, ints)], names=["y", "late", "at", "other"]
+            )
+
+    return run
+
+
 def _sum_rows(build):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for y, text in zip(batch.column("y").to_pylist(), X.text_bytes(batch.column("text"))):
-                total = build(total, y, text)
+            for y, at, other in zip(*(batch.column(c).to_pylist() for c in ("y", "at", "other"))):
+                total = build(total, y, at, other)
         if total is not None:
             yield pa.RecordBatch.from_arrays([X.list_array(total.ravel(), np.array([0, total.size]), pa.float64())], names=["total"])
 
@@ -137,50 +164,62 @@ def fit_toxicity(
         expected = F.col("docs") * F.lit(bad / n)
         chi = (F.col("bad") - expected) ** 2 / expected + (F.col("bad") - expected) ** 2 / (F.col("docs") - expected)
         best = seen.where(F.col("docs") >= LEAST_DOCS).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
-        chosen = [r.word.encode() for r in best.orderBy(F.desc("chi"), "word").limit(FEATURES).collect()]
+        chosen = [r.word.encode("latin-1") for r in best.orderBy(F.desc("chi"), "word").limit(FEATURES).collect()]
         terms = swaps(groups)
         model = ToxicityModel({w: i for i, w in enumerate(dict.fromkeys([*chosen, *terms]))})
         d = len(model.index) + 1
-        # Toxic rows are weighted so that both kinds count alike.
-        weight = {0: n / (2 * (n - bad)), 1: n / (2 * bad)}
-
-        def equations(total, y: int, text: bytes):
-            if total is None:
-                total = np.zeros((d, d + 1))
-            words = words_of(text)
-            at = np.array([*(model.index[w] for w in model.index.keys() & words), d - 1])
-            total[np.ix_(at, at)] += weight[y]
-            total[at, d] += weight[y] * y
-            if terms.keys() & words:
-                change = model.vector(words) - model.vector(swapped_words(text, terms))
-                at = np.flatnonzero(change)
-                total[np.ix_(at, at)] += penalty * weight[y] * np.outer(change[at], change[at])
-            return total
-
-        system = _summed(early, equations).reshape(d, d + 1)
-        regular = np.eye(d) * ridge
-        regular[-1, -1] = 1e-6
-        model.weights = np.linalg.solve(system[:, :d] + regular, system[:, d])
-
-        def binned(total, y: int, text: bytes):
+        coded = scratch.save(
+            train.select("y", "late", "text").mapInArrow(_coded_rows(model.index, terms), "y int, late boolean, at array<int>, other array<int>")
+        )
+        early, late = coded.where("not late"), coded.where("late")
+        model.weights = np.zeros(d)
+        model.weights[-1] = np.log(bad / (n - bad))
+        for _ in range(NEWTON_STEPS):
+            current = model.weights
+
+            def equations(total, y: int, at: list[int], other: list[int] | None, current=current):
+                """Gradient and Hessian of the log loss and of the counterfactual penalty."""
+                if total is None:
+                    total = np.zeros((d, d + 1))
+                margin = current[at].sum()
+                p = 1 / (1 + np.exp(-margin))
+                total[np.ix_(at, at)] += p * (1 - p)
+                total[at, d] += p - y
+                if other is not None:
+                    gone, new = [i for i in at if i not in other], [i for i in other if i not in at]
+                    change = np.concatenate([np.ones(len(gone)), -np.ones(len(new))])
+                    both = [*gone, *new]
+                    total[np.ix_(both, both)] += penalty * np.outer(change, change)
+                    total[both, d] += penalty * change * (margin - current[other].sum())
+                return total
+
+            system = _summed(early, equations).reshape(d, d + 1)
+            regular = np.eye(d) * ridge
+            regular[-1, -1] = 1e-6
+            move = np.linalg.solve(system[:, :d] + regular, system[:, d] + np.diag(regular) * current)
+            model.weights = current - move
+            if np.abs(move).max() < 1e-3:
+                break
+
+        def binned(total, y: int, at: list[int], other: list[int] | None):
             if total is None:
                 total = np.zeros((2, BINS))
-            at = min(BINS - 1, max(0, int((model.margin(words_of(text)) + 0.5) * (BINS / 2))))
-            total[0, at] += 1
-            total[1, at] += y
+            place = bin_of(model.weights[at].sum())
+            total[0, place] += 1
+            total[1, place] += y
             return total
 
         bins = _summed(late, binned)
         bins = _summed(early, binned) if bins is None else bins
         count, toxic = bins.reshape(2, BINS)
-        middle = (np.arange(BINS) + 0.5) / (BINS / 2) - 0.5
+        middle = (np.arange(BINS) + 0.5) / BINS * 2 * REACH - REACH
         x = np.concatenate([[middle[0]], middle, [middle[-1]]])
         w = np.concatenate([[0.5], count, [0.5]])
         y = np.concatenate([[0.0], toxic / np.maximum(count, 1), [1.0]])
         model.knots, model.values = isotonic(x, y, w)
         return model
     finally:
-        scratch.drop(train)
+        scratch.clear()
 
 
 def _score_rows(shared, threshold: float):
