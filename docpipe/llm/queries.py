@@ -10,6 +10,7 @@ from .decontam import CONTAMINATION_SQL, contamination_digest
 from .langid import predict_languages
 from .media import media_digest
 from .neardup import near_duplicates
+from .packing import pack_documents
 from .quality import quality
 from .toxicity import toxicity
 from .urlfilter import URL_SQL, url_verdicts
@@ -44,6 +45,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary files are; a parameter of the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces in sequences of at most 2048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return predict_languages(table(spark, sf_dir, "documents"))
@@ -62,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_benchmark_decontamination,
         op5_minhash_near_dedup,
+        op6_best_fit_packing,
         op9_language_id,
         op10_url_filters,
     )
