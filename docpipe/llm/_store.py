@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The shuffle files of a written table are not needed once it is written.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; one of our own only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,7 +40,12 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.path}/{self.count}"
-        df.write.parquet(path)
+        held = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, held)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._docpipe_path = path
         return out

@@ -12,6 +12,8 @@ from .media import media_digest
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import quality
+from .substrings import repeated_passages
+from .tokencount import token_counts
 from .toxicity import toxicity
 from .urlfilter import URL_SQL, url_verdicts
 
@@ -57,6 +59,16 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat an earlier document."""
+    return repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return predict_languages(table(spark, sf_dir, "documents"))
@@ -76,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_benchmark_decontamination,
         op5_minhash_near_dedup,
         op6_best_fit_packing,
+        op7_substring_dedup,
+        op8_token_counts,
         op9_language_id,
         op10_url_filters,
     )
