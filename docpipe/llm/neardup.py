@@ -214,3 +214,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")))
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, that stand for their component.
+
+    Rows that repeat a doc_id are one document: the one with the least text stays.
+    Rows with a null doc_id stay.
+    """
+    spark = docs.sparkSession
+    found = near_duplicates(docs, width, percent)
+    chosen = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__llm_id")).count()
+    chosen = Scratch(spark, "kept").save(chosen.withColumnRenamed("count", "__llm_rows"))
+    rows = docs.join(chosen, docs["doc_id"].cast("long") == chosen["__llm_id"]).drop("__llm_id")
+    single = rows.where("__llm_rows = 1").drop("__llm_rows")
+    # Rows of a repeated doc_id are few, or they are one key: an aggregate with map-side combining picks one.
+    if not chosen.where("__llm_rows > 1").isEmpty():
+        columns = [F.col(c) for c in docs.columns]
+        several = rows.where("__llm_rows > 1").groupBy(F.col("doc_id").alias("__llm_id"))
+        several = several.agg(F.min_by(F.struct(*columns), F.coalesce(F.col("text"), F.lit(""))).alias("__llm_row")).select("__llm_row.*")
+        single = single.unionByName(several)
+    return single.unionByName(docs.where(F.col("doc_id").isNull()))
