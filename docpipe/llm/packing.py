@@ -22,6 +22,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,13 @@ END = 0
 SLOTS = 256
 CACHE_WORDS = 400_000
 
-_BLANKS = bytes(32 if b in (9, 10, 13) else b for b in range(256))  # ids do not depend on which of these parts two words
+_PUNCTUATION = frozenset(b".,;:!?")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself, or the next free code point from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in plain)}
 
 
 class WordTokens:
@@ -47,16 +54,48 @@ class WordTokens:
 
     The vocabulary's pre-tokeniser drops white space and never joins across it,
     so the ids of a text are those of its words in order; words repeat, so most
-    are looked up. The table of words is emptied when it is full.
+    are looked up. A new word that is a run of lower-case letters is one
+    pre-token and goes to the BPE model directly; a stop after such a run is a
+    pre-token of its own; any other word takes the whole tokenizer. The table of
+    words is emptied when it is full.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = {b: c for b, c in _byte_letters().items()}
+        self.special = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.known: dict[bytes, bytes] = {}
 
+    def _run_of_letters(self, word: str) -> bytes | None:
+        """Ids of a word that is one pre-token as it stands, else None."""
+        if not word.isalpha() or word.lower() != word or not unicodedata.is_normalized("NFC", word) or word in self.special:
+            return None
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
+
     def learn(self, words: list[bytes]) -> None:
+        hard = []
+        for w in words:
+            text = w.decode()
+            if text.isascii():
+                text = text.lower()
+            stop = b""
+            if len(text) > 1 and w[-1] in _PUNCTUATION:
+                text, stop = text[:-1], w[-1:]
+                if stop not in self.known:
+                    self._whole([stop])
+            ids = self._run_of_letters(text)
+            if ids is None:
+                hard.append(w)
+            else:
+                self.known[w] = ids + self.known[stop] if stop else ids
+        self._whole(hard)
+
+    def _whole(self, words: list[bytes]) -> None:
         for a in range(0, len(words), 4096):
             part = words[a : a + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
@@ -65,11 +104,13 @@ class WordTokens:
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
-            words = [w for w in text.translate(_BLANKS).split(b" ") if w]
+            words = text.split()
             known = self.known
             if len(known) > CACHE_WORDS:
                 known.clear()
-            self.learn([w for w in set(words) if w not in known])
+            new = [w for w in set(words) if w not in known]
+            if new:
+                self.learn(new)
             yield b"".join([known[w] for w in words])
 
 
