@@ -1,0 +1,243 @@
+"""The token-bounded chunker: section texts in, chunks out.
+
+All size decisions go through one accumulator (`Pack`) that re-counts the joined
+text on each addition, as token counts do not add up across joins. A counter is
+any text -> int function; the default is the documented regex counter.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field, replace
+
+import pandas as pd
+import regex
+from pyspark.sql import DataFrame
+
+from .. import config as C
+from ..shipping import ship
+
+Count = Callable[[str], int]
+_TOKEN = regex.compile(r"\p{L}+|\p{N}{1,3}|[^\s\p{L}\p{N}]")
+_FENCE = re.compile(r"```[\s\S]*?```")
+_PARAGRAPH = re.compile(r"\n\n+")
+_MARK = re.compile(r"__CODE_BLOCK_(\d+)__")
+CHUNK_SCHEMA = "doc_path string, chunk_seq int, section string, section_path array<string>, content string, token_count int"
+
+
+def regex_tokens(text: str) -> int:
+    return len(_TOKEN.findall(text))
+
+
+@dataclass
+class Chunk:
+    content: str
+    tokens: int
+    path: str
+    path_array: list[str] = field(default_factory=list)
+
+
+class Pack:
+    """Text under construction and what was emitted of it."""
+
+    def __init__(self, count: Count, joiner: str):
+        self.count, self.joiner = count, joiner
+        self.text, self.tokens, self.code = "", 0, False
+        self.out: list[tuple[str, int]] = []
+
+    def add(self, part: str) -> None:
+        self.text = self.text + self.joiner + part if self.text else part
+        self.tokens = self.count(self.text)
+
+    def emit(self) -> None:
+        if self.text.strip():
+            self.out.append((self.text.strip(), self.tokens or self.count(self.text)))
+        self.text, self.tokens, self.code = "", 0, False
+
+    def over(self, more: int, limit: int) -> bool:
+        return self.tokens > 0 and self.tokens + more > limit
+
+
+def _paragraphs(text: str) -> Iterator[tuple[str, bool]]:
+    """(paragraph, whether a whole fenced block lies inside it)."""
+    fences = [m.span() for m in _FENCE.finditer(text)]
+    at = 0
+    for part in _PARAGRAPH.split(text):
+        start = text.find(part, at)
+        at = start + len(part)
+        yield part, any(start <= a and b <= at for a, b in fences)
+
+
+def split_section(text: str, cfg: C.ChunkingConfig, count: Count) -> list[tuple[str, int]]:
+    """A section above the maximum, at paragraph borders; code stays with the text before it."""
+    parts = list(_paragraphs(text))
+    pack = Pack(count, "\n\n")
+    for i, (part, code) in enumerate(parts):
+        size = count(part)
+        introduces = not code and len(part) > C.EXPLANATION_CHARS and i + 1 < len(parts) and "```" in parts[i + 1][0]
+        if pack.code and not code and not introduces and pack.tokens > cfg.min_chunk_size:
+            pack.emit()
+        if code:
+            if pack.over(size, cfg.max_chunk_size):
+                pack.emit()
+            pack.add(part)
+            pack.code = True
+            if pack.tokens >= cfg.min_chunk_size:
+                pack.emit()
+        else:
+            if pack.tokens + size > cfg.max_chunk_size and pack.tokens >= cfg.min_chunk_size:
+                pack.emit()
+            pack.add(part)
+            if pack.tokens >= cfg.target_chunk_size and not introduces:
+                pack.emit()
+    pack.emit()
+    return pack.out
+
+
+def overlap(text: str, cfg: C.ChunkingConfig, count: Count) -> str:
+    """Last sentences of a text, between the overlap sizes; none for short texts."""
+    if count(text) < 2 * cfg.min_overlap_size:
+        return ""
+    taken, total = [], 0
+    for sentence in reversed(re.split(r"(?<=[.!?])\s+", text)):
+        size = count(sentence)
+        if total + size > cfg.max_overlap_size:
+            break
+        taken.append(sentence)
+        total += size
+        if total >= cfg.min_overlap_size:
+            break
+    return " ".join(reversed(taken)).strip()
+
+
+def merge_small(chunks: list[Chunk], count: Count) -> list[Chunk]:
+    """Chunks below the absolute minimum join the one before, else the one after, where the limits allow."""
+
+    def joined(a: Chunk, b: Chunk) -> Chunk | None:
+        text = f"{a.content}\n\n{b.content}"
+        limit = C.MERGE_MAX_CHUNK - (0 if a.path == b.path else C.CROSS_SECTION_ALLOWANCE)
+        size = count(text)
+        return replace(a, content=text, tokens=size) if size <= limit else None
+
+    out: list[Chunk] = []
+    waiting = list(reversed(chunks))
+    while waiting:
+        chunk = waiting.pop()
+        if chunk.tokens < C.ABSOLUTE_MIN_CHUNK:
+            back = joined(out[-1], chunk) if out else None
+            if back:
+                out[-1] = back
+                continue
+            ahead = joined(chunk, waiting[-1]) if waiting else None
+            if ahead:
+                waiting.pop()
+                chunk = ahead
+        out.append(chunk)
+    return out
+
+
+def sentences(text: str) -> list[str]:
+    """Sentences with fenced code kept whole; weaker marks are tried while nothing splits."""
+    codes: list[str] = []
+
+    def hide(m: re.Match) -> str:
+        codes.append(m[0])
+        return f"__CODE_BLOCK_{len(codes) - 1}__"
+
+    hidden = _FENCE.sub(hide, text)
+    table = re.search(r"\|[\s-]*---[\s-]*\|", hidden)
+    marks = [r"(?<=[.!?])\s+", r"(?<=[;:])\s+", r"(?<=,)\s+"] + ([] if table else [r"\s*\|\s*"])
+    parts: list[str] = []
+    for mark in marks:
+        parts = [p for p in re.split(mark, hidden) if p.strip()]
+        if len(parts) > 1:
+            break
+    return [_MARK.sub(lambda m: codes[int(m[1])] if int(m[1]) < len(codes) else m[0], p) for p in parts]
+
+
+def _by_sentence(text: str, cfg: C.ChunkingConfig, count: Count) -> list[tuple[str, int]]:
+    pack = Pack(count, " ")
+    for sentence in sentences(text):
+        size = count(sentence)
+        if size > C.SENTENCE_SPLIT_ABOVE:
+            pack.emit()
+            for word in re.split(r"\s+", sentence):
+                if pack.over(count(word), cfg.target_chunk_size):
+                    pack.emit()
+                pack.add(word)  # what is left goes on with the next sentence
+            continue
+        if pack.over(size, cfg.target_chunk_size):
+            pack.emit()
+        pack.add(sentence)
+    pack.emit()
+    return pack.out
+
+
+def split_oversized(text: str, tokens: int, cfg: C.ChunkingConfig, count: Count) -> list[tuple[str, int]]:
+    """A chunk above the hard maximum; one that is mostly code stays whole."""
+    fenced = sum(map(len, _FENCE.findall(text)))
+    if re.fullmatch(r"```[\s\S]*?```", text.strip()) or fenced > len(text) * C.CODE_SHARE:
+        return [(text, tokens)]
+    pack = Pack(count, "\n\n")
+    for part, code in _paragraphs(text):
+        if pack.over(count(part), C.SOFT_MAX_CHUNK):
+            pack.emit()
+        pack.add(part)
+        if (code and pack.tokens >= min(cfg.min_chunk_size, C.SOFT_MAX_CHUNK + 1)) or pack.tokens > C.HARD_MAX_CHUNK * C.APPROACH_SHARE:
+            pack.emit()
+    pack.emit()
+    out: list[tuple[str, int]] = []
+    for piece, size in pack.out or [(text, tokens)]:
+        out += [(piece, size)] if size <= C.SENTENCE_SPLIT_ABOVE else _by_sentence(piece, cfg, count)
+    return out or [(text, tokens)]
+
+
+def chunk_sections(
+    rows: Iterable[tuple[str, list[str], str]], cfg: C.ChunkingConfig | None = None, count: Count = regex_tokens
+) -> list[Chunk]:
+    """Chunks of one document from (path, path array, content) in order."""
+    cfg = cfg or C.ChunkingConfig()
+    chunks: list[Chunk] = []
+    carried = ""
+    for path, path_array, content in rows:
+        if count(content) <= cfg.max_chunk_size:
+            text = f"{carried}\n\n{content}" if carried else content
+            chunks.append(Chunk(text.strip(), count(text), path, path_array))
+            carried = overlap(content, cfg, count)
+            continue
+        parts = [Chunk(t, n, path, path_array) for t, n in split_section(content, cfg, count)]
+        if parts and carried:
+            parts[0].content = f"{carried}\n\n{parts[0].content}"
+            parts[0].tokens = count(parts[0].content)
+        chunks += parts
+        carried = overlap(parts[-1].content, cfg, count) if parts else ""
+    out: list[Chunk] = []
+    for c in merge_small(chunks, count):
+        fits = c.tokens <= C.HARD_MAX_CHUNK
+        out += [c] if fits else [replace(c, content=t, tokens=n) for t, n in split_oversized(c.content, c.tokens, cfg, count)]
+    return out
+
+
+def _chunk_rows(cfg: C.ChunkingConfig, count: Count):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", kind="stable")
+        rows = zip(pdf.section, ([*p] for p in pdf.section_path), pdf.content)
+        found = chunk_sections(rows, cfg, count)
+        return pd.DataFrame(
+            [(pdf.doc_path.iloc[0], i, c.path, c.path_array, c.content, c.tokens) for i, c in enumerate(found)],
+            columns=["doc_path", "chunk_seq", "section", "section_path", "content", "token_count"],
+        )
+
+    return run
+
+
+def chunk_documents(rows: DataFrame, cfg: C.ChunkingConfig | None = None, count: Count = regex_tokens) -> DataFrame:
+    """Chunks of (doc_path, seq, section, section_path, content) rows; one document is one group.
+
+    Order inside a document decides the result, so a document is the unit of
+    work; documents are spread by doc_path, with one shuffle.
+    """
+    ship(rows.sparkSession)
+    rows = rows.select("doc_path", "seq", "section", "section_path", "content").where("content is not null")
+    return rows.groupBy("doc_path").applyInPandas(_chunk_rows(cfg or C.ChunkingConfig(), count), CHUNK_SCHEMA)
