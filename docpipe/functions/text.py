@@ -110,20 +110,34 @@ def injection_labels(c: Column) -> Column:
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, though body uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def keep_first(items: Column, key) -> Column:
-    """Items of an array whose key did not occur before."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda x, i: F.array_position(keys, key(x)) == i + 1)
+    """Items of an array whose key did not occur before, in order; sorted by key, so not quadratic."""
+    keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+
+    def firsts(s: Column) -> Column:
+        kept = F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["k"] != e["k"]))
+        return F.transform(F.array_sort(F.transform(kept, lambda e: F.struct(e["i"], e["x"]))), lambda e: e["x"])
+
+    return let(keyed, firsts)
 
 
 def _protected(c: Column, body) -> Column:
     """Apply body to the text with fenced code replaced by marks, then put the code back as it was."""
-    fences = F.regexp_extract_all(c, F.lit(FENCE), F.lit(0))
-    pieces = F.split(c, FENCE, -1)
     mark = lambda i: F.concat(F.lit("__CODE_BLOCK_"), i.cast("string"), F.lit("__"))
-    marked = F.array_join(F.transform(pieces, lambda p, i: F.when(i < F.size(fences), F.concat(p, mark(i))).otherwise(p)), "")
-    numbered = F.transform(fences, lambda f, i: F.struct(f.alias("code"), mark(i).alias("mark")))
-    return F.aggregate(numbered, body(marked), lambda text, f: F.replace(text, f["mark"], f["code"]))
+
+    def hidden(fences: Column) -> Column:
+        pieces = F.split(c, FENCE, -1)
+        marked = F.array_join(F.transform(pieces, lambda p, i: F.when(i < F.size(fences), F.concat(p, mark(i))).otherwise(p)), "")
+        numbered = F.transform(fences, lambda f, i: F.struct(f.alias("code"), mark(i).alias("mark")))
+        return F.aggregate(numbered, let(marked, body), lambda text, f: F.replace(text, f["mark"], f["code"]))
+
+    fenced = let(F.regexp_extract_all(c, F.lit(FENCE), F.lit(0)), hidden)
+    return F.when(F.contains(c, F.lit("```")), fenced).otherwise(let(c, body))
 
 
 def _norm_key(c: Column) -> Column:
@@ -135,7 +149,7 @@ def sentence_dedupe(paragraph: Column) -> Column:
     line = trim_ws(collapse_ws(paragraph))
     parts = F.split(line, r"(?<=[.!?])\s+(?=[A-Z])|(?<=[.!?])$", -1)
     parts = F.filter(F.transform(parts, trim_ws), lambda s: s != "")
-    return F.array_join(keep_first(parts, _norm_key), " ")
+    return let(parts, lambda p: F.array_join(keep_first(p, _norm_key), " "))
 
 
 def paragraph_dedupe(c: Column) -> Column:
@@ -143,7 +157,7 @@ def paragraph_dedupe(c: Column) -> Column:
 
     def body(marked: Column) -> Column:
         parts = F.filter(F.transform(F.split(marked, "\n\n+", -1), trim_ws), lambda p: p != "")
-        return F.array_join(F.transform(keep_first(parts, _norm_key), sentence_dedupe), "\n\n")
+        return let(parts, lambda p: F.array_join(F.transform(keep_first(p, _norm_key), sentence_dedupe), "\n\n"))
 
     return F.when(trim_ws(c) == "", c).otherwise(trim_ws(_protected(c, body)))
 
@@ -156,7 +170,7 @@ def whitespace_normalize(c: Column) -> Column:
 
 
 def clean_content(c: Column) -> Column:
-    return whitespace_normalize(paragraph_dedupe(c))
+    return let(paragraph_dedupe(c), whitespace_normalize)
 
 
 def overlap_tail(c: Column, least: int = 60, most: int = 100) -> Column:

@@ -9,8 +9,14 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package's sources to the executors, once for each SparkContext."""
+    # Rows here are whole texts: smaller Arrow batches keep Python workers small. A size set by the user stays.
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     context = spark.sparkContext
     if getattr(context, "_docpipe_shipped", False):
         return
