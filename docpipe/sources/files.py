@@ -42,7 +42,7 @@ def read_texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     target = spark._jvm.org.apache.hadoop.fs.Path(root)
     if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return spark.createDataFrame([], schema)
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
     meta = F.col("_metadata")
     return files.select(
         relative(F.url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B"))), root).alias("path"),
@@ -68,7 +68,7 @@ def read_specs(spark: SparkSession, root: str) -> DataFrame:
 
 def read_navigation(spark: SparkSession, path: str) -> DataFrame:
     """(group, category, product, path, order, versions, default_version) of a navigation tree."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     item = "struct<name:string,path:string,order:double,versions:array<string>,default_version:string,visible_in_sidebar:boolean>"
     group = f"struct<name:string,path:string,order:double,visible_in_sidebar:boolean,children:array<{item}>>"
     tree = raw.select(F.explode(F.from_json("value", f"map<string,array<{group}>>")).alias("group", "categories"))
@@ -86,7 +86,7 @@ def read_navigation(spark: SparkSession, path: str) -> DataFrame:
 
 def read_redirects(spark: SparkSession, path: str) -> DataFrame:
     """(source, target) pairs of a redirect object."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("source", "target"))
 
 

@@ -18,7 +18,7 @@ from ..sources.files import relative
 
 def ingest_new_files(spark: SparkSession, root: str, out: str, checkpoint: str, glob: str = "*.{md,mdx}", git: dict[str, str] | None = None) -> StreamingQuery:
     """Chunk the files below root that no earlier run has seen; rows go to out/batch=<n>."""
-    stream = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root)
+    stream = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
     pages = stream.select(relative(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), root).alias("doc_path"), F.col("value").alias("text"))
 
     def write(batch: DataFrame, number: int) -> None:

@@ -1,0 +1,43 @@
+"""Every query that has SQL agrees with DuckDB on the smallest tables."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+from docpipe.plans import catalogue
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    c = duckdb.connect()
+    for name in os.listdir(sf_dir):
+        if name.endswith(".parquet"):
+            path = f"{sf_dir}/{name}"
+            c.sql(f"create view {name[:-8]} as select * from '{path + '/*.parquet' if os.path.isdir(path) else path}'")
+    return c
+
+
+def rows(df):
+    k = sorted(df.columns)
+    return df[k].astype(str).sort_values(k).reset_index(drop=True)
+
+
+@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+def test_matches_sql(name, spark, duck, sf_dir):
+    got, want = rows(catalogue.QUERIES[name](spark, sf_dir).toPandas()), rows(duck.sql(catalogue.ORACLES[name]).df())
+    assert list(got.columns) == list(want.columns)
+    assert got.equals(want)
+
+
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES)))
+def test_runs(name, spark, sf_dir):
+    assert catalogue.QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_entry_names():
+    import __spark_entry__ as e
+
+    assert set(e.oracle_sql()) <= set(e.queries())
