@@ -6,13 +6,16 @@ task that is run again on another executor gives the same bytes.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # text handled at once inside a Python worker
+SLICE_BYTES = 1 << 20  # text handled at once inside a Python worker
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -129,8 +132,28 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b if b is not None else b"" for b in column.cast(kind).to_pylist()]
 
 
-def slices(batches: Iterable[pa.RecordBatch], text_column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about SLICE_BYTES of text, or one row."""
+_caches: dict[str, dict] = {}
+
+
+def cache(name: str) -> dict:
+    """A table of this worker that one operator keeps from task to task."""
+    return _caches.setdefault(name, {})
+
+
+def release_others(name: str) -> None:
+    """Empty the tables of other operators: a worker serves all of them, one after another."""
+    held = [c for n, c in _caches.items() if n != name and c]
+    for c in held:
+        c.clear()
+    if held:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterable[pa.RecordBatch], text_column: str, keeps: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about SLICE_BYTES of text, or one row; `keeps` names the caller's cache."""
+    release_others(keeps)
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -35,7 +35,7 @@ WINDOW = 10
 BLOCK_CHARS = 2 << 20
 
 _ROW = "row long, doc_id long, n_words long, starts array<int>, ends array<int>, bytes_from array<int>, bytes_to array<int>, items array<string>"
-_automata: dict[str, ahocorasick.Automaton] = {}
+_automata: dict[str, ahocorasick.Automaton] = X.cache("decontam")
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -112,8 +112,8 @@ def _hit_rows(shared):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(key, shared) if shared is not None else None
-        for batch in X.slices(batches, "text"):
+        for batch in X.slices(batches, "text", keeps="decontam"):
+            automaton = _automaton(key, shared) if shared is not None else None
             counts, spans, offsets, items = [], [], [], []
             for text in X.text_bytes(batch.column("text")):
                 n, found, names = find_hits(automaton, text) if automaton is not None else (len(normal_words(text)), [], ())
@@ -216,8 +216,8 @@ def _clean_rows(shared):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(key, shared)
-        for batch in X.slices(batches, "text"):
+        for batch in X.slices(batches, "text", keeps="decontam"):
+            automaton = _automaton(key, shared)
             clean = [not find_hits(automaton, t)[1] for t in X.text_bytes(batch.column("text"))]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

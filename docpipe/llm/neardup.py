@@ -36,7 +36,9 @@ from ._store import Scratch
 from .graph import components
 
 K, MATCHES = 40, 20
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 512 << 10  # of a small cluster
+MOST_SMALL_BLOCKS = 16
+LARGE_BLOCK_BYTES = 8 << 20  # of a cluster that would have more blocks than that
 
 _SETS = "doc_id long, n_shingles long, set_hi long, set_lo long, sig array<int>"
 
@@ -193,10 +195,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     cluster = components(star, scratch)
     sized = cluster.withColumnsRenamed({"v": "doc_id", "root": "cluster"})
     bytes_of = classes.select(F.col("rep").alias("doc_id"), (F.col("n_shingles") * 8 + 400).alias("bytes"))
+    small, large = (F.ceil(F.col("bytes") / F.lit(b)) for b in (BLOCK_BYTES, LARGE_BLOCK_BYTES))
     total = (
         sized.join(bytes_of, "doc_id")
         .groupBy("cluster")
-        .agg(F.ceil(F.sum("bytes") / F.lit(BLOCK_BYTES)).cast("int").alias("blocks"))
+        .agg(F.sum("bytes").alias("bytes"))
+        .select("cluster", F.greatest(F.least(small, F.lit(MOST_SMALL_BLOCKS)), large).cast("int").alias("blocks"))
     )
     candidates = scratch.save(sized.join(total, "cluster"))
     members = texts.join(candidates, "doc_id").select("cluster", "blocks", "doc_id", "text")
@@ -211,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = classes.select("set_hi", "set_lo", "rep").join(component.withColumnRenamed("v", "rep"), "rep", "left")
     named = named.select("set_hi", "set_lo", F.coalesce("root", "rep").alias("component_id"))
     out = base.select("doc_id", "n_shingles", "set_hi", "set_lo").join(named, ["set_hi", "set_lo"], "left")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")))
+    out = out.withColumn("component_id", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")))
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

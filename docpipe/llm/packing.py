@@ -114,7 +114,7 @@ class WordTokens:
             yield b"".join([known[w] for w in words])
 
 
-_loaded: dict[str, WordTokens] = {}
+_loaded: dict[str, WordTokens] = X.cache("packing")
 
 
 def _piece_rows(path: str, length: int):
@@ -122,10 +122,10 @@ def _piece_rows(path: str, length: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path not in _loaded:
-            _loaded[path] = WordTokens(path)
         end = np.array([END], np.uint32).tobytes()
-        for batch in X.slices(batches, "text"):
+        for batch in X.slices(batches, "text", keeps="packing"):
+            if path not in _loaded:
+                _loaded[path] = WordTokens(path)
             source, piece, start, size, crc = [], [], [], [], []
             for i, ids in enumerate(_loaded[path].ids(X.text_bytes(batch.column("text")))):
                 ids += end

@@ -102,14 +102,14 @@ class Counter:
         return len(parts), sum(f[0] for f in found), sum(f[1] for f in found)
 
 
-_counters: dict[str, Counter] = {}
+_counters: dict[str, Counter] = X.cache("tokencount")
 
 
 def _count_rows(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _counters:
-            _counters[path] = Counter(vocabulary(path))
-        for batch in X.slices(batches, "text"):
+        for batch in X.slices(batches, "text", keeps="tokencount"):
+            if path not in _counters:
+                _counters[path] = Counter(vocabulary(path))
             found = [_counters[path].count(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
