@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import markup as M
 from ..functions import text as T
-from ..operators import apispec, filters, incremental, ranking, sections, sync, vectors
+from ..operators import apispec, filters, incremental, ranking, sections, sync, validate, vectors
 from ..operators.chunking import chunk_documents
 from ..shipping import ship
 from ..sources import files, stores
@@ -658,6 +658,31 @@ def normalize_page(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", M.normalize_page(F.col("html")).alias("body"))
 
 
+_CODE = "regexp_replace(html, '(?s)```.*?```', '', 'g')"
+
+
+@query(
+    rf"""SELECT page_id, array_to_string(list_filter(string_split_regex(lower(regexp_replace(regexp_replace({_CODE}, 'https?://[^\s)]+', '', 'g'), '[^a-zA-Z0-9\s]', ' ', 'g')), '\s+'), lambda w: length(w) > 2), ' ') AS words FROM pages"""
+)
+def meaningful_words(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.array_join(validate.meaningful_words(F.col("html")), " ").alias("words"))
+
+
+@query(
+    rf"""SELECT page_id, CAST(len(list_filter(list_concat(regexp_extract_all({_CODE}, '<[A-Z][a-zA-Z]+[^>]*>'), regexp_extract_all({_CODE}, '(?i)<(?:{validate.HTML_LEFT})[^>]*>')),
+    lambda t: NOT regexp_matches(t, '(?i)^<[a-z_-]+>$'))) AS BIGINT) AS n FROM pages"""
+)
+def markup_left(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", long(F.size(validate.markup_left(F.col("html")))).alias("n"))
+
+
+@query()
+def heading_loss(spark, sf_dir):
+    text = F.concat(F.lit("# T\n"), "html")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), text.alias("text"), M.normalize_page(text).alias("body"))
+    return validate.heading_loss(pages)
+
+
 # --- sections and chunks ---------------------------------------------------
 
 
