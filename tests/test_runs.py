@@ -171,3 +171,32 @@ def test_stream(spark, tmp_path):
     go()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_path, r.batch) for r in got.collect()) == [("a.md", 0), ("b.md", 1)]
+
+
+def test_sinks(spark, tmp_path):
+    from docpipe.sources import sinks
+
+    pages = spark.createDataFrame([("a/x.mdx", "é"), ("b.md", None)], "doc_path string, body string")
+    assert sinks.write_pages(pages, str(tmp_path / "n")) == 2
+    assert (tmp_path / "n/a/x.md").read_text() == "é" and (tmp_path / "n/b.md").read_text() == ""
+    chunks = spark.createDataFrame([("b", 1, 'q"'), ("a", 0, "é")], "doc_path string, chunk_seq int, content string")
+    sinks.write_json_export(chunks, str(tmp_path / "o.json"), {"stats": {"n": 2}})
+    assert json.loads((tmp_path / "o.json").read_text())["stats"] == {"n": 2}
+    assert [r.doc_path for r in sinks.read_json_export(spark, str(tmp_path / "o.json")).collect()] == ["a", "b"]
+
+
+def test_counters(spark):
+    from docpipe.functions import tokens
+    from docpipe.operators.chunking import chunk_documents
+
+    try:
+        import public_tokenizers
+
+        bpe = tokens.BpeCounter(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    except ImportError:
+        pytest.skip("no vocabulary file here")
+    assert bpe("hello world <|endoftext|>") > 3 and tokens.RegexCounter()("a b") == 2
+    df = spark.createDataFrame([("p", 0, "s", ["s"], "word " * 3000)], "doc_path string, seq int, section string, section_path array<string>, content string")
+    got = chunk_documents(df, count=bpe).collect()
+    assert len(got) > 3 and all(r.token_count == bpe(r.content) for r in got[1:-1])
+    assert df.select(tokens.count_udf(bpe, F.col("content")).alias("n")).first().n == bpe("word " * 3000)
