@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # text handled at once inside a Python worker
+SLICE_BYTES = 256 << 10  # text handled at once inside a Python worker
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -142,6 +142,7 @@ def cache(name: str) -> dict:
 
 def release_others(name: str) -> None:
     """Empty the tables of other operators: a worker serves all of them, one after another."""
+    pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back at once
     held = [c for n, c in _caches.items() if n != name and c]
     for c in held:
         c.clear()

@@ -227,15 +227,15 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Rows with a null doc_id stay.
     """
     spark = docs.sparkSession
-    found = near_duplicates(docs, width, percent)
-    chosen = found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__llm_id")).count()
-    chosen = Scratch(spark, "kept").save(chosen.withColumnRenamed("count", "__llm_rows"))
-    rows = docs.join(chosen, docs["doc_id"].cast("long") == chosen["__llm_id"]).drop("__llm_id")
-    single = rows.where("__llm_rows = 1").drop("__llm_rows")
-    # Rows of a repeated doc_id are few, or they are one key: an aggregate with map-side combining picks one.
-    if not chosen.where("__llm_rows > 1").isEmpty():
-        columns = [F.col(c) for c in docs.columns]
-        several = rows.where("__llm_rows > 1").groupBy(F.col("doc_id").alias("__llm_id"))
-        several = several.agg(F.min_by(F.struct(*columns), F.coalesce(F.col("text"), F.lit(""))).alias("__llm_row")).select("__llm_row.*")
-        single = single.unionByName(several)
-    return single.unionByName(docs.where(F.col("doc_id").isNull()))
+    found = near_duplicates(docs, width, percent).where("doc_id is not null")
+    # What goes is less than what stays: rows of other components' members, and rows that share an id.
+    state = found.groupBy(F.col("doc_id").alias("__llm_id")).agg(F.max("kept").alias("__llm_kept"), F.count("*").alias("__llm_rows"))
+    state = Scratch(spark, "kept").save(state.where("not __llm_kept or __llm_rows > 1"))
+    key = docs["doc_id"].cast("long")
+    out = docs.join(state, key == state["__llm_id"], "left_anti")
+    several = state.where("__llm_kept and __llm_rows > 1")
+    if not several.isEmpty():
+        rows = docs.join(several, key == several["__llm_id"], "left_semi").groupBy(key.alias("__llm_id"))
+        row = F.min_by(F.struct(*(F.col(c) for c in docs.columns)), F.coalesce(F.col("text"), F.lit("")))
+        out = out.unionByName(rows.agg(row.alias("__llm_row")).select("__llm_row.*"))
+    return out
