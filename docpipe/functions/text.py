@@ -117,11 +117,11 @@ def let(value: Column, body) -> Column:
 
 def keep_first(items: Column, key) -> Column:
     """Items of an array whose key did not occur before, in order; sorted by key, so not quadratic."""
-    keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+    keyed = F.sort_array(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
 
     def firsts(s: Column) -> Column:
         kept = F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1)["k"] != e["k"]))
-        return F.transform(F.array_sort(F.transform(kept, lambda e: F.struct(e["i"], e["x"]))), lambda e: e["x"])
+        return F.transform(F.sort_array(F.transform(kept, lambda e: F.struct(e["i"], e["x"]))), lambda e: e["x"])
 
     return let(keyed, firsts)
 

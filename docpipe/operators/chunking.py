@@ -1,8 +1,8 @@
 """The token-bounded chunker: section texts in, chunks out.
 
 All size decisions go through one accumulator (`Pack`) that re-counts the joined
-text on each addition, as token counts do not add up across joins. A counter is
-any text -> int function; the default is the documented regex counter.
+text on each addition, unless the counter says that its counts add up. A counter
+is any text -> int function; the default is the documented regex counter.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ def regex_tokens(text: str) -> int:
     return len(_TOKEN.findall(text))
 
 
+regex_tokens.additive = True  # no token spans white space, so counts add up over joined parts
+
+
 @dataclass
 class Chunk:
     content: str
@@ -46,9 +49,11 @@ class Pack:
         self.text, self.tokens, self.code = "", 0, False
         self.out: list[tuple[str, int]] = []
 
-    def add(self, part: str) -> None:
+    def add(self, part: str, size: int) -> None:
+        """Add a part of `size` tokens by itself; the whole is counted again unless counts add up."""
+        known = self.tokens + size if self.text else size
         self.text = self.text + self.joiner + part if self.text else part
-        self.tokens = self.count(self.text)
+        self.tokens = known if getattr(self.count, "additive", False) else self.count(self.text)
 
     def emit(self) -> None:
         if self.text.strip():
@@ -81,14 +86,14 @@ def split_section(text: str, cfg: C.ChunkingConfig, count: Count) -> list[tuple[
         if code:
             if pack.over(size, cfg.max_chunk_size):
                 pack.emit()
-            pack.add(part)
+            pack.add(part, size)
             pack.code = True
             if pack.tokens >= cfg.min_chunk_size:
                 pack.emit()
         else:
             if pack.tokens + size > cfg.max_chunk_size and pack.tokens >= cfg.min_chunk_size:
                 pack.emit()
-            pack.add(part)
+            pack.add(part, size)
             if pack.tokens >= cfg.target_chunk_size and not introduces:
                 pack.emit()
     pack.emit()
@@ -163,13 +168,14 @@ def _by_sentence(text: str, cfg: C.ChunkingConfig, count: Count) -> list[tuple[s
         if size > C.SENTENCE_SPLIT_ABOVE:
             pack.emit()
             for word in re.split(r"\s+", sentence):
-                if pack.over(count(word), cfg.target_chunk_size):
+                one = count(word)
+                if pack.over(one, cfg.target_chunk_size):
                     pack.emit()
-                pack.add(word)  # what is left goes on with the next sentence
+                pack.add(word, one)  # what is left goes on with the next sentence
             continue
         if pack.over(size, cfg.target_chunk_size):
             pack.emit()
-        pack.add(sentence)
+        pack.add(sentence, size)
     pack.emit()
     return pack.out
 
@@ -181,9 +187,10 @@ def split_oversized(text: str, tokens: int, cfg: C.ChunkingConfig, count: Count)
         return [(text, tokens)]
     pack = Pack(count, "\n\n")
     for part, code in _paragraphs(text):
-        if pack.over(count(part), C.SOFT_MAX_CHUNK):
+        size = count(part)
+        if pack.over(size, C.SOFT_MAX_CHUNK):
             pack.emit()
-        pack.add(part)
+        pack.add(part, size)
         if (code and pack.tokens >= min(cfg.min_chunk_size, C.SOFT_MAX_CHUNK + 1)) or pack.tokens > C.HARD_MAX_CHUNK * C.APPROACH_SHARE:
             pack.emit()
     pack.emit()
