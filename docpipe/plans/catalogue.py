@@ -17,7 +17,7 @@ from ..functions import markup as M
 from ..functions import text as T
 from ..operators import apispec, filters, incremental, ranking, sections, sync, validate, vectors
 from ..operators.chunking import chunk_documents
-from ..shipping import ship
+from ..shipping import ship, spread
 from ..sources import files, stores
 from . import fixtures, pipeline
 
@@ -41,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def heavy(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for steps that cost much CPU a row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def long(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("long")
 
@@ -558,7 +563,7 @@ _DISTINCT = "list_filter({0}, lambda s, i: list_position(list_transform({0}, lam
 
 @query(f"SELECT doc_id, array_to_string({_DISTINCT.format('p')}, ' ') AS content FROM (SELECT doc_id, {_SENTENCES} AS p FROM documents)")
 def sentence_dedupe(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.sentence_dedupe(F.col("text")).alias("content"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", T.sentence_dedupe(F.col("text")).alias("content"))
 
 
 @query(
@@ -566,17 +571,17 @@ def sentence_dedupe(spark, sf_dir):
 )
 def paragraph_dedupe(spark, sf_dir):
     """Documents have no blank lines, so each is one paragraph."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.paragraph_dedupe(F.col("text")).alias("content"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", T.paragraph_dedupe(F.col("text")).alias("content"))
 
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '[ \t]+(\n|$)', '\1', 'g'), E'\n{3,}', E'\n\n', 'g'), '^\s+|\s+$', '', 'g') AS content FROM documents")
 def whitespace_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.whitespace_normalize(F.col("text")).alias("content"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", T.whitespace_normalize(F.col("text")).alias("content"))
 
 
 @query(f"SELECT doc_id, sha256(array_to_string({_DISTINCT.format('p')}, ' ')) AS content_hash FROM (SELECT doc_id, {_SENTENCES} AS p FROM documents)")
 def clean_content(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.content_hash(T.clean_content(F.col("text"))).alias("content_hash"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", T.content_hash(T.clean_content(F.col("text"))).alias("content_hash"))
 
 
 _PHRASES = (
@@ -614,7 +619,7 @@ def _chain_sql(column: str, rules: tuple[M.Rule, ...]) -> str:
 
 @query(f"SELECT page_id, {_chain_sql('html', M.html_rules())} AS body FROM pages")
 def html_to_markdown(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", M.html_to_markdown(F.col("html")).alias("body"))
+    return heavy(spark, sf_dir, "pages").select("page_id", M.html_to_markdown(F.col("html")).alias("body"))
 
 
 _MIXED = "'<NextPage info={x} /><MainImage src=\"a\">alt</MainImage>[docs](' || url || ') ' || html"
@@ -655,7 +660,7 @@ def front_matter(spark, sf_dir):
 
 @query()
 def normalize_page(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", M.normalize_page(F.col("html")).alias("body"))
+    return heavy(spark, sf_dir, "pages").select("page_id", M.normalize_page(F.col("html")).alias("body"))
 
 
 _CODE = "regexp_replace(html, '(?s)```.*?```', '', 'g')"
@@ -665,7 +670,7 @@ _CODE = "regexp_replace(html, '(?s)```.*?```', '', 'g')"
     rf"""SELECT page_id, array_to_string(list_filter(string_split_regex(lower(regexp_replace(regexp_replace({_CODE}, 'https?://[^\s)]+', '', 'g'), '[^a-zA-Z0-9\s]', ' ', 'g')), '\s+'), lambda w: length(w) > 2), ' ') AS words FROM pages"""
 )
 def meaningful_words(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.array_join(validate.meaningful_words(F.col("html")), " ").alias("words"))
+    return heavy(spark, sf_dir, "pages").select("page_id", F.array_join(validate.meaningful_words(F.col("html")), " ").alias("words"))
 
 
 @query(
@@ -679,7 +684,7 @@ def markup_left(spark, sf_dir):
 @query()
 def heading_loss(spark, sf_dir):
     text = F.concat(F.lit("# T\n"), "html")
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), text.alias("text"), M.normalize_page(text).alias("body"))
+    pages = heavy(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), text.alias("text"), M.normalize_page(text).alias("body"))
     return validate.heading_loss(pages)
 
 
@@ -688,7 +693,7 @@ def heading_loss(spark, sf_dir):
 
 def _pages_as_markdown(spark, sf_dir) -> DataFrame:
     heading = F.regexp_replace("html", "(?is)<h([1-6])[^>]*>(.*?)</h[1-6]>", "\n\n# $2\n\n")
-    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), M.html_to_markdown(heading).alias("body"))
+    return heavy(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), M.html_to_markdown(heading).alias("body"))
 
 
 @query()
@@ -742,7 +747,7 @@ def _conversation_sections(spark, sf_dir) -> DataFrame:
 
 def _document_sections(spark, sf_dir) -> DataFrame:
     """Each document is a file of one section; its lines are the paragraphs."""
-    return table(spark, sf_dir, "documents").select(
+    return heavy(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_path"), F.lit(0).alias("seq"), F.col("lang").alias("section"), F.array("lang").alias("section_path"), F.regexp_replace("text", "\n", "\n\n").alias("content")
     )
 
@@ -770,13 +775,13 @@ def split_oversized(spark, sf_dir):
 
 @query()
 def overlap_tail(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.overlap_tail(F.col("text")).alias("overlap"))
+    return heavy(spark, sf_dir, "documents").select("doc_id", T.overlap_tail(F.col("text")).alias("overlap"))
 
 
 @query()
 def ingest_pages(spark, sf_dir):
     """Pages through normalisation, sections, chunker, enrichment and the file gate."""
-    pages = table(spark, sf_dir, "pages").select(
+    pages = heavy(spark, sf_dir, "pages").select(
         F.concat(F.lit("content/payments/"), F.col("page_id").cast("string"), F.lit(".mdx")).alias("doc_path"),
         F.concat(F.lit("---\npage_title: Page\nsidebar_title: Side\norder: 1\n---\n# Page\n\n"), "html").alias("text"),
     )

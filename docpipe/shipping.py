@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -31,3 +31,14 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.join("docpipe", os.path.relpath(full, top)))
     context.addPyFile(archive)
     context._docpipe_shipped = True
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan over all cores, for steps that cost much CPU a row.
+
+    A scan with fewer partitions than the cluster has cores is small (a core
+    gets one split at most), so dealing it out moves little; any other scan is
+    left as it is. Only for plain scans: the partitions are counted by planning.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
