@@ -40,7 +40,7 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.path}/{self.count}"
-        held = self.spark.conf.get(_CLEANUP)
+        held = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
             df.write.parquet(path)

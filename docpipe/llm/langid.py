@@ -33,6 +33,7 @@ BUCKETS = 1 << 13
 EVIDENCE = 40  # trigrams that count as independent evidence at most
 SMOOTH = 0.5
 SUM_PARTITIONS = 8
+MOST_LANGUAGES = 1000  # more are no language column; an error, not a cut
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -118,7 +119,9 @@ def fit_languages(docs: DataFrame, bound: int = 20_000) -> LanguageModel:
     """Fit on about `bound` documents at most, outside the held-out fold (crc32 mod 4 = 2)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), 4) != 2))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} values")
     if not sizes:
         return LanguageModel([], np.zeros((0, 1)), np.zeros((1, BUCKETS)), np.zeros((0, 1)))
     # The same share of the bound for each language, so that rare ones are learnt too.

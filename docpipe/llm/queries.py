@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import spread
 from .decontam import CONTAMINATION_SQL, contamination_digest
 from .langid import predict_languages
 from .media import media_digest
@@ -22,29 +23,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table, over all cores."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality scores of all documents."""
-    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text stored as WAV samples, and of its spectral fingerprint."""
-    return media_digest(table(spark, sf_dir, "documents"))
+    return media_digest(documents(spark, sf_dir))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
-    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
-    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination_digest(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of documents on four-word shingles at 0.8."""
-    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+    return near_duplicates(documents(spark, sf_dir), width=4, percent=80)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -56,22 +62,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces in sequences of at most 2048 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), length=2048)
+    return pack_documents(documents(spark, sf_dir), tokenizer_path(), length=2048)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat an earlier document."""
-    return repeated_passages(table(spark, sf_dir, "documents"), min_words=50)
+    return repeated_passages(documents(spark, sf_dir), min_words=50)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token counts of every document."""
-    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return token_counts(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
-    return predict_languages(table(spark, sf_dir, "documents"))
+    return predict_languages(documents(spark, sf_dir))
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
