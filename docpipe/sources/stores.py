@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import struct
+import time
 import uuid
 from typing import Protocol
 
@@ -33,6 +35,37 @@ class HashEmbedder:
         return [v / norm for v in values]
 
 
+class PatientEmbedder:
+    """Another embedder with a pause between calls, and retries of transient errors.
+
+    Waits are 50 to 100 % of min(1 s * 2^n, 16 s), the share drawn at random.
+    """
+
+    def __init__(self, inner: Embedder, tries: int = 5, gap_ms: int = 0, transient=None, sleep=time.sleep, share=random.random):
+        self.inner, self.tries, self.gap_ms, self.sleep, self.share = inner, tries, gap_ms, sleep, share
+        self.transient = transient or throttled
+        self.calls = 0
+
+    def embed(self, text: str) -> list[float]:
+        for n in range(self.tries):
+            if self.calls and self.gap_ms:
+                self.sleep(self.gap_ms / 1000)
+            self.calls += 1
+            try:
+                return self.inner.embed(text)
+            except Exception as e:
+                if n == self.tries - 1 or not self.transient(e):
+                    raise
+                self.sleep(min(2**n, 16) * (0.5 + 0.5 * self.share()))
+        raise ValueError("tries must be positive")
+
+
+def throttled(e: Exception) -> bool:
+    """Errors that go away: throttling, and status 429 or above 499."""
+    status = getattr(e, "status", None) or getattr(e, "status_code", None)
+    return "thrott" in f"{type(e).__name__} {e}".lower() or (isinstance(status, int) and (status == 429 or status >= 500))
+
+
 def mock_vector(size: int = VECTOR_SIZE):
     return F.array_repeat(F.lit(0.0).cast("float"), size)
 

@@ -200,3 +200,25 @@ def test_counters(spark):
     got = chunk_documents(df, count=bpe).collect()
     assert len(got) > 3 and all(r.token_count == bpe(r.content) for r in got[1:-1])
     assert df.select(tokens.count_udf(bpe, F.col("content")).alias("n")).first().n == bpe("word " * 3000)
+
+
+def test_patient_embedder():
+    class Busy(stores.HashEmbedder):
+        left = 3
+
+        def embed(self, text):
+            self.left -= 1
+            if self.left >= 0:
+                error = RuntimeError("slow down")
+                error.status = 429
+                raise error
+            return super().embed(text)
+
+    waits = []
+    e = stores.PatientEmbedder(Busy(4), gap_ms=100, sleep=waits.append, share=lambda: 1.0)
+    assert e.embed("a") == stores.HashEmbedder(4).embed("a") and e.calls == 4
+    assert waits == [1.0, 0.1, 2.0, 0.1, 4.0, 0.1]
+    broken = stores.PatientEmbedder(Failing(4), sleep=waits.append)
+    with pytest.raises(RuntimeError):
+        broken.embed("bad")
+    assert broken.calls == 1
