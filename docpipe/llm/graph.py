@@ -32,16 +32,19 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     pair = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where(f"{a} is not null and {b} is not null")
     table = scratch.save(pair.where("hi > lo").distinct())
     while not _is_star_forest(table):
-        both = table.unionAll(table.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        least = both.groupBy("hi").agg(F.min("lo").alias("m"))
-        least = least.select("hi", F.least("hi", "m").alias("m"))
-        large = both.join(least, "hi").where("lo > hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        large = scratch.save(large.where("hi > lo").distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        # Large-star: every u gives its greater neighbours the least of its neighbours and itself.
+        # Where that is u the edges stay as they are, so vertices of many edges mostly need no partner
+        # here; the least are written, so the join is an outer one of two plain inputs that can be
+        # broadcast when small and split when skewed.
+        lower = scratch.save(table.groupBy("hi").agg(F.min("lo").alias("m")))
+        up = table.select(F.col("lo").alias("u"), F.col("hi").alias("v")).join(lower.withColumnRenamed("hi", "u"), "u", "left")
+        large = scratch.save(up.select(F.col("v").alias("hi"), F.coalesce("m", "u").alias("lo")).distinct())
+        # Small-star: every u gives its lesser neighbours, and itself, the least of them.
+        least = scratch.save(large.groupBy("hi").agg(F.min("lo").alias("m")))
+        small = large.join(least, "hi", "left").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = small.unionAll(least.select("hi", F.col("m").alias("lo")))
         following = scratch.save(small.where("hi > lo").distinct())
-        scratch.drop(table, large)
+        scratch.drop(table, lower, large, least)
         table = following
     return table.select(F.col("hi").alias("v"), F.col("lo").alias("root")).unionAll(
         table.select(F.col("lo").alias("v"), F.col("lo").alias("root")).distinct()

@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     ordered = (
         posted.join(frequency, "token")
         .groupBy("rep")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
         .where(F.size("shared") >= MATCHES)
     )
     prefix = scratch.save(
