@@ -13,12 +13,14 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where it is unset."""
+    """The folder in spark.checkpoint.dir; where it is unset, one of our own, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="docpipe-")
         spark.sparkContext.setCheckpointDir(root)
     return root
