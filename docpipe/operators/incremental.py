@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,8 +80,6 @@ def replace_prefix(old: DataFrame, new: DataFrame, prefix: str) -> DataFrame:
 
 
 def chunks_equal(a: str, b: str) -> Column:
-    return F.lit(True) if a == b else (
-        F.col(f"{a}.content_hash").eqNullSafe(F.col(f"{b}.content_hash"))
-        & F.col(f"{a}.doc_path").eqNullSafe(F.col(f"{b}.doc_path"))
-        & F.col(f"{a}.section").eqNullSafe(F.col(f"{b}.section"))
-    )
+    """Whether the rows under two aliases are the same chunk: hash, path and section."""
+    same = (F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("content_hash", "doc_path", "section"))
+    return reduce(lambda x, y: x & y, same)

@@ -139,14 +139,3 @@ def heading_paths(rows: DataFrame, doc: str = "doc_path", seq: str = "seq") -> D
 
     folded = ordered.select(doc, F.explode(F.aggregate("h", start, step)["out"]).alias("o"))
     return folded.select(doc, F.col("o.seq").alias(seq), F.col("o.path").alias("section_path"))
-
-
-def headings(body: Column) -> Column:
-    return F.regexp_extract_all(body, F.lit(r"(?m)^#{1,6}\s+(.+)$"), F.lit(1))
-
-
-def residual_markup(body: Column) -> Column:
-    """Tags left outside fenced code, but for one-word place holders such as <name>."""
-    plain = F.regexp_replace(body, "(?s)```.*?```", "")
-    tags = F.regexp_extract_all(plain, F.lit(r"</?[A-Za-z][^>]*>"), F.lit(0))
-    return F.filter(tags, lambda t: ~t.rlike(r"^<[a-z_]+>$"))

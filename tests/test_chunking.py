@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from docpipe import config as C
 from docpipe.operators import chunking as K
@@ -103,6 +104,6 @@ def test_front_matter():
 
 def test_tables(spark):
     df = spark.createDataFrame([("p", "# A\n" + WORDS(100)), ("q", None), ("r", "plain")], "doc_path string, body string")
-    rows = S.sections_tree(df).withColumn("section", S.flat_path("section_path") if False else S.F.array_join("section_path", " > "))
+    rows = S.sections_tree(df).withColumn("section", S.flat_path(F.col("section_path")))
     got = K.chunk_documents(rows).collect()
     assert [(r.doc_path, r.section, r.token_count) for r in got] == [("p", "A", 100)]

@@ -84,6 +84,12 @@ def test_merge(spark):
     assert incremental.validate_unchanged(new, new, new.select("doc_path"), "pos").first().ok
 
 
+def test_same_chunk(spark):
+    a = frame(spark, [("a", "s", "1", 0), ("b", "s", "2", 1)])
+    b = frame(spark, [("a", "s", "1", 5), ("b", "s", "3", 1)])
+    assert a.alias("x").join(b.alias("y"), incremental.chunks_equal("x", "y")).count() == 1
+
+
 def test_files_to_process(spark):
     now = spark.createDataFrame([("a", "1"), ("b", "2"), ("n", "3")], "doc_path string, file_hash string")
     old = spark.createDataFrame([("a", "1"), ("b", "x"), ("g", "4")], "doc_path string, file_hash string")
