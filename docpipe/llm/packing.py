@@ -38,9 +38,9 @@ from ._store import Scratch
 LENGTH = 2048
 END = 0
 SLOTS = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
-_PUNCTUATION = frozenset(b".,;:!?")
+_STOPS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 
 def _byte_letters() -> dict[int, str]:
@@ -65,41 +65,48 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.letters = {b: c for b, c in _byte_letters().items()}
-        self.special = {t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.letters = _byte_letters()
+        self.special = {t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.known: dict[bytes, bytes] = {}
-
-    def _run_of_letters(self, word: str) -> bytes | None:
-        """Ids of a word that is one pre-token as it stands, else None."""
-        if not word.isalpha() or word.lower() != word or not unicodedata.is_normalized("NFC", word) or word in self.special:
-            return None
-        if not word.isascii():
-            word = "".join([self.letters[b] for b in word.encode()])
-        return np.array([t.id for t in self.model.tokenize(word)], np.uint32).tobytes()
+        self.raw = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]  # an id as it is joined
+
+    def _run_of_letters(self, word: bytes) -> bytes | None:
+        """Ids of a word that is one pre-token as it stands, else None; ASCII letters are lower-case already."""
+        if word.isalpha():
+            text = word.decode()
+        else:
+            text = word.decode()
+            if not text.isalpha() or text.lower() != text or not unicodedata.is_normalized("NFC", text):
+                return None
+            text = "".join([self.letters[b] for b in word])
+        return b"".join([self.raw[t.id] for t in self.model.tokenize(text)])
 
     def learn(self, words: list[bytes]) -> None:
-        hard = []
+        known, hard = self.known, []
+        self._whole([s for s in _STOPS if s not in known])
         for w in words:
-            text = w.decode()
-            if text.isascii():
-                text = text.lower()
-            stop = b""
-            if len(text) > 1 and w[-1] in _PUNCTUATION:
-                text, stop = text[:-1], w[-1:]
-                if stop not in self.known:
-                    self._whole([stop])
-            ids = self._run_of_letters(text)
-            if ids is None:
-                hard.append(w)
+            core = w.lower()
+            stop = core[-1:]
+            if stop in _STOPS and len(core) > 1:
+                core = core[:-1]
             else:
-                self.known[w] = ids + self.known[stop] if stop else ids
+                stop = b""
+            # What the table holds for a run of letters may be used for it with a stop or in capitals.
+            ids = known.get(core) if core.isalpha() else None
+            if ids is None:
+                ids = self._run_of_letters(core) if core not in self.special else None
+                if ids is None:
+                    hard.append(w)
+                    continue
+                known[core] = ids
+            known[w] = ids + known[stop] if stop else ids
         self._whole(hard)
 
     def _whole(self, words: list[bytes]) -> None:
         for a in range(0, len(words), 4096):
             part = words[a : a + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found))
+            self.known.update((w, b"".join([self.raw[i] for i in e.ids])) for w, e in zip(part, found))
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -108,10 +115,11 @@ class WordTokens:
             known = self.known
             if len(known) > CACHE_WORDS:
                 known.clear()
-            new = [w for w in set(words) if w not in known]
-            if new:
-                self.learn(new)
-            yield b"".join([known[w] for w in words])
+            found = list(map(known.get, words))
+            if None in found:
+                self.learn(list(dict.fromkeys(w for w, ids in zip(words, found) if ids is None)))
+                found = map(known.__getitem__, words)
+            yield b"".join(found)
 
 
 _loaded: dict[str, WordTokens] = X.cache("packing")
