@@ -165,6 +165,70 @@ def test_repeated_passages(spark, passages):
     assert len(texts[None]) == 1
 
 
+def brute_near(rows, least=50):
+    """Words in passages whose end shingles agree with an earlier document's passage, of similarity 0.8 or more."""
+    marked = {}
+    grams = {i: [tuple(w[k : k + 5]) for k in range(len(w) - 4)] for i, t in rows for w in [words(t)]}
+    for i, mine in grams.items():
+        marked[i] = np.zeros(len(mine) + 4 if mine else 0, bool)
+        for o, theirs in grams.items():
+            if o >= i:
+                continue
+            points = [(p, q) for p, g in enumerate(theirs) for q, h in enumerate(mine) if g == h]
+            for p, q in points:
+                for r, s in points:
+                    if r - p + 5 < least or s - q + 5 < least or marked[i][q : s + 5].all():
+                        continue
+                    x, y = set(theirs[p : r + 1]), set(mine[q : s + 1])
+                    if 100 * len(x & y) >= 80 * len(x | y):
+                        marked[i][q : s + 5] = True
+    return marked
+
+
+def test_passages_with_edits(spark):
+    base = prose(601, 200).split()
+    replaced, shifted, loose = list(base), list(base), list(base)
+    for k in (45, 90, 135, 180):
+        replaced[k] = f"new{k}"
+    for k in (180, 135, 90, 45):
+        shifted.insert(k, f"more{k}")
+    for k in range(10, 200, 12):
+        loose[k] = f"far{k}"
+    texts = [base, replaced, shifted, loose]
+    rows = [(i, " ".join([prose(610 + i, 30), *t, prose(620 + i, 30)])) for i, t in enumerate(texts)]
+    want = brute_near(rows)
+    assert want[1].sum() == 200 and want[2].any() and not want[3].any()
+    assert not any(m.any() for m in brute_repeats(rows).values())
+    docs = documents(spark, rows).repartition(3)
+    found = {i: np.zeros(len(m), bool) for i, m in want.items()}
+    for r in substrings.repeated_passages(docs).collect():
+        assert r.origin_id == 0
+        found[r.doc_id][r.start : r.end] = True
+    assert all((found[i] == want[i]).all() for i in want)
+    left = {r.doc_id: words(r.text) for r in substrings.cut_repeats(docs).collect()}
+    assert left == {i: [w for w, m in zip(words(t), want[i]) if not m] for i, t in rows}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_near_spans(seed):
+    rng = np.random.default_rng(seed)
+    a = rng.integers(0, 12 if seed < 2 else 500, 60).astype(np.uint64)
+    b = np.concatenate([a[5:25], rng.integers(600, 700, 2 + seed).astype(np.uint64), a[26:50], a[:8]])
+    want = np.zeros(len(b), bool)
+    points = [(i, j) for i in range(len(a)) for j in range(len(b)) if a[i] == b[j]]
+    for i, j in points:
+        for p, q in points:
+            if p - i + 1 >= 15 and q - j + 1 >= 15 and not want[j : q + 1].all():
+                x, y = set(a[i : p + 1].tolist()), set(b[j : q + 1].tolist())
+                want[j : q + 1] |= 100 * len(x & y) >= 80 * len(x | y)
+    got = np.zeros(len(b), bool)
+    for j, q in substrings.near_spans(a, b, 15):
+        got[j:q] = True
+    assert not (got & ~want).any()
+    if seed >= 2:
+        assert (got == want).all()
+
+
 def test_compact_windows_cover_each_range_once():
     rng = np.random.default_rng(1)
     for values in (rng.integers(0, 30, 60), np.zeros(40, int), rng.permutation(50)):
