@@ -4,7 +4,7 @@
    Documents with equal sets form one class, represented by its least doc_id.
 2. Classes are posted under each (coordinate, value) pair. A pair of classes of
    similarity s shares each coordinate with probability s, so linked pairs share
-   at least `matches` of K but for a chance of about one in a million at s = 0.8.
+   at least `matches` of K but for a chance of 5.0 in a million at s = 0.8.
    Values that occur once are skipped; with the values of a class ordered from
    rare to frequent, any two classes with that many matches meet in their first
    K - matches + 1 values, so only that prefix is posted.

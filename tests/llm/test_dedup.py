@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -89,6 +90,11 @@ def test_one_row_a_group_stays(spark, rows):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_stated_chance_of_a_missed_pair():
+    chance = sum(math.comb(neardup.K, k) * 0.8**k * 0.2 ** (neardup.K - k) for k in range(neardup.MATCHES))
+    assert f"{chance * 1e6:.1f} in a million" in neardup.__doc__
+
+
 def test_no_rows(spark):
     assert neardup.near_duplicates(documents(spark, [])).count() == 0
     assert neardup.near_duplicates(documents(spark, [(1, None), (2, "")])).count() == 2
