@@ -31,17 +31,31 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_left: list[str] = []  # folders of this process that a returned DataFrame may still read
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what finished runs of this process left in the shared folder.
+
+    The DataFrames that the operators return read a last table there, so call
+    this when their results are written; a job's end is the usual place.
+    """
+    while _left:
+        remove(spark, _left.pop())
+
+
 class Scratch:
     """Tables of one run; lineage ends at each, so a lost executor costs one step."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark).rstrip('/')}/docpipe-{name}-{uuid.uuid4().hex}"
-        self.count = 0
+        self.paths: list[str] = []
+        _left.append(self.path)
 
     def save(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.path}/{self.count}"
+        path = f"{self.path}/{len(self.paths) + 1}"
+        self.paths.append(path)
         held = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
@@ -56,6 +70,9 @@ class Scratch:
         for table in tables:
             remove(self.spark, table._docpipe_path)
 
-    def clear(self) -> None:
-        """Remove all tables of this run."""
-        remove(self.spark, self.path)
+    def clear(self, *but: DataFrame) -> None:
+        """Remove all tables of this run but those named."""
+        held = {t._docpipe_path for t in but}
+        for path in self.paths:
+            if path not in held:
+                remove(self.spark, path)

@@ -101,7 +101,7 @@ def shingle_table(hashed: np.ndarray, first: np.ndarray, width: int, short: bool
     mult = seeds(width, 23)
     n = len(hashed)
     mixed = np.zeros(n, np.uint64)
-    for j in range(width):
+    for j in range(min(width, n)):
         mixed[: n - j] += hashed[j:] * mult[j]
     full = np.maximum(count - width + 1, 0)
     out_first = np.zeros(len(count) + 1, np.int64)
