@@ -66,9 +66,10 @@ def rows():
     return out + [r for r in odd_rows() if r[0] is not None]
 
 
-@pytest.mark.parametrize("block", [neardup.BLOCK_BYTES, 2000])
-def test_near_duplicates(spark, rows, monkeypatch, block):
+@pytest.mark.parametrize("block, few", [(neardup.BLOCK_BYTES, neardup.FEW), (2000, 2), (2000, 1)])
+def test_near_duplicates(spark, rows, monkeypatch, block, few):
     monkeypatch.setattr(neardup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(neardup, "FEW", few)
     docs = with_clashes(documents(spark, [*rows, (None, rows[0][1]), (None, None)])).repartition(3)
     got = neardup.near_duplicates(docs, 4, 80).collect()
     assert len(got) == len(rows) + 2
@@ -86,10 +87,97 @@ def test_one_row_a_group_stays(spark, rows):
     kept = neardup.keep_first(docs, 4, 80)
     assert kept.columns == docs.columns
     want, _ = brute_components(rows)
-    assert sorted(r.doc_id for r in kept.select("doc_id").where("doc_id is not null").collect()) == sorted(set(want.values()))
+    stays = set(want.values()) | {i for i, t in rows if not words(t)}
+    assert sorted(r.doc_id for r in kept.select("doc_id").where("doc_id is not null").collect()) == sorted(stays)
     assert kept.where("doc_id is null").count() == 2
 
 
+def grouped_texts(rows, width):
+    """(id, text) -> number of its group of texts, by brute force; None without words."""
+    keys = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], r[1] or "", r[1] is None))
+    numbers, _ = brute_components([(n, t) for n, (_, t) in enumerate(keys)], width)
+    return {k: numbers[n] if words(k[1]) else None for n, k in enumerate(keys)}
+
+
+def clashing_ids(seed):
+    """Rows whose doc_ids repeat with equal texts, near copies and other texts."""
+    rng = random.Random(seed)
+    base = [prose(900 + i, 60 + i) for i in range(6)]
+    out = []
+    for k in range(40):
+        text = base[rng.randrange(6)]
+        out.append((rng.randrange(12), text if k % 3 else edited(text, k, rng.randrange(4))))
+    return out + out[:5] + [(3, ""), (3, None), (4, "two words"), (5, "two words"), (None, base[0])]
+
+
+PROBES = [
+    [(1, "a b c d e f"), (2, "a b c d e f"), (2, "k l m n o p"), (3, "k l m n o p")],
+    [(7, "a b c d e f"), (7, "k l m n o p")],
+    clashing_ids(1),
+    clashing_ids(2),
+]
+
+
+@pytest.mark.parametrize("rows", PROBES)
+def test_no_text_goes_for_its_id(spark, rows):
+    kept = [(r.doc_id, r.text) for r in neardup.keep_first(documents(spark, rows).repartition(3), 5, 80).collect()]
+    group = grouped_texts(rows, 5)
+    assert len(set(kept)) == len([k for k in kept if k[0] is not None]) + len({k for k in kept if k[0] is None})
+    kept = [k for k in kept if k[0] is not None]
+    assert set(kept) <= set(group)
+    assert sorted(group[k] for k in kept if group[k] is not None) == sorted({g for g in group.values() if g is not None})
+    assert {k for k in group if group[k] is None} <= set(kept)
+
+
+@pytest.mark.parametrize("rows", PROBES)
+def test_one_component_an_id(spark, rows):
+    got = defaultdict(set)
+    for r in neardup.near_duplicates(documents(spark, rows), 5, 80).collect():
+        if r.doc_id is not None and r.n_shingles:
+            got[r.doc_id].add(r.component_id)
+    group = grouped_texts(rows, 5)
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for (i, _), g in group.items():
+        if g is not None:
+            root[find(("id", i))] = find(("group", g))
+    for i, found in got.items():
+        same = [j for j in got if find(("id", j)) == find(("id", i))]
+        assert found == {min(same)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 6, 7])
+def test_a_table_of_one_short_text(spark, n):
+    docs = documents(spark, [(9, " ".join("hello" for _ in range(n)))])
+    got = neardup.near_duplicates(docs, 4, 80).collect()
+    assert [(r.doc_id, r.component_id, r.n_shingles, r.kept) for r in got] == [(9, 9, 1 if n else 0, True)]
+    assert neardup.keep_first(docs).collect() == docs.collect()
+    assert substrings.repeated_passages(docs, 50 if n % 2 else 5).count() == 0
+    assert substrings.cut_repeats(docs, 5).collect() == docs.collect()
+
+
+def test_a_short_text_after_a_full_batch(spark):
+    docs = documents(spark, [(i, prose(i, 80)) for i in range(1000)] + [(1000, "hello world")]).coalesce(1)
+    assert neardup.near_duplicates(docs, 4, 80).count() == 1001
+    assert substrings.cut_repeats(docs).count() == 1001
+
+
+def test_texts_of_one_id_are_cut_apart(spark):
+    passage, own, whole = prose(950, 60), prose(951, 90), prose(952, 70)
+    rows = [(1, f"{prose(953, 20)} {passage}"), (2, f"{passage} {prose(954, 20)}"), (2, own), (3, whole), (4, whole), (4, own + " end"), (5, own)]
+    left = defaultdict(list)
+    for r in substrings.cut_repeats(documents(spark, rows).repartition(2)).collect():
+        left[r.doc_id].append(r.text)
+    assert [words(t) for t in left[2]] in ([words(prose(954, 20)), words(own)], [words(own), words(prose(954, 20))])
+    assert left[3] == [whole] and left[1] == [rows[0][1]]
+    assert left[4] in (["end"], [" end"]) and 5 not in left
+
+
 def test_stated_chance_of_a_missed_pair():
     chance = sum(math.comb(neardup.K, k) * 0.8**k * 0.2 ** (neardup.K - k) for k in range(neardup.MATCHES))
     assert f"{chance * 1e6:.1f} in a million" in neardup.__doc__
