@@ -325,13 +325,33 @@ def test_near_spans(seed):
 
 def test_compact_windows_cover_each_range_once():
     rng = np.random.default_rng(1)
-    for values in (rng.integers(0, 30, 60), np.zeros(40, int), rng.permutation(50)):
-        values = values.astype(np.uint64)
-        windows = substrings.compact_windows(values, 7)
-        for i in range(len(values)):
-            for j in range(i + 6, len(values)):
+    rows = [rng.integers(0, 30, 60), np.zeros(40, int), np.zeros(0, int), rng.permutation(50), np.arange(7), np.arange(6)]
+    first = np.cumsum([0] + [len(r) for r in rows])
+    values = np.concatenate(rows).astype(np.uint64)
+    windows = list(zip(*(x.tolist() for x in substrings.compact_windows(values, first, 7))))
+    for p, q in zip(first, first[1:]):
+        for i in range(p, q):
+            for j in range(i + 6, q):
                 inside = [(a, c, b) for a, c, b in windows if a <= i <= c <= j <= b]
                 assert len(inside) == 1 and values[inside[0][1]] == values[i : j + 1].min()
+    assert all(any(p <= a and b < q for p, q in zip(first, first[1:])) for a, _, b in windows)
+    assert not len(substrings.compact_windows(values[:0], np.array([0, 0]), 7)[0])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_no_hopeful_pair_is_passed_over(seed):
+    rng = np.random.default_rng(seed)
+    pairs = []
+    for k in range(60):
+        a = rng.integers(0, 5000 if k % 3 else 60, 80).astype(np.uint64)
+        b = a.copy()
+        for i in rng.choice(80, k // 4, replace=False):
+            b[i] = 9000 + i
+        pairs.append((a, b[: 60 + k % 20]))
+    cat = lambda side: (np.concatenate([p[side] for p in pairs]), np.cumsum([0] + [len(p[side]) for p in pairs]))
+    may = substrings.hopeful(*cat(0), *cat(1), 46)
+    found = [bool(substrings.near_spans(a, b, 46)) for a, b in pairs]
+    assert any(found) and not all(may) and all(m for m, f in zip(may, found) if f)
 
 
 def test_pipeline(spark, tmp_path, sf_dir):
