@@ -345,7 +345,7 @@ def test_no_hopeful_pair_is_passed_over(seed):
     for k in range(60):
         a = rng.integers(0, 5000 if k % 3 else 60, 80).astype(np.uint64)
         b = a.copy()
-        for i in rng.choice(80, k // 4, replace=False):
+        for i in rng.choice(80, k, replace=False):
             b[i] = 9000 + i
         pairs.append((a, b[: 60 + k % 20]))
     cat = lambda side: (np.concatenate([p[side] for p in pairs]), np.cumsum([0] + [len(p[side]) for p in pairs]))
