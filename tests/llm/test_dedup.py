@@ -349,9 +349,14 @@ def test_no_hopeful_pair_is_passed_over(seed):
             b[i] = 9000 + i
         pairs.append((a, b[: 60 + k % 20]))
     cat = lambda side: (np.concatenate([p[side] for p in pairs]), np.cumsum([0] + [len(p[side]) for p in pairs]))
-    may = substrings.hopeful(*cat(0), *cat(1), 46)
-    found = [bool(substrings.near_spans(a, b, 46)) for a, b in pairs]
-    assert any(found) and not all(may) and all(m for m, f in zip(may, found) if f)
+    may = dict(substrings.segments_of_pairs(*cat(0), *cat(1), 46))
+    found = [substrings.near_spans(a, b, 46) for a, b in pairs]
+    assert any(found) and len(may) < 60 and all(k in may for k, f in enumerate(found) if f)
+    for k, segments in may.items():
+        if segments is not None:
+            assert segments.tolist() == sorted(substrings._segments(*pairs[k]).tolist(), key=lambda x: x[1])
+            assert substrings.near_spans(*pairs[k], 46, runs=segments) == found[k]
+    assert any(s is not None for s in may.values())
 
 
 def test_pipeline(spark, tmp_path, sf_dir):
@@ -368,6 +373,39 @@ def test_pipeline(spark, tmp_path, sf_dir):
     assert {r.doc_id for r in out} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+def test_pipeline_stages_against_brute_force(spark, sf_dir):
+    """Each stage on its own input, row by row."""
+    import corpus_pipeline
+
+    from .test_exact import brute_hits
+
+    stage = dict(corpus_pipeline.STAGES)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    base = [prose(700 + i, 120) for i in range(8)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(20 + i, edited(base[i % 4], i, i % 7)) for i in range(24)]
+    rows += [(60 + i, f"{prose(760 + i, 40)} {' '.join(base[7].split()[20:90])} {prose(780 + i, 30)}") for i in range(5)]
+    rows += [(80 + i, f"{prose(800 + i, 60)} {items[i][1]} {prose(820 + i, 20)}") for i in range(3)]
+    rows += [r for r in odd_rows() if r[0] is not None and (r[1] is None or len(r[1]) < 50_000)]
+    kept = {(r.doc_id, r.text) for r in stage["near_dedup"](spark, documents(spark, rows), sf_dir).collect()}
+    group = grouped_texts(rows, 5)
+    first = {}
+    for k, g in group.items():
+        if g is not None and (g not in first or k[0] < first[g][0]):
+            first[g] = k
+    rows = sorted(kept, key=lambda r: r[0])
+    assert kept == set(first.values()) | {k for k, g in group.items() if g is None}
+    cut = {r.doc_id: r.text for r in stage["substring_dedup"](spark, documents(spark, rows), sf_dir).collect()}
+    exact, near = brute_repeats(rows), brute_near([r for r in rows if r[0] < 1000])
+    for i, t in rows:
+        marked = exact[i] | near[i] if i in near else exact[i]
+        left = [w for w, m in zip(words(t), marked) if not m]
+        assert words(cut.get(i)) == left and (marked.any() or cut[i] == t)
+    assert any(m.any() for m in exact.values())
+    clean = {r.doc_id for r in stage["decontamination"](spark, documents(spark, rows), sf_dir).collect()}
+    assert clean == {i for i, t in rows if not brute_hits(t, items)[4]} and len(clean) < len(rows)
+
+
 def test_pipeline_odd_rows(spark, sf_dir):
     import corpus_pipeline
 
