@@ -7,9 +7,13 @@ the windows are the patterns of the automaton. Each document's normalised words
 are scanned once; matches are mapped to word ranges and to byte offsets of the
 original text.
 
-The benchmark is cut into blocks of at most BLOCK_CHARS pattern characters, each
-one automaton; more than one block means one scan of the text per block and a
-merge by document of small rows.
+A benchmark of up to BLOCK_CHARS pattern characters is one automaton. A larger
+one has an automaton for each block of items, of which a task holds one at a
+time; then the texts are read once against the sorted 64-bit hashes of all
+windows (SPOT_WINDOWS of them at a time, 8 bytes each, counted before they are
+sent), and only those with an equal hash, which are few, are written and scanned
+by the automata. A window in a text always has an equal hash, so no hit is lost,
+and the automata decide.
 
 Defined cases: null and empty texts have no words; a null doc_id is kept;
 repeated rows are judged alike; an empty benchmark contaminates nothing; items
@@ -19,6 +23,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -30,9 +35,11 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from . import _text as X
+from ._store import Scratch
 
 WINDOW = 10
 BLOCK_CHARS = 2 << 20
+SPOT_WINDOWS = 32 << 20
 
 _ROW = "row long, doc_id long, n_words long, starts array<int>, ends array<int>, bytes_from array<int>, bytes_to array<int>, items array<string>"
 _automata: dict[str, ahocorasick.Automaton] = X.cache("decontam")
@@ -152,30 +159,93 @@ def _blocks(benchmark: DataFrame) -> Iterator[dict[str, list[str]]]:
         yield windows(block)
 
 
+def _window_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `width` normalised words of each text, in the layout of word_table."""
+    words, _, _, first = X.word_table([t.translate(X.ALNUM_FOLD) for t in texts])
+    return X.shingle_table(words, first, width, short=False)
+
+
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(width, window): the hashes of the windows of benchmark items."""
+    for batch in X.slices(batches, "text"):
+        widths, hashes = [], []
+        texts = X.text_bytes(batch.column("text"))
+        for width in range(1, WINDOW + 1):
+            part = [t for t in texts if min(len(normal_words(t)), WINDOW) == width]
+            found = np.unique(_window_hashes(part, width)[0])
+            widths.append(np.full(len(found), width, np.int32))
+            hashes.append(found)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(widths)), pa.array(np.concatenate(hashes).view(np.int64))], names=["width", "window"])
+
+
+def _spots(benchmark: DataFrame) -> list[dict[int, np.ndarray]]:
+    """Sorted window hashes by width, in parts of about SPOT_WINDOWS."""
+    texts = benchmark.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    found = texts.mapInArrow(_item_rows, "width int, window long").distinct()
+    parts = -(-found.count() // SPOT_WINDOWS)
+    out = []
+    for k in range(parts):
+        table = found.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == k).toArrow()
+        width, window = table.column("width").to_numpy(), table.column("window").to_numpy().view(np.uint64)
+        out.append({int(w): np.sort(window[width == w]) for w in np.unique(width)})
+    return out
+
+
+def _spot_rows(shared, keep: bool | None):
+    """Batches with `spotted` (whether a window's hash occurs), or only rows where it is `keep`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in X.slices(batches, "text"):
+            texts = X.text_bytes(batch.column("text"))
+            hit = np.zeros(len(texts), bool)
+            for width, known in shared.value.items():
+                hashes, first = _window_hashes(texts, width)
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                equal = np.concatenate([[0], np.cumsum(known[at] == hashes)])
+                hit |= equal[first[1:]] > equal[first[:-1]]
+            if keep is None:
+                hit |= batch.column("spotted").to_numpy(zero_copy_only=False)
+                yield batch.set_column(batch.schema.get_field_index("spotted"), "spotted", pa.array(hit))
+            else:
+                yield batch.filter(pa.array(hit == keep))
+
+    return run
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of docs: n_words, hit word ranges, hit byte ranges of the original, items."""
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "*")
+    blocks = _blocks(benchmark)
+    first = next((b for b in blocks if b), None)
+    second = next((b for b in blocks if b), None)
+    if first is None:
+        return numbered.mapInArrow(_hit_rows(None), _ROW)
+    if second is None:
+        return numbered.mapInArrow(_hit_rows(spark.sparkContext.broadcast(first)), _ROW)
+    scratch = Scratch(spark, "decontam")
+    spotted = rows.withColumn("spotted", F.lit(False))
+    for part in _spots(benchmark):
+        spotted = spotted.mapInArrow(_spot_rows(spark.sparkContext.broadcast(part), None), "doc_id long, text string, spotted boolean")
+    # Written with its numbers, which are then the same in every scan.
+    maybe = scratch.save(spotted.where("spotted").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    whole = spotted.where("not spotted").select(F.lit(None).cast("long").alias("row"), "doc_id", "text").mapInArrow(_hit_rows(None), _ROW)
     scans = []
-    for block in _blocks(benchmark):
+    for block in itertools.chain([first, second], blocks):
         if block:
-            scans.append(rows.mapInArrow(_hit_rows(spark.sparkContext.broadcast(block)), _ROW))
-    if not scans:
-        return rows.mapInArrow(_hit_rows(None), _ROW)
-    if len(scans) == 1:
-        return scans[0]
-    # Every scan reads the same rows in the same partitions, so a row has one number in all of them.
-    whole = scans[0]
+            shared = spark.sparkContext.broadcast(block)
+            scans.append(scratch.save(maybe.mapInArrow(_hit_rows(shared), _ROW)))
+            shared.destroy()
+    hits = scans[0]
     for s in scans[1:]:
-        whole = whole.unionAll(s)
+        hits = hits.unionAll(s)
     pairs = F.struct(F.col("starts").alias("a"), F.col("ends").alias("b"), F.col("bytes_from").alias("c"), F.col("bytes_to").alias("d"))
-    grouped = whole.groupBy("row", "doc_id", "n_words").agg(
+    grouped = hits.groupBy("row", "doc_id", "n_words").agg(
         F.collect_list(pairs).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
-    return grouped.mapInArrow(_merge_blocks, _ROW)
+    return whole.unionAll(grouped.mapInArrow(_merge_blocks, _ROW))
 
 
 def _merge_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,10 +298,31 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that hold no window; no shuffle."""
     spark = docs.sparkSession
     ship(spark)
-    for block in _blocks(benchmark):
+    blocks = _blocks(benchmark)
+    first = next((b for b in blocks if b), None)
+    second = next((b for b in blocks if b), None)
+    if first is None:
+        return docs
+    if second is None:
+        return docs.mapInArrow(_clean_rows(spark.sparkContext.broadcast(first)), docs.schema)
+    scratch = Scratch(spark, "clean")
+    clear, maybe = docs, []
+    for part in _spots(benchmark):  # what no part spots is clear; what a part is the first to spot is scanned
+        shared = spark.sparkContext.broadcast(part)
+        maybe.append(clear.mapInArrow(_spot_rows(shared, True), docs.schema))
+        clear = clear.mapInArrow(_spot_rows(shared, False), docs.schema)
+    left = maybe[0]
+    for m in maybe[1:]:
+        left = left.unionAll(m)
+    left = scratch.save(left)
+    for block in itertools.chain([first, second], blocks):
         if block:
-            docs = docs.mapInArrow(_clean_rows(spark.sparkContext.broadcast(block)), docs.schema)
-    return docs
+            shared = spark.sparkContext.broadcast(block)
+            rest = scratch.save(left.mapInArrow(_clean_rows(shared), docs.schema))
+            shared.destroy()
+            scratch.drop(left)
+            left = rest
+    return clear.unionAll(left)
 
 
 CONTAMINATION_SQL = """

@@ -10,9 +10,11 @@ sequences. That is best-fit decreasing; its cost depends on the number of
 classes, not on that of documents. The outcome is a table of runs: documents of
 one size with ranks [from, to) take consecutive sequences at one offset.
 
-Ranks are computed by distributed windows over (size, hash slot) and counts of
-those, so documents of one size meet in many tasks; conflicts for one gap cannot
-arise as each rank has its own place in a run.
+Ranks are computed by distributed windows over (size, slot) and counts of those;
+a slot is the hash of a row number that is written with the pieces, and there
+are as many slots as the most frequent size needs, so neither one size nor equal
+rows meet in one task. Conflicts for one gap cannot arise as each rank has its
+own place in a run. Full pieces are sequences by themselves and need no rank.
 
 Defined cases: null text is the empty text, which is the end token alone; a null
 doc_id is packed too; repeated rows are packed once each; other columns are
@@ -37,7 +39,7 @@ from ._store import Scratch
 
 LENGTH = 2048
 END = 0
-SLOTS = 256
+SLOT_ROWS = 65_536  # of one size that are ranked in one task, on average
 CACHE_WORDS = 600_000
 
 _STOPS = frozenset((b".", b",", b";", b":", b"!", b"?"))
@@ -236,26 +238,38 @@ def _place_rows(runs: list[tuple[int, int, int, int, int, int]]):
 
 
 def pack(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
-    """pieces with sequence_id and offset; no sequence holds more than length tokens."""
+    """pieces with sequence_id and offset; no sequence holds more than length tokens.
+
+    pieces: doc_id, piece, start, length, ids_crc32 and row, a number that stays with
+    its row however often the table is read.
+    """
     spark = pieces.sparkSession
     ship(spark)
-    slot = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SLOTS))
-    keyed = pieces.withColumn("slot", slot)
-    # At most length x SLOTS counts, and length totals reach the driver.
+    # At most `length` totals reach the driver.
+    totals = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if totals and max(totals) > length:
+        raise ValueError(f"a piece has {max(totals)} tokens, a sequence {length}")
+    totals.pop(length, None)
+    full = pieces.where(F.col("length") == length).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+    )
+    slots = 1 + max(totals.values(), default=0) // SLOT_ROWS
+    keyed = pieces.where(F.col("length") < length).withColumn("slot", F.pmod(F.xxhash64("row"), F.lit(slots)))
     counted = keyed.groupBy("length", "slot").agg(F.count("*").alias("n"))
-    totals = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     base = counted.select("length", "slot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("length", "slot").orderBy("doc_id", "piece", "ids_crc32")
+    inside = Window.partitionBy("length", "slot").orderBy("row")
     ranked = keyed.withColumn("place", F.row_number().over(inside) - 1).join(base, ["length", "slot"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("place")).alias("rank"))
-    return ranked.mapInArrow(
+    placed = ranked.mapInArrow(
         _place_rows(best_fit_runs(totals, length)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",
     )
+    return placed.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
     """Tokenise and pack docs (doc_id, text)."""
     scratch = Scratch(docs.sparkSession, "packing")
-    return pack(scratch.save(token_pieces(docs, tokenizer_path, length)), length)
+    pieces = token_pieces(docs, tokenizer_path, length).withColumn("row", F.monotonically_increasing_id())
+    return pack(scratch.save(pieces), length)
