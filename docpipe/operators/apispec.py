@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 import urllib.parse
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import config as C
 from ..shipping import ship
@@ -21,17 +24,34 @@ from .chunking import regex_tokens
 
 # Verbs in the order they are read, headers that carry no meaning, places of parameters.
 METHODS = ("get", "post", "put", "patch", "delete", "head", "options")
-TRANSPORT_HEADERS = frozenset(
-    "date content-length content-type server connection keep-alive transfer-encoding accept-ranges vary etag last-modified expires age".split()
+TRANSPORT_HEADERS = (
+    "date",
+    "content-length",
+    "content-type",
+    "server",
+    "connection",
+    "keep-alive",
+    "transfer-encoding",
+    "accept-ranges",
+    "vary",
+    "etag",
+    "last-modified",
+    "expires",
+    "age",
 )
+# Fixed value: the order of ASCII signs in the default Unicode collation.
+_SIGNS = "_-,;:!?.'\"()[]{}@*/\\&#%`^+<=>|~$"
 PLACES = ("path", "header", "query", "cookie", "other")
 REF_DEPTH, SCHEMA_DEPTH = 20, 2
 
 
 def locale_key(text: str) -> tuple:
-    """Order of words as a reader expects it: signs, then digits, then letters; lower case before upper on ties."""
-    ranks = [(0 if not c.isalnum() else 1 if c.isdigit() else 2, c.lower()) for c in text]
-    return ranks, [c.isupper() for c in text]
+    """Order of words as a reader expects it, like the UNICODE collation: signs, digits, letters by their
+    base letter; then accents; then lower case before upper."""
+    split = unicodedata.normalize("NFD", text)
+    base = [c for c in split if not unicodedata.combining(c)]
+    ranks = [(0, _SIGNS.find(c), c) if not c.isalnum() else (1 if c.isdigit() else 2, 0, c.lower()) for c in base]
+    return ranks, [c for c in split if unicodedata.combining(c)], [c.isupper() for c in base]
 
 
 # --- reading ----------------------------------------------------------------
@@ -300,6 +320,18 @@ def stable_json(value, indent: int | None = 2) -> str:
     return json.dumps(order(value), indent=indent, ensure_ascii=False, separators=separators)
 
 
+def json_text(column: Column) -> Column:
+    """Lenient JSON as compact text in the stable order; null for null and for what can't be read."""
+
+    def one(text: str) -> str | None:
+        try:
+            return stable_json(parse_lenient(text), None)
+        except ValueError:
+            return None
+
+    return F.pandas_udf(lambda texts: texts.map(one, na_action="ignore"), StringType())(column)
+
+
 def _bullet(name: str, facts: list[str], description: str) -> str:
     return f"- `{name}` ({', '.join(facts)})" + (f" — {description}" if description else "")
 

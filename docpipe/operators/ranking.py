@@ -5,25 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import settled
+
 
 def with_rank(rows: DataFrame, *order: str) -> DataFrame:
-    """Add rank (from 0) by unique order columns: local numbers plus the counts of earlier ranges.
+    """Add rank (from 0) by order columns, of any orderable kind: local numbers plus the counts of earlier ranges.
 
-    Ranges are cut by fixed quantile bounds of the first column, so a range is
-    the same in both uses of the plan.
+    Rows are dealt by range over all order columns, as sampled bounds have it, and
+    settled, so that a row's range is the same in both uses of the plan. Rows that
+    agree in all order columns share a range.
     """
-    first = order[0]
-    bounds = rows.select(F.percentile_approx(F.col(first).cast("double"), [i / 32 for i in range(1, 32)]).alias("b"))
-    kind = dict(rows.dtypes)[first]
-    if kind not in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        cut = F.substring(F.col(first).cast("string"), 1, 2)  # ranges of the leading characters
-        ranged = rows.withColumn("__range", cut)
-    else:
-        limits = bounds.first()["b"] or []
-        place = F.lit(0)
-        for limit in limits:
-            place = place + F.when(F.col(first) > F.lit(limit), 1).otherwise(0)
-        ranged = rows.withColumn("__range", place)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settled(rows.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id()))
     counts = ranged.groupBy("__range").agg(F.count("*").alias("__n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))

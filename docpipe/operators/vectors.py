@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,14 @@ def retrieve(vectors: DataFrame, content: DataFrame, query: list[float], k: int,
     return hits.join(content.withColumnRenamed(content_key, key), key)
 
 
-def list_ids(vectors: DataFrame, most: int, key: str = "id") -> DataFrame:
-    """Ids as a store without listing gives them: a query with the zero vector, `most` at a time."""
-    return vectors.select(key).orderBy(key).limit(most)
+def list_ids(vectors: DataFrame, key: str = "id") -> DataFrame:
+    """All ids of a store that can list."""
+    return vectors.select(key)
+
+
+def list_ids_by_query(vectors: DataFrame, most: int, key: str = "id") -> DataFrame:
+    """Ids of a store that can only search: a query with the zero vector gives `most` at a time, with a warning if there may be more."""
+    found = vectors.select(key).orderBy(key).limit(most)
+    if found.count() == most:
+        warnings.warn(f"the listing stops at {most} ids; there may be more", stacklevel=2)
+    return found

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ScanConfig
+from ..scratch import settled
 
 
 def extension_of(name: Column) -> Column:
@@ -52,6 +53,17 @@ def read_texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
+def read_outputs(spark: SparkSession, root: str, glob: str = "*.md") -> DataFrame:
+    """Files that an earlier step must have written: a missing folder or one without files is an error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise FileNotFoundError(f"no folder {root}")
+    rows = read_texts(spark, root, glob)
+    if rows.isEmpty():
+        raise ValueError(f"no files {glob} below {root}")
+    return rows
+
+
 def read_pages(spark: SparkSession, cfg: ScanConfig) -> DataFrame:
     """Pages as (doc_path, text, size, modified)."""
     return scan_paths(read_texts(spark, cfg.root, "*.{" + ",".join(e[1:] for e in cfg.extensions) + "}"), cfg).withColumnRenamed("path", "doc_path")
@@ -90,16 +102,26 @@ def read_redirects(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("source", "target"))
 
 
-def final_targets(redirects: DataFrame, hops: int = 10) -> DataFrame:
-    """(source, target) with chains followed; a loop ends after `hops` steps."""
-    step = redirects.select(F.col("source").alias("target"), F.col("target").alias("next"))
-    out = redirects
-    for _ in range(hops):
-        longer = out.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("moved"))
-        if longer.where("moved").isEmpty():
+def final_targets(redirects: DataFrame) -> DataFrame:
+    """(source, target) with chains followed to their end, however long they are.
+
+    Each round doubles the steps that a row has gone, so a chain of n hops takes
+    log2(n) rounds. What still moves when more steps are gone than there are
+    rows runs into a loop; such a source keeps its own target.
+    """
+    first = settled(redirects.select("source", "target"))
+    limit, steps, out = first.count(), 1, first
+    while True:
+        step = out.select(F.col("source").alias("target"), F.col("target").alias("next"))
+        longer = settled(out.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("moves")))
+        moves = not longer.where("moves").isEmpty()
+        out, steps = longer.select("source", "target"), 2 * steps
+        if not moves:
+            return out
+        if steps > 2 * limit:  # one round after all chains must have ended
             break
-        out = longer.drop("moved")
-    return out
+    own = first.select("source", F.col("target").alias("own"))
+    return longer.join(own, "source").select("source", F.when(F.col("moves"), F.col("own")).otherwise(F.col("target")).alias("target"))
 
 
 def read_payloads(spark: SparkSession, root: str) -> DataFrame:
