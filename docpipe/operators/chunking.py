@@ -14,6 +14,7 @@ from dataclasses import dataclass, field, replace
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import config as C
 from ..shipping import ship
@@ -226,6 +227,31 @@ def chunk_sections(
     return out
 
 
+CHUNKS = "array<struct<chunk_seq:int,section:string,section_path:array<string>,content:string,token_count:int>>"
+
+
+def chunk_pages(pages: DataFrame, cfg: C.ChunkingConfig | None = None, count: Count = regex_tokens, body: str = "body") -> DataFrame:
+    """pages with `chunks`, an array of their chunks, in place of the body: sections are read and packed in one map.
+
+    A page is one row from the scan on, so nothing is shuffled; its other columns stay.
+    """
+    from .sections import sections
+
+    ship(pages.sparkSession)
+    cfg = cfg or C.ChunkingConfig()
+
+    def run(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            rows = ((" > ".join(s["section_path"]), s["section_path"], s["content"]) for s in sections(text or ""))
+            found = chunk_sections(rows, cfg, count)
+            out.append([{"chunk_seq": i, "section": c.path, "section_path": c.path_array, "content": c.content, "token_count": c.tokens} for i, c in enumerate(found)])
+        return pd.Series(out, dtype=object)
+
+    chunks = F.pandas_udf(run, CHUNKS)(F.col(body))
+    return pages.select(*(c for c in pages.columns if c != body), chunks.alias("chunks"))
+
+
 def _chunk_rows(cfg: C.ChunkingConfig, count: Count):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq", kind="stable")

@@ -53,6 +53,24 @@ def merge_chunks(new: DataFrame, previous: DataFrame, processed: DataFrame, orde
     return fresh.unionByName(old.withColumn("status", F.lit("kept")), allowMissingColumns=True)
 
 
+def by_file(chunks: DataFrame, *order: str) -> DataFrame:
+    """(doc_path, chunks): the rows of each file in order, as an array."""
+    rest = [c for c in chunks.columns if c != "doc_path" and c not in order]
+    return chunks.groupBy("doc_path").agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("chunks"))
+
+
+def carry_over(new: DataFrame, kept: DataFrame, previous: DataFrame, todo: DataFrame, order: str = "chunk_seq") -> DataFrame:
+    """New chunks with their status against the previous run, and all previous chunks of files that are skipped.
+
+    todo: files_to_process; rows of new that have a status keep it. Files of which
+    nothing is known (neither current nor previous) go.
+    """
+    fresh = classify(new.withColumnRenamed("status", "__given"), previous, order)
+    fresh = fresh.withColumn("status", F.coalesce("__given", "status")).drop("__given")
+    same = todo.where("action = 'skip'").select("doc_path").distinct()
+    return fresh.unionByName(kept.join(same, "doc_path", "left_semi").withColumn("status", F.lit("kept")), allowMissingColumns=True)
+
+
 def compare_runs(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
     """One row: added, removed, modified, unchanged chunk ids from a to b."""
     left = keep_last(a.select("chunk_id", "content_hash", order), "chunk_id", order).select("chunk_id", F.col("content_hash").alias("h1"))

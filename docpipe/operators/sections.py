@@ -1,7 +1,8 @@
 """Markdown blocks and the heading tree as flat rows.
 
-The reader knows ATX and setext headings, fenced code, thematic breaks, and
-paragraphs; lists, quotes, tables and HTML blocks are kept as their text. Each
+The reader knows ATX and setext headings, fenced code, thematic breaks, lists,
+quotes, tables, HTML blocks and paragraphs. Lists, quotes, tables and HTML blocks
+give their text: without item marks, quote marks, delimiter rows, or tags. Each
 top-level block lands in the section of the last heading before it; text before
 the first heading belongs to the first section, and a document without headings
 has none. A code block that occurred before in the document is left out.
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,20 +26,51 @@ _ATX = re.compile(r" {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#*)?[ \t]*$")
 _SETEXT = re.compile(r" {0,3}(=+|-+)[ \t]*$")
 _FENCE = re.compile(r" {0,3}(`{3,}|~{3,})[ \t]*([^`]*)$")
 _BREAK = re.compile(r" {0,3}(?:(?:-[ \t]*){3,}|(?:\*[ \t]*){3,}|(?:_[ \t]*){3,})$")
+_ITEM = re.compile(r"\s*(?:[-*+]|\d{1,9}[.)])[ \t]+")
+_QUOTE = re.compile(r" {0,3}>[ \t]?")
+_DELIMITERS = re.compile(r" {0,3}\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*$")
+_HTML = re.compile(r" {0,3}<(?:[a-zA-Z/!?])")
 FRONT_MATTER = re.compile(r"\A---[ \t]*\r?\n(.*?)(?:\r?\n)?---[ \t]*(?:\r?\n|\Z)", re.S)
 
 
+def text_kind(lines: list[str]) -> str:
+    """What a run of lines without a blank one is: list, quote, table, html or paragraph."""
+    if _ITEM.match(lines[0]):
+        return "list"
+    if _QUOTE.match(lines[0]):
+        return "quote"
+    if len(lines) > 1 and "|" in lines[0] and "|" in lines[1] and _DELIMITERS.match(lines[1]):
+        return "table"
+    return "html" if _HTML.match(lines[0]) else "paragraph"
+
+
+def plain_text(kind: str, text: str) -> str:
+    """The words of a block without its marks, a line each."""
+    lines = text.split("\n")
+    if kind == "list":
+        lines = [_ITEM.sub("", x, count=1) if _ITEM.match(x) else x.strip() for x in lines]
+    elif kind == "quote":
+        lines = [_QUOTE.sub("", x, count=1) for x in lines]
+    elif kind == "table":
+        rows = [x for i, x in enumerate(lines) if i != 1]
+        lines = [" ".join(c.strip() for c in x.strip().strip("|").split("|")) for x in rows]
+    elif kind == "html":
+        lines = [x for x in (re.sub(r"<[^>]*>", "", x).rstrip() for x in lines) if x]
+    return "\n".join(lines)
+
+
 def blocks(body: str) -> Iterator[tuple[str, object]]:
-    """(kind, value): heading (level, text), code (language, text), break, or text."""
+    """(kind, value): heading (level, text), code (language, text), break, or a text kind with its text."""
     lines = body.split("\n")
     held: list[str] = []
     i = 0
 
     def flush() -> Iterator[tuple[str, object]]:
         text = "\n".join(held).strip("\n")
+        kind = text_kind(held) if held else ""
         held.clear()
         if text.strip():
-            yield "text", text
+            yield kind, text
 
     while i < len(lines):
         line = lines[i].rstrip("\r")
@@ -90,18 +122,20 @@ def sections(body: str) -> list[dict]:
             seen.add(key)
             text = f"```{language}\n{code}\n```"
         else:
-            text = "---" if kind == "break" else value
+            text = "---" if kind == "break" else plain_text(kind, value)
+            if not text.strip():
+                continue
         (found[-1]["parts"] if found else early).append(text)
     return [{**{k: s[k] for k in ("level", "heading", "section_path")}, "seq": i, "content": "\n\n".join(s["parts"])} for i, s in enumerate(found)]
 
 
 def split_front_matter(page: str) -> tuple[dict, str]:
     """(front matter, body); a page whose block is not a YAML mapping keeps it as text."""
-    import yaml
-
     m = FRONT_MATTER.match(page)
     if not m:
         return {}, page
+    import yaml
+
     try:
         data = yaml.safe_load(m[1]) or {}
     except yaml.YAMLError:
@@ -109,6 +143,24 @@ def split_front_matter(page: str) -> tuple[dict, str]:
     return (data, page[m.end() :]) if isinstance(data, dict) else ({}, page)
 
 
+def front_text(value) -> str | None:
+    """A YAML scalar as text; null if it is empty or not a scalar."""
+    if value is None or isinstance(value, dict | list) or value == "":
+        return None
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def front_values(names: tuple[str, ...]) -> Callable[[Column], Column]:
+    """Column -> struct of front matter scalars and the body, read as YAML; only pages that begin with --- are parsed."""
+
+    def run(pages: pd.Series) -> pd.DataFrame:
+        found = [split_front_matter(p) if p and p.startswith("---") else ({}, p) for p in pages]
+        columns = {n: [front_text(f.get(n)) for f, _ in found] for n in names}
+        return pd.DataFrame(columns | {"body": [b for _, b in found]})
+
+    return F.pandas_udf(run, ", ".join(f"{n} string" for n in (*names, "body")))
+
+
 def _section_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = [{"doc_path": p, **s} for p, body in zip(pdf.doc_path, pdf.body) for s in sections(body or "")]

@@ -2,40 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import markup as M
 from ..functions import text as T
+from ..functions.tokens import count_udf
 from ..operators import apispec, filters, incremental
-from ..operators.chunking import chunk_documents
-from ..operators.sections import flat_path, sections_tree
+from ..operators.chunking import Count, chunk_pages, regex_tokens
+from ..operators.sections import front_values
+from ..scratch import settled
 from ..shipping import ship
 
+SPEC_FOLDER = "api-reference/"
+SPEC_SOURCE = "specifications:"  # paths of specification files among those of pages
 FRONT = ("page_title", "sidebar_title", "order", "visible_in_sidebar")
 
 
-def front_matter_value(page: Column, key: str) -> Column:
-    """A scalar of the leading YAML block, without its quotes; null if it is not there."""
-    yaml = F.regexp_extract(page, M.FRONT_MATTER, 1)
-    raw = F.regexp_extract(yaml, rf"(?m)^{key}:[ \t]*(.*?)[ \t]*$", 1)
-    return F.nullif(F.regexp_replace(raw, r"^([\"'])(.*)\1$", "$2"), F.lit(""))
-
-
 def page_bodies(pages: DataFrame, normalize: bool = True) -> DataFrame:
-    """(doc_path, body, front values) of pages (doc_path, text); front matter is kept apart from the body."""
+    """(doc_path, body, front values) of pages (doc_path, text); front matter is YAML and kept apart from the body."""
     ship(pages.sparkSession)
     text = F.regexp_replace("text", "\r\n", "\n")
-    rest = F.regexp_replace(text, M.FRONT_MATTER, "")
-    values = [front_matter_value(text, k).alias(k) for k in FRONT]
-    return pages.select("doc_path", (M.normalize_page(rest) if normalize else rest).alias("body"), *values)
-
-
-def enrich(chunks: DataFrame, git: dict[str, str], base_url: str) -> DataFrame:
-    """Clean the text, count it again, and add hash, url, context and metadata."""
-    text = T.clean_content(F.col("content"))
-    rows = chunks.withColumn("content", text).withColumn("token_count", T.token_count(F.col("content")))
+    parts = pages.select("doc_path", front_values(FRONT)(text).alias("page"))
+    body = M.normalize_page(F.col("page.body")) if normalize else F.col("page.body")
+    return parts.select("doc_path", body.alias("body"), *(F.col(f"page.{k}").alias(k) for k in FRONT))
+
+
+def clean_chunks(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(chunk rows with clean content, the pages that fail) of pages with chunks; one blank chunk fails its page."""
+    clean = F.transform("chunks", lambda c: c.withField("content", T.clean_content(c["content"])))
+    blank = lambda c: T.trim_ws(c["content"]) == ""
+    # Cleaned once, inside the generator, and judged there: a filter would be pushed below and clean again.
+    good = T.let(clean, lambda cs: F.when(~F.exists(cs, blank), cs))
+    failed = T.let(clean, lambda cs: F.when(F.exists(cs, blank), F.array(F.lit(True))))
+    rows = pages.select(*(c for c in pages.columns if c != "chunks"), F.explode(good).alias("__c"))
+    rows = rows.select("*", "__c.*").drop("__c")
+    return rows, pages.select("doc_path", F.explode(failed)).select("doc_path")
+
+
+def enrich(rows: DataFrame, git: dict[str, str], base_url: str, count: Count | None = None) -> DataFrame:
+    """Count clean chunks again, and add hash, url, context and metadata."""
+    tokens = count_udf(count, F.col("content")) if count else T.token_count(F.col("content"))
+    rows = rows.withColumn("token_count", tokens)
     path = F.col("doc_path")
     pick = lambda name, other: F.coalesce(F.col(name), other) if name in rows.columns else other
     metadata = F.struct(
@@ -65,30 +77,36 @@ def enrich(chunks: DataFrame, git: dict[str, str], base_url: str) -> DataFrame:
     )
 
 
-def ingest(pages: DataFrame, git: dict[str, str] | None = None, base_url: str = "https://docs.example.com", cfg: C.ChunkingConfig | None = None, normalize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(chunks, failed files) of pages (doc_path, text). One shuffle, by document, for the chunker."""
-    bodies = page_bodies(pages, normalize)
-    rows = sections_tree(bodies).withColumn("section", flat_path(F.col("section_path")))
-    chunks = chunk_documents(rows, cfg).join(bodies.drop("body"), "doc_path", "left")
-    return filters.drop_bad_files(enrich(chunks, git or {}, base_url), filters.invalid_chunk())
+def ingest(
+    pages: DataFrame,
+    git: dict[str, str] | None = None,
+    base_url: str = "https://docs.example.com",
+    cfg: C.ChunkingConfig | None = None,
+    normalize: bool = True,
+    count: Count | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(chunks, failed files) of pages (doc_path, text); map-only, `count` is another token counter."""
+    rows, failed = clean_chunks(chunk_pages(page_bodies(pages, normalize), cfg, count or regex_tokens))
+    return enrich(rows, git or {}, base_url, count), failed
 
 
-def ingest_specs(specs: DataFrame, git: dict[str, str] | None = None, base_url: str = "https://docs.example.com") -> tuple[DataFrame, DataFrame]:
-    """(chunks, failed files) of specifications (path, text), through their Markdown."""
+def ingest_specs(
+    specs: DataFrame, git: dict[str, str] | None = None, base_url: str = "https://docs.example.com", count: Count | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(chunks, failed files) of specifications (path, text), through their Markdown; map-only."""
     files = apispec.spec_files(specs).where("error is null")
-    pages = files.select(F.concat(F.lit("api-reference/"), "out_path").alias("doc_path"), F.col("markdown").alias("text"))
-    facts = pages.select("doc_path", T.rag_metadata(F.col("text")).alias("rag"), F.regexp_extract("text", r"(?m)^# (.+)$", 1).alias("page_title"))
     keys = ("product", "category", "source_type", "spec_version")
-    facts = facts.select("doc_path", F.nullif("page_title", F.lit("")).alias("page_title"), *(F.nullif(F.col("rag")[k], F.lit("")).alias(k) for k in keys))
-    facts = facts.withColumns({"sidebar_title": F.col("page_title"), "order": F.lit(None).cast("string")})
-    rows = sections_tree(pages.withColumnRenamed("text", "body")).withColumn("section", flat_path(F.col("section_path")))
-    chunks = chunk_documents(rows).join(facts, "doc_path", "left")
-    return filters.drop_bad_files(enrich(chunks, git or {}, base_url), filters.invalid_chunk())
+    title = F.nullif(F.regexp_extract("markdown", r"(?m)^# (.+)$", 1), F.lit(""))
+    rag = T.rag_metadata(F.col("markdown"))
+    pages = files.select(F.concat(F.lit(SPEC_FOLDER), "out_path").alias("doc_path"), F.col("markdown").alias("body"), title.alias("page_title"), rag.alias("rag"))
+    pages = pages.select("doc_path", "body", "page_title", F.col("page_title").alias("sidebar_title"), F.lit(None).cast("string").alias("order"), *(F.nullif(F.col("rag")[k], F.lit("")).alias(k) for k in keys))
+    rows, failed = clean_chunks(chunk_pages(pages, None, count or regex_tokens))
+    return enrich(rows, git or {}, base_url, count), failed
 
 
 def combine(pages: DataFrame, specs: DataFrame) -> DataFrame:
     """Page chunks with the specification rows replaced."""
-    return incremental.replace_prefix(pages, specs, "api-reference/")
+    return incremental.replace_prefix(pages, specs, SPEC_FOLDER)
 
 
 def run_stats(chunks: DataFrame) -> DataFrame:
@@ -102,10 +120,86 @@ def run_stats(chunks: DataFrame) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, pages: DataFrame, specs: DataFrame | None, out: str, git: dict[str, str] | None = None) -> DataFrame:
-    """Ingest, combine and write chunks below out; the run's stats."""
-    chunks, _ = ingest(pages, git)
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def load_previous(spark: SparkSession, out: str, name: str = "chunks") -> DataFrame | None:
+    """A table of the last run below out; None if there is none or it can't be read, which means a first run."""
+    for path in (f"{out}/{name}", f"{out}/{name}.old"):  # the second if the last swap was cut short
+        if _exists(spark, path):
+            try:
+                return spark.read.parquet(path)
+            except AnalysisException:
+                return None
+    return None
+
+
+def swap(table: DataFrame, out: str, name: str = "chunks") -> DataFrame:
+    """Write a table that may read its own predecessor, then put it in that place."""
+    spark = table.sparkSession
+    draft = f"{out}/{name}.{uuid.uuid4().hex}"
+    table.write.parquet(draft)
+    at = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{out}/{name}", f"{out}/{name}.old", draft)]
+    fs = at[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at[0]):
+        fs.delete(at[1], True)
+        fs.rename(at[0], at[1])
+    fs.rename(at[2], at[0])
+    fs.delete(at[1], True)
+    return spark.read.parquet(f"{out}/{name}")
+
+
+def file_hashes(files: DataFrame, path: str = "doc_path", text: str = "text") -> DataFrame:
+    return files.select(F.col(path).alias("doc_path"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("file_hash"))
+
+
+def run(
+    spark: SparkSession,
+    pages: DataFrame,
+    specs: DataFrame | None,
+    out: str,
+    git: dict[str, str] | None = None,
+    full: bool = False,
+    by_revision: bool = False,
+    count: Count | None = None,
+) -> DataFrame:
+    """Ingest what is new or changed since the last run below out, and drop what is gone; the run's stats.
+
+    Files are compared by content hash; with by_revision another (or unknown)
+    revision means all files again, and with full all of them in any case.
+    Specifications are read again, all of them, if any of them changed.
+    """
+    git = git or {}
+    now = file_hashes(pages)
+    if specs is not None:
+        now = now.unionByName(file_hashes(specs, "path").withColumn("doc_path", F.concat(F.lit(SPEC_SOURCE), "doc_path")))
+    old, files = (None, None) if full else (load_previous(spark, out, n) for n in ("chunks", "files"))
+    if old is None or files is None:
+        old = files = None
+    sha = git.get("commit_sha", "unknown")
+    before = sha
+    if by_revision and files is not None:
+        before = files.agg(F.max("commit_sha")).first()[0]
+    known = sha if by_revision else "any"
+    todo = settled(incremental.files_to_process(now, files, known, before if by_revision else "any"))
+    again = todo.where("action = 'process'")
+    changed = pages.join(again, "doc_path", "left_semi")
+    chunks, _ = ingest(changed, git, count=count)
     if specs is not None:
-        chunks = combine(chunks, ingest_specs(specs, git)[0])
-    chunks.write.mode("overwrite").parquet(f"{out}/chunks")
-    return run_stats(spark.read.parquet(f"{out}/chunks"))
+        same = old is not None and todo.where(F.col("doc_path").startswith(SPEC_SOURCE) & (F.col("action") != "skip")).isEmpty()
+        made = old.where(F.col("doc_path").startswith(SPEC_FOLDER)).drop("status") if same else ingest_specs(specs, git, count=count)[0]
+        chunks = chunks.unionByName(made.withColumn("__same", F.lit(same)), allowMissingColumns=True)
+        chunks = chunks.withColumn("status", F.when(F.col("__same"), "kept")).drop("__same")
+    else:
+        chunks = chunks.withColumn("status", F.lit(None).cast("string"))
+    if old is None:
+        merged = chunks.withColumn("status", F.lit("new"))
+    else:
+        kept = old.where(~F.col("doc_path").startswith(SPEC_FOLDER)) if specs is not None else old
+        merged = incremental.carry_over(chunks, kept.drop("status"), old, todo)
+    swap(merged, out)
+    swap(now.withColumn("commit_sha", F.lit(sha)), out, "files")
+    figures = todo.agg(*(F.count_if(F.col("action") == a).alias(n) for a, n in (("process", "processed"), ("skip", "skipped"), ("deleted", "deleted"))))
+    return run_stats(spark.read.parquet(f"{out}/chunks")).crossJoin(figures)  # one row by one row

@@ -93,7 +93,7 @@ def test_sections_tree():
     body = "Intro text\n\n# One\npara\nmore\n\n## Two\n```py\nx = 1\n```\n\n#### Deep\n- a\n- b\n\n## Three\n```py\nx = 1\n```\nSetext\n------\n\n***\ntail"
     got = S.sections(body)
     assert [s["section_path"] for s in got] == [["One"], ["One", "Two"], ["One", "Two", "Deep"], ["One", "Three"], ["One", "Setext"]]
-    assert [s["content"] for s in got] == ["Intro text\n\npara\nmore", "```py\nx = 1\n```", "- a\n- b", "", "---\n\ntail"]
+    assert [s["content"] for s in got] == ["Intro text\n\npara\nmore", "```py\nx = 1\n```", "a\nb", "", "---\n\ntail"]
     assert S.sections("no heading") == []
 
 
