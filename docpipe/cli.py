@@ -6,14 +6,16 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config as C
+from .functions import tokens
 from .operators import apispec, sync, validate
 from .plans import pipeline
-from .sources import files, state, stores
+from .sources import files, sinks, state, stores
 
 
 def _chunks(spark: SparkSession, out: str) -> DataFrame:
@@ -26,14 +28,21 @@ def _specs(spark: SparkSession, folder: str | None) -> DataFrame | None:
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> dict:
     pages = files.read_pages(spark, C.ScanConfig(a.pages)).select("doc_path", "text")
-    row = pipeline.run(spark, pages, _specs(spark, a.specs), a.out, state.git_facts(a.repo)).first()
+    counter = tokens.BpeCounter(a.vocabulary) if a.vocabulary else None
+    row = pipeline.run(spark, pages, _specs(spark, a.specs), a.out, state.git_facts(a.repo), a.full, a.by_revision, counter).first()
+    if a.export:
+        sinks.write_json_export(_chunks(spark, a.out), a.export, row.asDict())
     return row.asDict()
 
 
 def normalize_pages(spark: SparkSession, a: argparse.Namespace) -> dict:
     pages = files.read_pages(spark, C.ScanConfig(a.pages)).select("doc_path", "text")
     pipeline.page_bodies(pages).write.mode("overwrite").parquet(f"{a.out}/pages")
-    return {"pages": spark.read.parquet(f"{a.out}/pages").count()}
+    rows = spark.read.parquet(f"{a.out}/pages")
+    done = sinks.write_pages(rows, f"{a.out}/normalized")
+    errors = [r.asDict() for r in done.where("error is not null").limit(20).collect()]
+    gate = validate.same_files(pages, done.where("error is null"))
+    return {"pages": rows.count(), "passed": gate.passed, "errors": errors}
 
 
 def normalize_specs(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -75,8 +84,16 @@ def run_sync(spark: SparkSession, a: argparse.Namespace) -> dict:
     meta = F.map_filter(F.create_map(*(x for k in validate.SPEC_KEYS for x in (F.lit(k), F.col(f"metadata.{k}")))), lambda _, v: v.isNotNull())
     fields = {"doc_path": F.col("doc_path"), "section": F.col("section"), "url": F.col("url"), "section_path": F.to_json("section_path")}
     rows = chunks.select("content_hash", "content", "token_count", "doc_path", sync.vector_metadata(meta, fields).alias("metadata"), F.xxhash64("doc_path").alias("file_seq"), "chunk_seq")
-    r = sync.sync(rows, old, store, stores.HashEmbedder(), a.dry_run)
-    return {"passed": True, "plan": r.plan, "written": r.written, "failed": r.failed, "refreshed": r.refreshed, "deleted": r.deleted}
+    facts = state.git_facts(a.repo)
+
+    def save(kept: stores.ParquetVectorStore) -> None:
+        """The head of the state; the hashes themselves are the store's ids."""
+        state.save_state(f"{a.out}/sync-state.json", state.SyncState(facts["commit_sha"], set(), kept.count(), time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())))
+
+    last = state.load_state(f"{a.out}/sync-state.json").last_synced
+    r = sync.sync(rows, old, store, stores.HashEmbedder(), a.dry_run, save=save)
+    figures = {k: v for k, v in vars(r).items() if k != "hashes"}
+    return {"passed": True, "last_synced": last} | figures
 
 
 def verify(spark: SparkSession, a: argparse.Namespace) -> dict:
@@ -105,6 +122,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--repo", default=".", help="git working tree, for revision facts")
     p.add_argument("--least", type=int, help="chunks that must be there")
     p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--full", action="store_true", help="ingest all files, whatever the last run has")
+    p.add_argument("--by-revision", action="store_true", help="ingest all files if the revision changed")
+    p.add_argument("--vocabulary", help="file of a BPE vocabulary to count tokens with")
+    p.add_argument("--export", help="write all chunks to this file as one JSON document")
     a = p.parse_args(argv)
     if a.least is None:
         a.least = C.MIN_CHUNKS_SMOKE if a.command == "smoke-test" else C.MIN_CHUNKS_PRODUCTION

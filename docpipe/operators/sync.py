@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..scratch import settled
 from ..shipping import ship
 from ..sources.stores import Embedder, VectorStore
 from .ranking import keep_first
@@ -94,24 +96,71 @@ class BatchWriter:
 def _embed_rows(embedder: Embedder):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            vectors, errors = [], []
+            vectors, errors, calls = [], [], []
             for text in pdf.content:
+                before = getattr(embedder, "calls", 0)
                 try:
                     vectors.append(embedder.embed(text))
                     errors.append(None)
                 except Exception as e:  # a failed chunk is reported and left out
                     vectors.append(None)
                     errors.append(str(e)[:200])
-            yield pd.DataFrame({"content_hash": pdf.content_hash, "embedding": vectors, "error": errors})
+                calls.append(max(1, getattr(embedder, "calls", 0) - before))
+            yield pd.DataFrame({"content_hash": pdf.content_hash, "embedding": vectors, "error": errors, "calls": calls})
 
     return run
 
 
-def embed(chunks: DataFrame, embedder: Embedder, workers: int = 5) -> DataFrame:
-    """(content_hash, embedding, error); at most `workers` calls at a time."""
+def embed(chunks: DataFrame, embedder: Embedder, workers: int | None = None) -> DataFrame:
+    """(content_hash, embedding, error, calls of the model).
+
+    At most `workers` calls at a time, by default those that the embedder names
+    (hosted models limit callers); without a limit rows stay where they are.
+    """
     ship(chunks.sparkSession)
-    rows = chunks.select("content_hash", "content").repartition(workers)
-    return rows.mapInPandas(_embed_rows(embedder), "content_hash string, embedding array<float>, error string")
+    rows = chunks.select("content_hash", "content")
+    workers = workers or getattr(embedder, "workers", None)
+    if workers:
+        rows = rows.repartition(workers)
+    return rows.mapInPandas(_embed_rows(embedder), "content_hash string, embedding array<float>, error string, calls int")
+
+
+def upload(chunks: DataFrame, put: Callable[[str, str, dict], None], existing: DataFrame, batch: int = 10, tries: int = 3, base_ms: int = 500) -> DataFrame:
+    """(content_hash, error) of texts that are not there yet, each once, put by the executors.
+
+    `batch` calls run side by side and all of them are settled before the next;
+    each has `tries`. `put` takes hash, text and the object's facts. The table is
+    settled, so reading it again uploads nothing.
+    """
+    new = keep_first(chunks.select("content_hash", "content", "doc_path", "source_repo", "commit_sha"), "content_hash", "doc_path")
+    new = new.join(existing.select("content_hash").distinct(), "content_hash", "left_anti")
+    ship(chunks.sparkSession)
+
+    def one(row) -> str | None:
+        facts = {"doc-path": row.doc_path, "source-repo": row.source_repo, "commit-sha": row.commit_sha}
+        try:
+            retry(lambda: put(row.content_hash, row.content, facts), tries, base_ms)
+        except Exception as e:
+            return str(e)[:200] or type(e).__name__
+        return None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(batch) as pool:
+            for pdf in batches:
+                rows, errors = list(pdf.itertuples(index=False)), []
+                for a in range(0, len(rows), batch):
+                    errors += list(pool.map(one, rows[a : a + batch]))
+                yield pd.DataFrame({"content_hash": pdf.content_hash, "error": errors})
+
+    return settled(new.mapInPandas(run, "content_hash string, error string"))
+
+
+def upload_gate(done: DataFrame) -> int:
+    """The number of uploads; RuntimeError if any failed."""
+    r = done.agg(F.count("*").alias("n"), F.count("error").alias("bad"), F.max("error").alias("error")).first()
+    if r.bad:
+        raise RuntimeError(f"{r.bad} of {r.n} uploads failed: {r.error}")
+    return r.n
 
 
 def failure_gate(embedded: DataFrame, share: float = C.FAILURE_SHARE) -> DataFrame:
@@ -137,14 +186,29 @@ class SyncResult:
     refreshed: int
     deleted: int
     hashes: DataFrame
-
-
-def sync(chunks: DataFrame, state: DataFrame, store: VectorStore, embedder: Embedder, dry_run: bool = False) -> SyncResult:
-    """One run; the state that comes back lists only hashes that are in the store.
+    stages: int = 0
+    calls: int = 0
+
+
+def sync(
+    chunks: DataFrame,
+    state: DataFrame,
+    store: VectorStore,
+    embedder: Embedder,
+    dry_run: bool = False,
+    stage_size: int = C.STAGE_SIZE,
+    most_stages: int = 50,
+    save: Callable[[VectorStore], None] | None = None,
+    sleep: Callable[[float], None] = time.sleep,
+) -> SyncResult:
+    """One run in stages: embed, check the stage's failures, upsert, then save the state.
 
     chunks: content_hash, content, token_count, doc_path, metadata, file_seq,
-    chunk_seq. Embeddings are written once and read back, so a retry never calls
-    the model twice for what was done.
+    chunk_seq. A stage holds `stage_size` chunks, or more so that there are at most
+    `most_stages`. What a stage has stored is in the store's ids, so a run that was
+    lost goes on after its last whole stage and embeds nothing twice but that one.
+    Writes have three tries; a stage that can't be written counts as failed, and
+    C.BREAKER of them in a row stop the run. Deletes that fail stop it at once.
     """
     from .filters import should_embed
 
@@ -157,18 +221,42 @@ def sync(chunks: DataFrame, state: DataFrame, store: VectorStore, embedder: Embe
         of = lambda op: plan.where(F.col("op") == op).select("content_hash")
         if dry_run:
             return SyncResult(counts, 0, 0, 0, 0, state.select("content_hash"))
-        made = store.stage(embed(wanted.join(of("insert"), "content_hash", "left_semi"), embedder))
-        good = made.where("error is null")
-        ok, bad = good.count(), made.where("error is not null").count()
-        if bad > C.FAILURE_SHARE * ok:
-            raise RuntimeError(f"{bad} of {ok + bad} embeddings failed")
+        result = SyncResult(counts, 0, 0, 0, 0, state)
+        n = counts.get("insert", 0)
+        size = max(stage_size, -(-n // most_stages))
         meta = wanted.select("content_hash", "metadata")
+        fresh = stages(wanted.join(of("insert"), "content_hash", "left_semi").select("content_hash", "content"), "content_hash", size) if n else None
+        broken = 0
+        for k in range(-(-n // size)):
+            made = store.stage(embed(fresh.where(F.col("stage") == k), embedder))
+            r = made.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count("error").alias("bad"), F.sum("calls").alias("calls")).first()
+            result.calls += r.calls or 0
+            result.failed += r.bad
+            if r.bad > C.FAILURE_SHARE * r.ok:
+                raise RuntimeError(f"{r.bad} of {r.ok + r.bad} embeddings failed in stage {k}")
+            rows = made.where("error is null").join(meta, "content_hash").select(F.col("content_hash").alias("id"), "embedding", "metadata")
+            try:
+                retry(lambda rows=rows: store.upsert(rows), sleep=sleep)
+                result.written += r.ok
+                broken = 0
+            except Exception as e:
+                result.failed += r.ok
+                broken += 1
+                if broken >= C.BREAKER:
+                    raise RuntimeError(f"{broken} stages in a row could not be written") from e
+            result.stages += 1
+            if save:
+                save(store)
         kept, _ = metadata_refresh(meta.join(of("update"), "content_hash", "left_semi"), store.vectors(spark))
-        refreshed = kept.count()
-        fresh = good.join(meta, "content_hash").select("content_hash", "metadata", "embedding")
-        store.upsert(fresh.unionByName(kept).select(F.col("content_hash").alias("id"), "embedding", "metadata"))
-        store.delete(of("delete").select(F.col("content_hash").alias("id")))
-        hashes = store.vectors(spark).select(F.col("id").alias("content_hash"))
-        return SyncResult(counts, ok, bad, refreshed, counts.get("delete", 0), hashes)
+        if counts.get("update"):
+            result.refreshed = kept.count()
+            retry(lambda: store.upsert(kept.select(F.col("content_hash").alias("id"), "embedding", "metadata")), sleep=sleep)
+        if counts.get("delete"):
+            retry(lambda: store.delete(of("delete").select(F.col("content_hash").alias("id"))), sleep=sleep)
+            result.deleted = counts["delete"]
+        if save:
+            save(store)
+        result.hashes = store.vectors(spark).select(F.col("id").alias("content_hash"))
+        return result
     finally:
         wanted.unpersist()

@@ -60,7 +60,7 @@ def heading_loss(pages: DataFrame) -> DataFrame:
 
 def token_ceiling(rows: DataFrame, limit: int = C.SPEC_FILE_HARD_LIMIT, path: str = "path", tokens: str = "token_count") -> Gate:
     """No file above the limit; no file at all fails too."""
-    r = rows.agg(F.count("*").alias("files"), F.count_if(F.col(tokens) > limit).alias("above"), F.max(tokens).alias("most"), F.max_by(path, tokens).alias("file")).first()
+    r = rows.agg(F.count("*").alias("files"), F.count_if(F.col(tokens) > limit).alias("above"), F.max(tokens).alias("most"), F.max_by(path, F.struct(tokens, path)).alias("file")).first()
     return Gate("token ceiling", r.files > 0 and r.above == 0, r.asDict())
 
 
@@ -87,6 +87,19 @@ def spec_metadata(chunks: DataFrame) -> Gate:
     return Gate("specification metadata", n == 0, {"missing": n})
 
 
+def unmatched_files(source: DataFrame, output: DataFrame) -> DataFrame:
+    """(path, side) of source pages without an output file, and of outputs without a source; .mdx pages give .md files."""
+    want = source.select(F.regexp_replace("doc_path", r"\.mdx$", ".md").alias("path")).distinct()
+    have = output.select("path").distinct()
+    lost = want.join(have, "path", "left_anti").withColumn("side", F.lit("missing"))
+    return lost.unionByName(have.join(want, "path", "left_anti").withColumn("side", F.lit("unexpected")))
+
+
+def same_files(source: DataFrame, output: DataFrame) -> Gate:
+    r = unmatched_files(source, output).agg(*(F.count_if(F.col("side") == s).alias(s) for s in ("missing", "unexpected"))).first()
+    return Gate("same files", r.missing == 0 and r.unexpected == 0, r.asDict())
+
+
 def stored_ratio(chunks: DataFrame, stored: DataFrame, least: float = 0.9) -> Gate:
     wanted = chunks.where(filters.should_embed(F.col("token_count"), F.col("doc_path")))
     r = filters.count_ratio(wanted, stored, least).first()

@@ -116,20 +116,6 @@ def scan_extension_filter(spark, sf_dir):
     return _url_paths(spark, sf_dir).groupBy(files.extension_of(F.col("path")).alias("extension")).agg(F.count("*").alias("n"))
 
 
-@query(with_cte("SELECT doc_path, min(split_part(doc_path, '/', 1)) AS category, CAST(count(*) AS BIGINT) AS n FROM chunks GROUP BY doc_path"))
-def spec_paths(spark, sf_dir):
-    parts = F.split("doc_path", "/")
-    return chunks(spark, sf_dir).groupBy("doc_path").agg(F.min(F.get(parts, F.lit(0))).alias("category"), F.count("*").alias("n"))
-
-
-@query(
-    """WITH RECURSIVE r(source, target) AS (VALUES ('/a','/b'),('/b','/c'),('/c','/d'),('/x','/y')),
-    walk AS (SELECT source, target, 0 AS hop FROM r UNION ALL SELECT w.source, r.target, hop + 1 FROM walk w JOIN r ON r.source = w.target WHERE hop < 10)
-    SELECT source, arg_max(target, hop) AS target FROM walk GROUP BY source"""
-)
-def redirect_targets(spark, sf_dir):
-    ship(spark)
-    return files.final_targets(spark.createDataFrame([("/a", "/b"), ("/b", "/c"), ("/c", "/d"), ("/x", "/y")], "source string, target string"))
 
 
 # --- projections -----------------------------------------------------------
@@ -262,11 +248,6 @@ def hash_format(spark, sf_dir):
     return chunks(spark, sf_dir).select("doc_id", h.alias("content_hash")).where(filters.bad_hash(F.col("content_hash")))
 
 
-@query(with_cte("SELECT source, CAST(count(*) AS BIGINT) AS above, max(token_count) AS most, arg_max(doc_id, (token_count, doc_id)) AS doc_id FROM chunks WHERE token_count > 700 GROUP BY source"))
-def token_ceiling(spark, sf_dir):
-    rows = chunks(spark, sf_dir).where(F.col("token_count") > C.SOFT_MAX_CHUNK).groupBy("source")
-    return rows.agg(F.count("*").alias("above"), F.max("token_count").alias("most"), F.max_by("doc_id", F.struct("token_count", "doc_id")).alias("doc_id"))
-
 
 @query(with_cte(f"SELECT doc_id, doc_path FROM chunks WHERE {_FORCED} AND source = 'src3'"))
 def api_meta_missing(spark, sf_dir):
@@ -329,22 +310,7 @@ def sync_plan(spark, sf_dir):
     return _plan(spark, sf_dir).groupBy("op").agg(F.count("*").alias("n"))
 
 
-@query(with_cte("SELECT DISTINCT content_hash FROM chunks WHERE content_hash NOT IN (SELECT content_hash FROM previous)"))
-def sync_insert(spark, sf_dir):
-    old = previous(spark, sf_dir).select("content_hash")
-    return chunks(spark, sf_dir).select("content_hash").join(old, "content_hash", "left_anti").distinct()
-
 
-@query(with_cte("SELECT DISTINCT content_hash FROM chunks WHERE content_hash IN (SELECT content_hash FROM previous)"))
-def sync_update(spark, sf_dir):
-    old = previous(spark, sf_dir).select("content_hash")
-    return chunks(spark, sf_dir).select("content_hash").join(old, "content_hash", "left_semi").distinct()
-
-
-@query(with_cte("SELECT DISTINCT content_hash FROM previous WHERE content_hash NOT IN (SELECT content_hash FROM chunks)"))
-def sync_delete(spark, sf_dir):
-    now = chunks(spark, sf_dir).select("content_hash")
-    return previous(spark, sf_dir).select("content_hash").join(now, "content_hash", "left_anti").distinct()
 
 
 @query(
@@ -447,12 +413,6 @@ def files_to_process(spark, sf_dir):
 # --- aggregates ------------------------------------------------------------
 
 
-@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS n, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id")
-def chunks_by_file(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id")
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    return rows.agg(F.count("*").alias("n"), F.array_join(F.transform(turns, lambda t: t["role"]), ",").alias("roles"))
-
 
 @query(with_cte("SELECT source, CAST(count(*) AS BIGINT) AS chunks, CAST(sum(token_count) AS BIGINT) AS tokens, CAST(round(avg(token_count)) AS BIGINT) AS mean FROM chunks GROUP BY source"))
 def avg_chunk_tokens(spark, sf_dir):
@@ -526,7 +486,7 @@ def retrieve_content(spark, sf_dir):
 
 @query("SELECT vec_id AS id FROM embeddings ORDER BY vec_id LIMIT 10000")
 def list_ids_zero_vector(spark, sf_dir):
-    return vectors.list_ids(_vectors(spark, sf_dir)[0], 10_000)
+    return vectors.list_ids_by_query(_vectors(spark, sf_dir)[0], 10_000)
 
 
 @query("SELECT CAST(count(*) AS BIGINT) AS n FROM embeddings")
@@ -658,10 +618,6 @@ def front_matter(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", M.convert_front_matter(page).alias("body"))
 
 
-@query()
-def normalize_page(spark, sf_dir):
-    return heavy(spark, sf_dir, "pages").select("page_id", M.normalize_page(F.col("html")).alias("body"))
-
 
 _CODE = "regexp_replace(html, '(?s)```.*?```', '', 'g')"
 
@@ -681,12 +637,6 @@ def markup_left(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", long(F.size(validate.markup_left(F.col("html")))).alias("n"))
 
 
-@query()
-def heading_loss(spark, sf_dir):
-    text = F.concat(F.lit("# T\n"), "html")
-    pages = heavy(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), text.alias("text"), M.normalize_page(text).alias("body"))
-    return validate.heading_loss(pages)
-
 
 # --- sections and chunks ---------------------------------------------------
 
@@ -696,11 +646,6 @@ def _pages_as_markdown(spark, sf_dir) -> DataFrame:
     return heavy(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_path"), M.html_to_markdown(heading).alias("body"))
 
 
-@query()
-def sections_tree(spark, sf_dir):
-    rows = sections.sections_tree(_pages_as_markdown(spark, sf_dir))
-    return rows.select("doc_path", "seq", "level", "heading", sections.flat_path(F.col("section_path")).alias("section"), "content")
-
 
 @query(
     """WITH RECURSIVE h AS (SELECT conv_id, turn, role, CASE role WHEN 'system' THEN 1 WHEN 'user' THEN 2 ELSE 3 END AS level FROM conversations)
@@ -766,16 +711,6 @@ def micro_merge(spark, sf_dir):
     return _chunk_columns(chunk_documents(_conversation_sections(spark, sf_dir)))
 
 
-@query()
-def split_oversized(spark, sf_dir):
-    """Documents with their lines joined to one paragraph, so only sentences can split them."""
-    rows = _document_sections(spark, sf_dir).withColumn("content", F.regexp_replace("content", "\n+", " "))
-    return _chunk_columns(chunk_documents(rows))
-
-
-@query()
-def overlap_tail(spark, sf_dir):
-    return heavy(spark, sf_dir, "documents").select("doc_id", T.overlap_tail(F.col("text")).alias("overlap"))
 
 
 @query()
@@ -798,19 +733,6 @@ def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", long(F.size(keys)).alias("n_keys"))
 
 
-@query()
-def stable_json(spark, sf_dir):
-    """Keys in order; the compact form is the engine's own."""
-    return table(spark, sf_dir, "events").select("event_id", F.to_json(F.parse_json("props")).alias("props"))
-
-
-@query("SELECT event_id, true AS readable FROM events")
-def json_repair(spark, sf_dir):
-    """Props with a trailing comma put in are read after repair."""
-    broken = F.regexp_replace("props", r"\}$", ",}")
-    fixed = F.regexp_replace(broken, r",\s*([}\]])", "$1")
-    value = F.coalesce(F.try_parse_json(broken), F.try_parse_json(fixed))
-    return table(spark, sf_dir, "events").select("event_id", value.isNotNull().alias("readable"))
 
 
 @query(
@@ -830,16 +752,6 @@ def rag_metadata(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", *(m[k].alias(k) for k in ("product", "category", "source_type")))
 
 
-@query()
-def endpoint_table(spark, sf_dir):
-    return apispec.endpoint_table(fixtures.specs(spark)).select(
-        "path", "seq", "method", "route", "operation_id", F.array_join("tags", ",").alias("tags"), F.size("parameters").alias("n_parameters"), F.size("body_properties").alias("n_body"), F.array_join("statuses", ",").alias("statuses"), "slug"
-    )
-
-
-@query()
-def spec_markdown(spark, sf_dir):
-    return apispec.spec_files(fixtures.specs(spark)).select("path", "out_path", "token_count", T.content_hash(F.col("markdown")).alias("content_hash"), "error")
 
 
 @query("SELECT 'payments/small.json' AS path, CAST(1 AS BIGINT) AS files UNION ALL SELECT 'payments/large.json', 60 UNION ALL SELECT 'data/old.json', 1")

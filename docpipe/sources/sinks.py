@@ -1,16 +1,20 @@
 """File sinks for results that other tools read one file at a time.
 
-Tables go to Parquet through Spark's own writers; these write single files from
-the driver, row by row (toLocalIterator), through the file system of the path.
+Tables go to Parquet through Spark's own writers. Many small files are written
+by the executors; one large document by the driver, row by row.
 """
 
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..scratch import settled
+
 CHUNK_BYTES = 1 << 20
 
 
@@ -35,19 +39,48 @@ def wipe(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def write_files(rows: DataFrame, root: str, path: str = "path", text: str = "text", clean: bool = False) -> int:
-    """One file a row below root (of rows with the same path, the last in path order stays); the number of rows."""
+def _file_rows(root: str):
+    def run(batches):
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(root if "://" in root else f"file://{os.path.abspath(root)}")
+        made = set()
+        for batch in batches:
+            paths, errors = batch.column("path").to_pylist(), []
+            for path, text in zip(paths, batch.column("text").to_pylist()):
+                try:
+                    full = f"{top.rstrip('/')}/{path}"
+                    folder = full.rpartition("/")[0]
+                    if folder not in made:
+                        store.create_dir(folder, recursive=True)
+                        made.add(folder)
+                    with store.open_output_stream(full) as out:
+                        out.write((text or "").encode())
+                    errors.append(None)
+                except Exception as e:  # a file that fails is reported; the others go on
+                    errors.append(str(e)[:200])
+            yield pa.RecordBatch.from_pydict({"path": paths, "error": pa.array(errors, pa.string())})
+
+    return run
+
+
+def write_files(rows: DataFrame, root: str, path: str = "path", text: str = "text", clean: bool = False) -> DataFrame:
+    """One file a row below root, written by the executors; (path, error) of each file.
+
+    Of rows with the same path the one with the greatest text stays, and no two
+    tasks write one file, so a task that runs again gives the same files. root is
+    a folder or address that all executors reach (file, hdfs, s3, gs).
+    """
+    from pyspark.sql import functions as F
+
     spark = rows.sparkSession
     if clean:
         wipe(spark, root)
-    n = 0
-    for row in rows.select(path, text).where(rows[path].isNotNull()).orderBy(path).toLocalIterator():
-        write_text(spark, f"{root.rstrip('/')}/{row[0]}", [row[1] or ""])
-        n += 1
-    return n
+    once = rows.where(rows[path].isNotNull()).groupBy(F.col(path).alias("path")).agg(F.max(text).alias("text"))
+    return settled(once.mapInArrow(_file_rows(root), "path string, error string"))
 
 
-def write_pages(pages: DataFrame, root: str) -> int:
+def write_pages(pages: DataFrame, root: str) -> DataFrame:
     """Normalised pages (doc_path, body) in the same tree, .mdx as .md."""
     from pyspark.sql import functions as F
 

@@ -38,13 +38,15 @@ class HashEmbedder:
 class PatientEmbedder:
     """Another embedder with a pause between calls, and retries of transient errors.
 
-    Waits are 50 to 100 % of min(1 s * 2^n, 16 s), the share drawn at random.
+    Waits are 50 to 100 % of min(1 s * 2^n, 16 s), the share drawn at random. A copy
+    works in each of at most `workers` tasks; its calls are counted per row by `embed`.
     """
 
-    def __init__(self, inner: Embedder, tries: int = 5, gap_ms: int = 0, transient=None, sleep=time.sleep, share=random.random):
+    def __init__(self, inner: Embedder, tries: int = 5, gap_ms: int = 0, transient=None, sleep=time.sleep, share=random.random, workers: int = 5):
         self.inner, self.tries, self.gap_ms, self.sleep, self.share = inner, tries, gap_ms, sleep, share
         self.transient = transient or throttled
         self.calls = 0
+        self.workers = workers
 
     def embed(self, text: str) -> list[float]:
         for n in range(self.tries):
@@ -87,12 +89,17 @@ def deleted(old: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 
 class ParquetVectorStore:
-    """Versioned Parquet folders; a one-line pointer file names the current one.
+    """Versioned Parquet folders; a pointer file names those that make up the current version.
 
-    A version is complete before the pointer moves, so readers and a run that
-    was lost half-way never see a part of it.
+    The first folder is whole; each later one holds changes: rows in place of
+    those with their id, or (without an embedding) ids that are gone. So a write
+    costs what it changes, and all is rewritten only after MOST_CHANGES of them.
+    Folders are complete before the pointer moves, so readers and a run that was
+    lost half-way never see a part of one.
     """
 
+    MOST_CHANGES = 16
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
@@ -100,26 +107,42 @@ class ParquetVectorStore:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _current(self) -> str | None:
-        fs, p = self._fs(f"{self.root}/CURRENT")
-        if not fs.exists(p):
-            return None
-        return self.spark.read.text(f"{self.root}/CURRENT").first()[0].strip()
+    def _current(self) -> list[str]:
+        for name in ("CURRENT", "CURRENT.old"):  # the second if the last move was cut short
+            fs, p = self._fs(f"{self.root}/{name}")
+            if fs.exists(p):
+                return [r[0].strip() for r in self.spark.read.text(f"{self.root}/{name}").collect() if r[0].strip()]
+        return []
 
-    def _write(self, rows: DataFrame) -> None:
+    def _write(self, rows: DataFrame, names: list[str]) -> None:
         name = f"v-{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{name}")
         fs, pointer = self._fs(f"{self.root}/CURRENT")
-        _, draft = self._fs(f"{self.root}/CURRENT.{name}")
+        (_, draft), (_, old) = self._fs(f"{self.root}/CURRENT.{name}"), self._fs(f"{self.root}/CURRENT.old")
         out = fs.create(draft, True)
-        out.write(bytearray(name.encode()))
+        out.write(bytearray("\n".join([*names, name]).encode()))
         out.close()
-        fs.delete(pointer, False)
+        if fs.exists(pointer):
+            fs.delete(old, False)
+            fs.rename(pointer, old)
         fs.rename(draft, pointer)
 
+    def _change(self, rows: DataFrame) -> None:
+        names = self._current()
+        if len(names) > self.MOST_CHANGES:
+            self._write(self.vectors(self.spark), [])
+            names = self._current()
+        self._write(rows, names)
+
     def vectors(self, spark: SparkSession) -> DataFrame:
-        name = self._current()
-        return spark.read.schema(VECTOR_SCHEMA).parquet(f"{self.root}/{name}") if name else spark.createDataFrame([], VECTOR_SCHEMA)
+        names = self._current()
+        if not names:
+            return spark.createDataFrame([], VECTOR_SCHEMA)
+        read = lambda n: spark.read.schema(VECTOR_SCHEMA).parquet(f"{self.root}/{n}")
+        out = read(names[0])
+        for name in names[1:]:
+            out = upserted(out, read(name))
+        return out.where("embedding is not null")
 
     def stage(self, rows: DataFrame) -> DataFrame:
         path = f"{self.root}/staged-{uuid.uuid4().hex}"
@@ -127,10 +150,11 @@ class ParquetVectorStore:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def upsert(self, rows: DataFrame) -> None:
-        self._write(upserted(self.vectors(self.spark), rows))
+        self._change(rows.select("id", "embedding", "metadata"))
 
     def delete(self, ids: DataFrame) -> None:
-        self._write(deleted(self.vectors(self.spark), ids))
+        gone = ids.select("id").distinct()
+        self._change(gone.select("id", F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("map<string,string>").alias("metadata")))
 
     def fetch(self, ids: DataFrame, values: bool = True) -> DataFrame:
         out = self.vectors(self.spark).join(ids.select("id").distinct(), "id")
@@ -140,8 +164,12 @@ class ParquetVectorStore:
         return self.vectors(self.spark).count()
 
     def backup(self, path: str) -> None:
-        """Ids and metadata only."""
-        self.vectors(self.spark).select("id", "metadata").write.mode("overwrite").json(path)
+        """Ids and metadata only; if they can't be written, at least the figures of the store."""
+        try:
+            self.vectors(self.spark).select("id", "metadata").write.mode("overwrite").json(path)
+        except Exception as e:
+            stats = self.spark.createDataFrame([(self.count(), str(e)[:200])], "vectors long, error string")
+            stats.write.mode("overwrite").json(f"{path}-stats")
 
 
 class ParquetContentStore:

@@ -22,7 +22,11 @@ def test_whole_run(spark, tmp_path, capsys):
 
     code, stats = run("ingest", "--pages", str(pages), "--specs", str(specs), "--repo", str(tmp_path))
     assert code == 0 and stats["files"] == 2
-    assert run("normalize-pages", "--pages", str(pages))[1] == {"pages": 1}
+    again = run("ingest", "--pages", str(pages), "--specs", str(specs), "--repo", str(tmp_path), "--export", str(tmp_path / "all.json"))[1]
+    assert (again["processed"], again["skipped"], again["chunks"]) == (0, 2, stats["chunks"])
+    assert len(json.loads((tmp_path / "all.json").read_text())["chunks"]) == stats["chunks"]
+    assert run("normalize-pages", "--pages", str(pages))[1] == {"pages": 1, "passed": True, "errors": []}
+    assert (tmp_path / "out/normalized/payments/a.md").exists()
     assert run("normalize-specs", "--specs", str(specs))[1] == {"files": 1, "errors": []}
     assert run("check-token-limits")[0] == 0
     assert run("smoke-test", "--least", "2")[0] == 0

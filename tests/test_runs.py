@@ -38,7 +38,15 @@ def test_specs_and_navigation(spark, tmp_path):
     red = tmp_path / "red.json"
     red.write_text('{"/a": "/b", "/b": "/c", "/l": "/m", "/m": "/l"}')
     end = {r.source: r.target for r in files.final_targets(files.read_redirects(spark, str(red))).collect()}
-    assert end["/a"] == "/c" and end["/b"] == "/c" and len(end) == 4
+    assert end == {"/a": "/c", "/b": "/c", "/l": "/m", "/m": "/l"}
+    chain = spark.createDataFrame([(f"/{i}", f"/{i + 1}") for i in range(45)] + [("/in", "/x"), ("/x", "/y"), ("/y", "/x")], "source string, target string")
+    end = {r.source: r.target for r in files.final_targets(chain).collect()}
+    assert all(end[f"/{i}"] == "/45" for i in range(45)) and (end["/in"], end["/x"], end["/y"]) == ("/x", "/y", "/x")
+    assert files.final_targets(chain.limit(0)).count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.read_outputs(spark, str(tmp_path / "nothing"))
+    with pytest.raises(ValueError):
+        files.read_outputs(spark, str(tmp_path / "data"))
 
 
 def test_ingest(spark):
@@ -68,6 +76,39 @@ def test_specs_to_chunks(spark, tmp_path):
     assert stats.files == 63 - 1 + 1 and stats.chunks >= stats.files
 
 
+def test_incremental_run(spark, tmp_path):
+    out = str(tmp_path / "o")
+    page = lambda name, n: (f"{name}.md", f"# {name}\n" + " ".join(f"{name}{i}" for i in range(n)))
+    go = lambda rows, **k: pipeline.run(spark, spark.createDataFrame(rows, "doc_path string, text string"), None, out, **k).first()
+    first = go([page("a", 100), page("b", 2000), page("gone", 100)])
+    assert (first.processed, first.skipped, first.deleted, first.files) == (3, 0, 0, 3)
+    before = {(r.doc_path, r.chunk_seq): r.content_hash for r in pipeline.load_previous(spark, out).collect()}
+    second = go([page("a", 101), page("b", 2000), page("new", 90)])
+    assert (second.processed, second.skipped, second.deleted, second.files) == (2, 1, 1, 3)
+    rows = pipeline.load_previous(spark, out).collect()
+    assert {(r.doc_path, r.status) for r in rows} == {("a.md", "updated"), ("b.md", "kept"), ("new.md", "new")}
+    kept = {(r.doc_path, r.chunk_seq): r.content_hash for r in rows if r.doc_path == "b.md"}
+    assert len(kept) > 2 and kept == {k: v for k, v in before.items() if k[0] == "b.md"}
+    same = go([page("a", 101), page("b", 2000), page("new", 90)])
+    assert (same.processed, same.skipped) == (0, 3)
+    assert go([page("a", 101)], full=True).processed == 1
+    git = {"commit_sha": "one"}
+    go([page("a", 101)], git=git)
+    assert go([page("a", 101)], git=git, by_revision=True).skipped == 1
+    assert go([page("a", 101)], git={"commit_sha": "two"}, by_revision=True).processed == 1
+    os.rename(f"{out}/chunks", f"{out}/chunks.old")  # a swap that was cut short
+    assert go([page("a", 101)]).skipped == 1
+
+
+def test_incremental_specs(spark, tmp_path):
+    out = str(tmp_path / "o")
+    pages = spark.createDataFrame([("p.md", "# P\n" + "word " * 90)], "doc_path string, text string")
+    one = pipeline.run(spark, pages, fixtures.specs(spark), out).first()
+    two = pipeline.run(spark, pages, fixtures.specs(spark), out).first()
+    assert (two.processed, two.skipped, two.chunks) == (0, 5, one.chunks)
+    assert {r.status for r in pipeline.load_previous(spark, out).collect()} == {"kept"}
+
+
 def frame(spark, rows, schema="doc_path string, section string, content_hash string, pos int"):
     return spark.createDataFrame(rows, schema).withColumn("chunk_id", F.concat_ws("::", "doc_path", "section"))
 
@@ -129,6 +170,128 @@ def test_sync(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "backup")).count() == 5
 
 
+class Counted(stores.HashEmbedder):
+    """Leaves a mark for every call; fails when its file says so."""
+
+    def __init__(self, folder):
+        super().__init__(8)
+        self.folder = folder
+
+    def embed(self, text):
+        with open(f"{self.folder}/calls", "a") as f:
+            f.write(text + "\n")
+        return super().embed(text)
+
+
+def test_sync_goes_on_after_a_crash(spark, tmp_path):
+    rows = spark.createDataFrame([(f"h{i:03}", f"t{i}", 100, "a", {}, 0, i) for i in range(50)], CHUNK)
+    store, saved = stores.ParquetVectorStore(spark, str(tmp_path / "v")), []
+
+    def crash(kept):
+        saved.append(kept.count())
+        if len(saved) == 2:
+            raise KeyboardInterrupt
+
+    state_of = lambda: store.vectors(spark).select(F.col("id").alias("content_hash"))
+    with pytest.raises(KeyboardInterrupt):
+        sync.sync(rows, state_of(), store, Counted(str(tmp_path)), stage_size=10, save=crash)
+    assert saved == [10, 20]
+    two = sync.sync(rows, state_of(), store, Counted(str(tmp_path)), stage_size=10)
+    assert (two.written, two.refreshed, two.stages, two.calls) == (30, 20, 3, 30)
+    calls = (tmp_path / "calls").read_text().split()
+    assert len(calls) == 50 == len(set(calls)) and store.count() == 50
+
+
+def test_sync_stages_and_breaker(spark, tmp_path):
+    rows = spark.createDataFrame([(f"h{i:03}", f"t{i}", 100, "a", {}, 0, i) for i in range(50)], CHUNK)
+    none = spark.createDataFrame([], "content_hash string")
+
+    class Weak(stores.ParquetVectorStore):
+        bad, tries = 0, 0
+
+        def upsert(self, rows):
+            self.tries += 1
+            if self.tries <= self.bad:
+                raise OSError("down")
+            super().upsert(rows)
+
+        def delete(self, ids):
+            raise OSError("down")
+
+    waits = []
+    weak = Weak(spark, str(tmp_path / "w"))
+    weak.bad = 3  # the first stage fails for good
+    r = sync.sync(rows, none, weak, stores.HashEmbedder(8), stage_size=10, sleep=waits.append)
+    assert (r.written, r.failed, r.stages) == (40, 10, 5) and waits == [1, 2]
+    dead = Weak(spark, str(tmp_path / "d"))
+    dead.bad = 99
+    with pytest.raises(RuntimeError):
+        sync.sync(rows, none, dead, stores.HashEmbedder(8), stage_size=10, sleep=waits.append)
+    assert dead.tries == 3 * C.BREAKER
+    with pytest.raises(OSError):
+        sync.sync(rows.limit(0), weak.vectors(spark).select(F.col("id").alias("content_hash")), weak, stores.HashEmbedder(8), sleep=waits.append)
+    few = sync.sync(rows, none, stores.ParquetVectorStore(spark, str(tmp_path / "f")), stores.HashEmbedder(8), stage_size=1, most_stages=4)
+    assert few.stages == 4 and few.written == 50
+
+
+def test_store_versions(spark, tmp_path):
+    store = stores.ParquetVectorStore(spark, str(tmp_path / "v"))
+    store.MOST_CHANGES = 3
+    row = lambda i, k: spark.createDataFrame([(f"i{i}", [1.0], {"k": str(k)})], stores.VECTOR_SCHEMA)
+    for k in range(9):
+        store.upsert(row(k % 2, k))
+    store.delete(row(0, 0))
+    assert [(r.id, r.metadata["k"]) for r in store.vectors(spark).collect()] == [("i1", "7")]
+    store.upsert(row(0, 10))
+    assert store.count() == 2
+    (tmp_path / "v/CURRENT").unlink()  # a move that was cut short: the version before
+    assert store.count() == 1
+    store.backup(str(tmp_path / "b"))
+    assert spark.read.json(str(tmp_path / "b")).count() == 2
+
+
+def test_upload(spark):
+    def put(key, text, facts):
+        if key == "h1":
+            raise OSError("no")
+
+    rows = spark.createDataFrame([(f"h{i % 4}", "t", f"p{i}", "r", "c") for i in range(8)], "content_hash string, content string, doc_path string, source_repo string, commit_sha string")
+    done = sync.upload(rows, put, spark.createDataFrame([("h0",)], "content_hash string"), base_ms=1)
+    assert {r.content_hash: r.error for r in done.collect()} == {"h1": "no", "h2": None, "h3": None}
+    with pytest.raises(RuntimeError):
+        sync.upload_gate(done)
+    assert sync.upload_gate(done.where("error is null")) == 2
+
+
+def test_examples(spark, tmp_path):
+    from docpipe import examples
+
+    rows = spark.createDataFrame([(f"h{i}", f"t{i}", 40 + 700 * i, "a", "ctx", ["s"], "r", "c") for i in range(4)], "content_hash string, content string, token_count int, doc_path string, page_context string, section_path array<string>, source_repo string, commit_sha string")
+    assert examples.embeddable(rows).count() == 2
+    assert {r.label: r.chunks for r in examples.labelled_counts(rows).collect()} == {"too_small": 1, "embeddable": 2, "too_large": 1}
+    assert examples.oversized_files(rows).first().oversized == 2
+    assert examples.embed_into(rows, stores.HashEmbedder(4), stores.ParquetVectorStore(spark, str(tmp_path / "v"))) == 2
+    assert examples.copy_texts(rows, lambda *a: None, rows.select("content_hash").limit(1)) == 3
+
+
+def test_exports():
+    import docpipe
+
+    assert all(getattr(docpipe, n) is not None for n in docpipe.__all__)
+    with pytest.raises(AttributeError):
+        docpipe.nothing
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_ranks(spark, kind):
+    from docpipe.operators.ranking import with_rank
+
+    rows = spark.range(999, -1, -1).repartition(5).select(F.concat(F.lit("doc"), "id").alias("k") if kind == "string" else F.col("id").alias("k"))
+    got = [(r.k, r["rank"]) for r in with_rank(rows, "k").collect()]
+    assert sorted(got, key=lambda x: x[1]) == [(k, i) for i, k in enumerate(sorted(k for k, _ in got))]
+    assert with_rank(rows.limit(0), "k").count() == 0
+
+
 def test_content_store(spark, tmp_path):
     store = stores.ParquetContentStore(spark, str(tmp_path / "c"))
     df = spark.createDataFrame([("h", "t", "a", "r", "s"), ("h", "t", "b", "r", "s"), ("i", "u", "a", "r", "s")], "content_hash string, content string, doc_path string, source_repo string, commit_sha string")
@@ -182,8 +345,11 @@ def test_stream(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     from docpipe.sources import sinks
 
-    pages = spark.createDataFrame([("a/x.mdx", "é"), ("b.md", None)], "doc_path string, body string")
-    assert sinks.write_pages(pages, str(tmp_path / "n")) == 2
+    pages = spark.createDataFrame([("a/x.mdx", "é"), ("b.md", None), ("b.md", "")], "doc_path string, body string")
+    assert sinks.write_pages(pages, str(tmp_path / "n")).where("error is null").count() == 2
+    (tmp_path / "n/c.md").mkdir()
+    bad = sinks.write_pages(spark.createDataFrame([("c.md", "x"), ("d.md", "y")], "doc_path string, body string"), str(tmp_path / "n"))
+    assert {r.path: r.error is None for r in bad.collect()} == {"c.md": False, "d.md": True} and (tmp_path / "n/d.md").read_text() == "y"
     assert (tmp_path / "n/a/x.md").read_text() == "é" and (tmp_path / "n/b.md").read_text() == ""
     chunks = spark.createDataFrame([("b", 1, 'q"'), ("a", 0, "é")], "doc_path string, chunk_seq int, content string")
     sinks.write_json_export(chunks, str(tmp_path / "o.json"), {"stats": {"n": 2}})
