@@ -237,19 +237,33 @@ def chunk_pages(pages: DataFrame, cfg: C.ChunkingConfig | None = None, count: Co
     """
     from .sections import sections
 
+    def rows(text: str | None) -> Iterator[tuple[str, list[str], str]]:
+        return ((" > ".join(s["section_path"]), s["section_path"], s["content"]) for s in sections(text or ""))
+
+    return _with_chunks(pages, body, rows, cfg, count)
+
+
+def chunk_sections_of(pages: DataFrame, cfg: C.ChunkingConfig | None = None, count: Count = regex_tokens) -> DataFrame:
+    """As chunk_pages, for pages that have `sections`, an array of (section, section_path, content) in order."""
+
+    def rows(found) -> Iterator[tuple[str, list[str], str]]:
+        return ((s["section"], [*s["section_path"]], s["content"]) for s in (found if found is not None else ()) if s["content"] is not None)
+
+    return _with_chunks(pages, "sections", rows, cfg, count)
+
+
+def _with_chunks(pages: DataFrame, column: str, rows: Callable, cfg: C.ChunkingConfig | None, count: Count) -> DataFrame:
     ship(pages.sparkSession)
     cfg = cfg or C.ChunkingConfig()
 
-    def run(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            rows = ((" > ".join(s["section_path"]), s["section_path"], s["content"]) for s in sections(text or ""))
-            found = chunk_sections(rows, cfg, count)
-            out.append([{"chunk_seq": i, "section": c.path, "section_path": c.path_array, "content": c.content, "token_count": c.tokens} for i, c in enumerate(found)])
-        return pd.Series(out, dtype=object)
+    def run(values: pd.Series) -> pd.Series:
+        found = (chunk_sections(rows(v), cfg, count) for v in values)
+        return pd.Series(
+            [[{"chunk_seq": i, "section": c.path, "section_path": c.path_array, "content": c.content, "token_count": c.tokens} for i, c in enumerate(x)] for x in found],
+            dtype=object,
+        )
 
-    chunks = F.pandas_udf(run, CHUNKS)(F.col(body))
-    return pages.select(*(c for c in pages.columns if c != body), chunks.alias("chunks"))
+    return pages.select(*(c for c in pages.columns if c != column), F.pandas_udf(run, CHUNKS)(F.col(column)).alias("chunks"))
 
 
 def _chunk_rows(cfg: C.ChunkingConfig, count: Count):

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..scratch import settled
+from ..shipping import ship
 
 
 def with_rank(rows: DataFrame, *order: str) -> DataFrame:
@@ -37,3 +42,30 @@ def keep_last(rows: DataFrame, key: str, *order: str) -> DataFrame:
     columns = [F.col(c) for c in rows.columns]
     best = rows.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("__row"))
     return best.select("__row.*")
+
+
+def greedy_packs(rows: DataFrame, key: str, order: str, size: str, limit: int) -> DataFrame:
+    """(key, order, size, pack): the rows of each key in order, a new pack where the next one would pass the limit.
+
+    Each row decides about the next, so a key is read in one go; its rows stream
+    through in sorted batches, and only the running sum is held.
+    """
+    ship(rows.sparkSession)
+    dealt = rows.select(key, order, F.col(size).cast("long").alias(size)).repartition(key).sortWithinPartitions(key, order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, filled, pack = object(), 0, 0
+        for batch in batches:
+            packs = []
+            for k, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if k != last:
+                    last, filled, pack = k, n or 0, 0
+                elif filled + (n or 0) > limit:
+                    filled, pack = n or 0, pack + 1
+                else:
+                    filled += n or 0
+                packs.append(pack)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packs, pa.int64())], names=[key, order, size, "pack"])
+
+    fields = [*dealt.schema.fields, StructField("pack", LongType())]
+    return dealt.mapInArrow(run, StructType(fields))

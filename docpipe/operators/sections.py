@@ -15,7 +15,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -177,17 +177,16 @@ def flat_path(section_path: Column) -> Column:
     return F.array_join(section_path, " > ")
 
 
-def heading_paths(rows: DataFrame, doc: str = "doc_path", seq: str = "seq") -> DataFrame:
-    """Add section_path to (doc, seq, level, heading) rows: the running heading stack as one fold per document."""
-    ordered = rows.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), "level", "heading"))).alias("h"))
-    stack_type = "array<struct<level:int,heading:string>>"
-    start = F.struct(F.array().cast(stack_type).alias("stack"), F.array().cast(f"array<struct<seq:bigint,path:array<string>>>").alias("out"))
+def heading_paths(rows: DataFrame, doc: str = "doc_path", seq: str = "seq", levels: int = 6) -> DataFrame:
+    """(doc, seq, section_path) of (doc, seq, level, heading) rows: the headings above each, and its own.
 
-    def step(acc: Column, h: Column) -> Column:
-        kept = F.filter(acc["stack"], lambda s: s["level"] < h["level"])
-        stack = F.concat(kept, F.array(F.struct(h["level"].cast("int").alias("level"), h["heading"].alias("heading"))))
-        entry = F.struct(h["seq"].cast("bigint").alias("seq"), F.transform(stack, lambda s: s["heading"]).alias("path"))
-        return F.struct(stack.alias("stack"), F.concat(acc["out"], F.array(entry)).alias("out"))
-
-    folded = ordered.select(doc, F.explode(F.aggregate("h", start, step)["out"]).alias("o"))
-    return folded.select(doc, F.col("o.seq").alias(seq), F.col("o.path").alias("section_path"))
+    A heading is above a later one if it is the last of its level or a higher one
+    before it, and its level is higher. One window for all levels: linear, and no
+    document is held as a whole.
+    """
+    before = Window.partitionBy(doc).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    entry = F.struct("level", "heading")
+    last = rows.withColumns({f"__{k}": F.last(F.when(F.col("level") <= k, entry), ignorenulls=True).over(before) for k in range(1, levels)})
+    above = [F.when((F.col(f"__{k}.level") == k) & (F.col("level") > k), F.col(f"__{k}.heading")) for k in range(1, levels)]
+    path = F.filter(F.array(*above, F.col("heading")), lambda h: h.isNotNull())
+    return last.select(doc, seq, path.alias("section_path"))

@@ -16,7 +16,7 @@ from .. import config as C
 from ..functions import markup as M
 from ..functions import text as T
 from ..operators import apispec, filters, incremental, ranking, sections, sync, validate, vectors
-from ..operators.chunking import chunk_documents
+from ..operators.chunking import chunk_documents, chunk_sections_of
 from ..shipping import ship, spread
 from ..sources import files, stores
 from . import fixtures, pipeline
@@ -669,19 +669,10 @@ walk AS (SELECT conv_id, k, n, n AS filled, 0 AS pack FROM t WHERE k = 1
 
 @query(f"WITH RECURSIVE {_TURNS} SELECT conv_id, CAST(pack AS BIGINT) AS pack, CAST(count(*) AS BIGINT) AS turns, CAST(sum(n) AS BIGINT) AS tokens FROM walk GROUP BY conv_id, pack")
 def greedy_pack(spark, sf_dir):
-    """Turns packed in order up to 120 tokens, as one fold a conversation."""
+    """Turns packed in order up to 120 tokens."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", long(T.token_count(F.col("text"))).alias("n"))
-    turns = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "n"))).alias("t"))
-    start = F.struct(F.lit(0).cast("long").alias("filled"), F.lit(0).cast("long").alias("pack"), F.array().cast("array<struct<pack:bigint,n:bigint>>").alias("out"))
-
-    def step(acc: Column, t: Column) -> Column:
-        over = (F.size(acc["out"]) > 0) & (acc["filled"] + t["n"] > 120)
-        pack = F.when(over, acc["pack"] + 1).otherwise(acc["pack"])
-        filled = F.when(over, t["n"]).otherwise(acc["filled"] + t["n"])
-        return F.struct(filled.alias("filled"), pack.alias("pack"), F.concat(acc["out"], F.array(F.struct(pack.alias("pack"), t["n"].alias("n")))).alias("out"))
-
-    packed = turns.select("conv_id", F.explode(F.aggregate("t", start, step)["out"]).alias("p"))
-    return packed.groupBy("conv_id", F.col("p.pack").alias("pack")).agg(F.count("*").alias("turns"), F.sum("p.n").alias("tokens"))
+    packed = ranking.greedy_packs(rows, "conv_id", "turn", "n", 120)
+    return packed.groupBy("conv_id", "pack").agg(F.count("*").alias("turns"), F.sum("n").alias("tokens"))
 
 
 def _conversation_sections(spark, sf_dir) -> DataFrame:
@@ -690,20 +681,16 @@ def _conversation_sections(spark, sf_dir) -> DataFrame:
     )
 
 
-def _document_sections(spark, sf_dir) -> DataFrame:
-    """Each document is a file of one section; its lines are the paragraphs."""
-    return heavy(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("string").alias("doc_path"), F.lit(0).alias("seq"), F.col("lang").alias("section"), F.array("lang").alias("section_path"), F.regexp_replace("text", "\n", "\n\n").alias("content")
-    )
-
-
 def _chunk_columns(df: DataFrame) -> DataFrame:
     return df.select("doc_path", "chunk_seq", "section", "token_count", T.content_hash(F.col("content")).alias("content_hash"))
 
 
 @query()
 def chunk_all_documents(spark, sf_dir):
-    return _chunk_columns(chunk_documents(_document_sections(spark, sf_dir)))
+    """Each document is a file of one section; its lines are the paragraphs. Map-only."""
+    section = F.struct(F.col("lang").alias("section"), F.array("lang").alias("section_path"), F.regexp_replace("text", "\n", "\n\n").alias("content"))
+    files = heavy(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_path"), F.array(section).alias("sections"))
+    return _chunk_columns(chunk_sections_of(files).select("doc_path", F.inline("chunks")))
 
 
 @query()
@@ -773,7 +760,7 @@ def spec_format(spark, sf_dir):
 @query("SELECT DISTINCT sha256(text) AS content_hash, CAST(64 AS BIGINT) AS size, true AS unit FROM documents")
 def embed_documents(spark, sf_dir):
     rows = ranking.keep_first(chunks(spark, sf_dir).select("content_hash", "content", "doc_id"), "content_hash", "doc_id")
-    out = sync.embed(rows, stores.HashEmbedder(64), workers=8)
+    out = sync.embed(rows, stores.HashEmbedder(64))
     length = vectors.dot(F.col("embedding"), F.col("embedding"))
     return out.select("content_hash", long(F.size("embedding")).alias("size"), (F.abs(length - 1) < 1e-5).alias("unit"))
 

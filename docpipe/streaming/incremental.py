@@ -26,3 +26,10 @@ def ingest_new_files(spark: SparkSession, root: str, out: str, checkpoint: str,
         chunks.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_chunks(spark: SparkSession, out: str) -> DataFrame:
+    """The chunks that hold now: of each file, those of the last batch that read it."""
+    rows = spark.read.parquet(out)
+    last = rows.groupBy("doc_path").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["doc_path", "batch"]).drop("batch")

@@ -12,7 +12,7 @@ from docpipe import config as C
 from docpipe.operators import incremental, sync
 from docpipe.plans import fixtures, pipeline
 from docpipe.sources import files, state, stores
-from docpipe.streaming.incremental import ingest_new_files
+from docpipe.streaming.incremental import ingest_new_files, latest_chunks
 
 
 def test_scan(spark, tmp_path):
@@ -247,7 +247,7 @@ def test_store_versions(spark, tmp_path):
     (tmp_path / "v/CURRENT").unlink()  # a move that was cut short: the version before
     assert store.count() == 1
     store.backup(str(tmp_path / "b"))
-    assert spark.read.json(str(tmp_path / "b")).count() == 2
+    assert spark.read.json(str(tmp_path / "b")).count() == 1
 
 
 def test_upload(spark):
@@ -282,6 +282,22 @@ def test_exports():
         docpipe.nothing
 
 
+def test_packs_and_paths(spark):
+    from docpipe.operators.ranking import greedy_packs
+    from docpipe.operators.sections import heading_paths
+
+    rows = spark.createDataFrame([("a", i, n) for i, n in enumerate([5, 5, 1, 20, None, 3])] + [("b", 0, 30), (None, 0, 1)], "k string, i int, n int")
+    got = {(r.k, r.i): r.pack for r in greedy_packs(rows.repartition(3), "k", "i", "n", 10).collect()}
+    assert [got["a", i] for i in range(6)] == [0, 0, 1, 2, 3, 3] and got["b", 0] == 0 and got[None, 0] == 0
+    heads = [(1, 2, "x"), (2, 1, "A"), (3, 3, "deep"), (4, 2, "B"), (5, 3, "C"), (6, 3, "D"), (7, 6, "E"), (8, 1, "F"), (9, 2, "G")]
+    paths = heading_paths(spark.createDataFrame([("d", *h) for h in heads], "doc_path string, seq int, level int, heading string"))
+    want, above = {}, []
+    for seq, level, heading in heads:
+        above = [a for a in above if a[0] < level] + [(level, heading)]
+        want[seq] = [h for _, h in above]
+    assert {r.seq: r.section_path for r in paths.collect()} == want
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 def test_ranks(spark, kind):
     from docpipe.operators.ranking import with_rank
@@ -340,6 +356,9 @@ def test_stream(spark, tmp_path):
     go()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.doc_path, r.batch) for r in got.collect()) == [("a.md", 0), ("b.md", 1)]
+    got.where("batch = 0").drop("batch").withColumn("content", F.lit("again")).write.parquet(str(tmp_path / "out/batch=7"))
+    now = latest_chunks(spark, str(tmp_path / "out"))
+    assert sorted((r.doc_path, r.content == "again") for r in now.collect()) == [("a.md", True), ("b.md", False)]
 
 
 def test_sinks(spark, tmp_path):
