@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..shipping import spread
+from .balltree import CLUSTER_SQL, cluster_digest
 from .decontam import CONTAMINATION_SQL, contamination_digest
 from .langid import predict_languages
 from .media import media_digest
 from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import quality
+from .secretscan import secret_digest
 from .substrings import repeated_passages
 from .tokencount import token_counts
 from .toxicity import toxicity
 from .urlfilter import URL_SQL, url_verdicts
+from .whitening import whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +88,21 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector from the exact scatter."""
+    return whitening(spread(table(spark, sf_dir, "embeddings")))
+
+
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and random-string spans of every document."""
+    return secret_digest(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact clusters of every vector by ball-tree rounds."""
+    return cluster_digest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,10 +116,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_language_id,
         op10_url_filters,
+        op11_embedding_whitening,
+        op12_secret_scans,
+        op13_centroid_clustering,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": CONTAMINATION_SQL,
     "op10_url_filters": URL_SQL,
+    "op13_centroid_clustering": CLUSTER_SQL,
 }
