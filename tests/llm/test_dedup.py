@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 
+from docpipe.llm import _text as X
 from docpipe.llm import neardup, substrings
 from docpipe.llm._store import Scratch
 from docpipe.llm.graph import components
@@ -259,6 +261,93 @@ def test_repeated_passages(spark, passages):
     assert len(texts[None]) == 1
 
 
+def edited_family(n, seed, words_in=80, apart=(25, 45)):
+    """n texts, each with its own edited copy of one passage (an edit in 25 to 45 words) between words of its own."""
+    rng = random.Random(seed)
+    base = prose(seed + 9000, words_in).split()
+    rows = []
+    for i in range(n):
+        copy, at = list(base), rng.randrange(*apart)
+        while at < len(copy):
+            copy[at] = f"edit{i}x{at}"
+            at += rng.randint(*apart)
+        rows.append((i, " ".join([prose(seed * 7 + 3 * i + 1, rng.randint(20, 60)), *copy, prose(seed * 11 + 5 * i + 2, rng.randint(20, 60))])))
+    return rows
+
+
+def all_pair_spans(rows, least=50):
+    """The library's own verification over all pairs of texts, without candidate search."""
+    parts = {i: X.shingle_table(*(lambda t: (t[0], t[3]))(X.word_table([t.encode().translate(X.SPACE_FOLD)])), 5, short=False)[0] for i, t in rows}
+    marked = {}
+    for i, mine in parts.items():
+        marked[i] = np.zeros(len(mine) + 4, bool)
+        for o, theirs in parts.items():
+            if o < i:
+                for p, q in substrings.near_spans(theirs, mine, least - 4):
+                    marked[i][p : q + 4] = True
+    return marked
+
+
+@pytest.mark.parametrize("n,seed,block", [(60, 2, 2 << 20), (120, 1, 2 << 20), (120, 9, 20_000), (200, 4, 2 << 20)])
+def test_families_of_edited_copies(spark, monkeypatch, n, seed, block):
+    """No cap on the windows of a key: nearly all words that any pair confirms are found, and none beyond."""
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", block)
+    rows = edited_family(n, seed)
+    want = all_pair_spans(rows)
+    got = {i: np.zeros(len(m), bool) for i, m in want.items()}
+    for r in substrings.repeated_passages(documents(spark, rows).repartition(3)).collect():
+        got[r.doc_id][r.start : r.end] = True
+    assert sum(m.any() for m in want.values()) > n // 3
+    assert not any((got[i] & ~want[i]).any() for i in want)
+    both, all_words = (sum(int(m.sum()) for m in x.values()) for x in (got, want))
+    assert both >= 0.99 * all_words, both / all_words
+    assert sum(m.any() for m in got.values()) >= 0.99 * sum(m.any() for m in want.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_joint_windows(seed):
+    """The sweep against the definition over all pairs of windows."""
+    rng = np.random.default_rng(seed)
+    values = rng.integers(0, 40 if seed == 2 else 1 << 40, 900).astype(np.uint64)
+    rows = []
+    for h in range(substrings.K):
+        l, c, r = substrings.compact_windows(X.splitmix(values * X.seeds(substrings.K, 31)[h]), np.array([0, len(values)]), 46)
+        kept = rng.random(len(l)) < 0.8
+        rows += [(int(k) << 8 | h, int(a), int(e) + 5, int(m)) for k, a, e, m in zip(values[c][kept] & np.uint64((1 << 40) - 1), l[kept], r[kept], c[kept])]
+    keys, start, end, at = (np.array(x, np.int64) for x in zip(*rows))
+    keys = keys >> 8 << 2 | keys & 3
+    marked = rng.random(len(keys)) < 0.5
+    f = keys & 3
+    want = set()
+    for i in range(len(keys)):
+        for j in range(len(keys)):
+            lo, hi = max(start[i], start[j]), min(end[i], end[j])
+            if f[i] < f[j] and (marked[i] or marked[j]) and lo <= min(at[i], at[j]) and max(at[i], at[j]) + 5 <= hi and hi - lo >= 50:
+                want.add((i, j))
+    i, j = substrings.joint_windows(keys, start, end, at, marked, 50)
+    assert len(i) == len(want) > 10 and set(zip(i.tolist(), j.tolist())) == want
+
+
+def test_joint_windows_of_a_long_text():
+    """Linear in the windows: a text of 400,000 words takes seconds."""
+    values = np.random.default_rng(1).integers(0, 1 << 60, 400_000).astype(np.uint64)
+    parts = [substrings.compact_windows(X.splitmix(values ^ X.seeds(4, 31)[h]), np.array([0, len(values)]), 46) for h in range(4)]
+    keys = np.concatenate([np.full(len(p[0]), h) for h, p in enumerate(parts)])
+    start, at, end = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    began = time.process_time()
+    i, _ = substrings.joint_windows(keys, start, end + 5, at, np.ones(len(keys), bool), 50)
+    assert len(i) > 100_000 and time.process_time() - began < 30
+
+
+def test_common_counts():
+    rng = np.random.default_rng(4)
+    one, other = ([rng.choice(300, n, replace=False).astype(np.uint64) for n in rng.integers(0, 90, k)] for k in (30, 20))
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in other] for a in one]
+    both = np.intersect1d(np.concatenate(one), np.concatenate(other))
+    for width in (7, 4096):
+        assert substrings.common_counts(substrings.membership(one, both), substrings.membership(other, both), width).tolist() == want
+
+
 def brute_near(rows, least=50):
     """Words in passages whose end shingles agree with an earlier document's passage, of similarity 0.8 or more."""
     marked = {}
