@@ -1,11 +1,11 @@
 """Markdown blocks and the heading tree as flat rows.
 
-The reader knows ATX and setext headings, fenced code, thematic breaks, lists,
-quotes, tables, HTML blocks and paragraphs. Lists, quotes, tables and HTML blocks
-give their text: without item marks, quote marks, delimiter rows, or tags. Each
-top-level block lands in the section of the last heading before it; text before
-the first heading belongs to the first section, and a document without headings
-has none. A code block that occurred before in the document is left out.
+Blocks are read by functions.mdblocks and their words by functions.mdinline, so
+sections hold text without item marks, quote marks, delimiter rows, tags, emphasis
+marks or link targets. Each block below the root lands in the section of the last
+heading before it; text before the first heading belongs to the first section, and
+a document without headings has none. A code block that occurred before in the
+document is left out.
 """
 
 from __future__ import annotations
@@ -18,87 +18,49 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.mdblocks import Node, blocks, label_of
+from ..functions.mdinline import plain_inline
 from ..shipping import ship
 
 SECTION_SCHEMA = "doc_path string, seq int, level int, heading string, section_path array<string>, content string"
 
-_ATX = re.compile(r" {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#*)?[ \t]*$")
-_SETEXT = re.compile(r" {0,3}(=+|-+)[ \t]*$")
-_FENCE = re.compile(r" {0,3}(`{3,}|~{3,})[ \t]*([^`]*)$")
-_BREAK = re.compile(r" {0,3}(?:(?:-[ \t]*){3,}|(?:\*[ \t]*){3,}|(?:_[ \t]*){3,})$")
-_ITEM = re.compile(r"\s*(?:[-*+]|\d{1,9}[.)])[ \t]+")
-_QUOTE = re.compile(r" {0,3}>[ \t]?")
-_DELIMITERS = re.compile(r" {0,3}\|?[ \t]*:?-+:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*$")
-_HTML = re.compile(r" {0,3}<(?:[a-zA-Z/!?])")
 FRONT_MATTER = re.compile(r"\A---[ \t]*\r?\n(.*?)(?:\r?\n)?---[ \t]*(?:\r?\n|\Z)", re.S)
 
 
-def text_kind(lines: list[str]) -> str:
-    """What a run of lines without a blank one is: list, quote, table, html or paragraph."""
-    if _ITEM.match(lines[0]):
-        return "list"
-    if _QUOTE.match(lines[0]):
-        return "quote"
-    if len(lines) > 1 and "|" in lines[0] and "|" in lines[1] and _DELIMITERS.match(lines[1]):
-        return "table"
-    return "html" if _HTML.match(lines[0]) else "paragraph"
-
-
-def plain_text(kind: str, text: str) -> str:
-    """The words of a block without its marks, a line each."""
-    lines = text.split("\n")
-    if kind == "list":
-        lines = [_ITEM.sub("", x, count=1) if _ITEM.match(x) else x.strip() for x in lines]
-    elif kind == "quote":
-        lines = [_QUOTE.sub("", x, count=1) for x in lines]
-    elif kind == "table":
-        rows = [x for i, x in enumerate(lines) if i != 1]
-        lines = [" ".join(c.strip() for c in x.strip().strip("|").split("|")) for x in rows]
-    elif kind == "html":
-        lines = [x for x in (re.sub(r"<[^>]*>", "", x).rstrip() for x in lines) if x]
-    return "\n".join(lines)
-
-
-def blocks(body: str) -> Iterator[tuple[str, object]]:
-    """(kind, value): heading (level, text), code (language, text), break, or a text kind with its text."""
-    lines = body.split("\n")
-    held: list[str] = []
-    i = 0
-
-    def flush() -> Iterator[tuple[str, object]]:
-        text = "\n".join(held).strip("\n")
-        kind = text_kind(held) if held else ""
-        held.clear()
-        if text.strip():
-            yield kind, text
-
-    while i < len(lines):
-        line = lines[i].rstrip("\r")
-        fence, atx = _FENCE.match(line), _ATX.match(line)
-        if fence:
-            yield from flush()
-            mark, code = fence[1], []
-            i += 1
-            while i < len(lines) and not re.match(rf" {{0,3}}{mark[0]}{{{len(mark)},}}[ \t]*\r?$", lines[i]):
-                code.append(lines[i].rstrip("\r"))
-                i += 1
-            yield "code", (fence[2].split()[0] if fence[2].split() else "", "\n".join(code))
-        elif atx:
-            yield from flush()
-            yield "heading", (len(atx[1]), (atx[2] or "").strip())
-        elif held and _SETEXT.match(line):
-            text = " ".join(x.strip() for x in held)
-            held.clear()
-            yield "heading", (1 if line.strip()[0] == "=" else 2, text)
-        elif _BREAK.match(line):
-            yield from flush()
-            yield "break", None
-        elif not line.strip():
-            yield from flush()
-        else:
-            held.append(line)
-        i += 1
-    yield from flush()
+def targets_of(nodes: list[Node]) -> dict[str, str]:
+    """Definitions of a page by label; the first of equal labels holds."""
+    found: dict[str, str] = {}
+    for n in nodes:
+        if n.kind == "definition":
+            found.setdefault(label_of(n.text or ""), n.info or "")
+    return found
+
+
+def html_words(text: str) -> str:
+    """HTML lines without tags; lines without anything else go."""
+    return "\n".join(x for x in (re.sub(r"<[^>]*>", "", x).rstrip() for x in text.split("\n")) if x)
+
+
+def block_texts(body: str) -> Iterator[tuple[Node, str]]:
+    """The blocks below the root with their words: without marks, a paragraph, item, row or piece of code a line."""
+    nodes = blocks(body)
+    targets = targets_of(nodes)
+    tops = [i for i, n in enumerate(nodes) if n.parent == 0]
+    for a, b in zip(tops, [*tops[1:], len(nodes)]):
+        lines: list[str] = []
+        for n in nodes[a:b]:
+            if n.kind == "row":
+                lines.append("")
+            elif n.kind == "cell":
+                first = nodes[n.parent + 1] is n
+                lines[-1] += ("" if first else " ") + plain_inline(n.text, targets)
+            elif n.kind in ("paragraph", "heading"):
+                lines.append(plain_inline(n.text, targets))
+            elif n.kind == "code":
+                lines += filter(None, [n.text])
+            elif n.kind == "html":
+                lines += filter(None, [html_words(n.text or "")])
+        yield nodes[a], "---" if nodes[a].kind == "break" else "\n".join(lines)
 
 
 def sections(body: str) -> list[dict]:
@@ -107,24 +69,21 @@ def sections(body: str) -> list[dict]:
     above: list[tuple[int, str]] = []
     early: list[str] = []
     seen: set[str] = set()
-    for kind, value in blocks(body):
-        if kind == "heading":
-            level, heading = value
-            above = [a for a in above if a[0] < level] + [(level, heading)]
-            found.append({"level": level, "heading": heading, "section_path": [h for _, h in above], "parts": early})
+    for node, text in block_texts(body):
+        if node.kind == "heading":
+            above = [a for a in above if a[0] < node.level] + [(node.level, text)]
+            found.append({"level": node.level, "heading": text, "section_path": [h for _, h in above], "parts": early})
             early = []
             continue
-        if kind == "code":
-            language, code = value
-            key = hashlib.md5(f"{language}:{code.strip()}".encode()).hexdigest()[:8]
+        if node.kind == "code":
+            language = node.info or ""
+            key = hashlib.md5(f"{language}:{text.strip()}".encode()).hexdigest()[:8]
             if key in seen:
                 continue
             seen.add(key)
-            text = f"```{language}\n{code}\n```"
-        else:
-            text = "---" if kind == "break" else plain_text(kind, value)
-            if not text.strip():
-                continue
+            text = f"```{language}\n{text}\n```"
+        elif not text.strip():
+            continue
         (found[-1]["parts"] if found else early).append(text)
     return [{**{k: s[k] for k in ("level", "heading", "section_path")}, "seq": i, "content": "\n\n".join(s["parts"])} for i, s in enumerate(found)]
 

@@ -331,21 +331,27 @@ def front_yaml(spark, sf_dir):
     return out.select(long("doc_path").alias("doc_id"), *pipeline.FRONT, T.content_hash(F.col("body")).alias("content_hash"))
 
 
-@query(
-    f"""SELECT doc_id, CAST(seq AS INTEGER) AS seq, CAST(seq + 1 AS INTEGER) AS level, CASE seq WHEN 0 THEN source ELSE lang END AS heading,
+SECTIONS_SQL = f"""SELECT doc_id, CAST(seq AS INTEGER) AS seq, CAST(seq + 1 AS INTEGER) AS level, CASE seq WHEN 0 THEN source ELSE lang END AS heading,
     CASE seq WHEN 0 THEN source ELSE source || ' > ' || lang END AS section,
     CASE seq WHEN 0 THEN t ELSE t || chr(10) || 'second' || chr(10) || chr(10) || 'said ' || t || chr(10) || chr(10) || '```x' || chr(10) || t || chr(10) || '```'
       || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'a b' || chr(10) || t || ' d' || chr(10) || chr(10) || 'bold' END AS content
     FROM (SELECT *, {_LETTERS} AS t FROM documents), (SELECT unnest([0, 1]) AS seq)"""
-)
-def sections_tree(spark, sf_dir):
-    """Two headings; below the second a list, a quote, a code block that comes twice, a break, a table and HTML."""
+
+
+def section_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_path, body) with two headings; below the second a list, a quote, a code block that comes twice, a break, a table and HTML."""
     t = letters()
     body = F.concat(
         F.lit("# "), "source", F.lit("\n\n"), t, F.lit("\n\n"), "lang", F.lit("\n---\n\n- "), t, F.lit("\n- second\n\n> said "), t, F.lit("\n\n```x\n"), t,
         F.lit("\n```\n\n```x\n"), t, F.lit("\n```\n\n---\n\n| a | b |\n|---|---|\n| "), t, F.lit(" | d |\n\n<div><b>bold</b></div>\n"),
     )
-    rows = sections.sections_tree(wide(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc_path"), body.alias("body")))
+    return wide(spark, sf_dir).select(F.col("doc_id").cast("string").alias("doc_path"), body.alias("body"))
+
+
+@query(SECTIONS_SQL)
+def sections_tree(spark, sf_dir):
+    """The sections of pages with blocks of all kinds."""
+    rows = sections.sections_tree(section_pages(spark, sf_dir))
     return rows.select(long("doc_path").alias("doc_id"), "seq", "level", "heading", sections.flat_path(F.col("section_path")).alias("section"), "content")
 
 

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from docpipe.plans import catalogue, roundtrips  # noqa: F401
+from docpipe.plans import catalogue, markdown, roundtrips  # noqa: F401
 
 
 @pytest.fixture(scope="module")
