@@ -19,7 +19,7 @@ _PLACES = {
     "plans.pipeline": ("ingest", "ingest_specs", "load_previous", "run", "run_stats"),
     "sources.files": ("read_navigation", "read_outputs", "read_pages", "read_redirects", "read_specs"),
     "sources.stores": ("HashEmbedder", "ParquetContentStore", "ParquetVectorStore", "PatientEmbedder"),
-    "streaming.incremental": ("ingest_new_files",),
+    "streaming.incremental": ("change_stream", "ingest_folder", "latest_chunks"),
 }
 _HOME = {name: place for place, names in _PLACES.items() for name in names}
 __all__ = sorted(_HOME)

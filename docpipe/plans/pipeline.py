@@ -17,6 +17,7 @@ from ..operators.chunking import Count, chunk_pages, regex_tokens
 from ..operators.sections import front_values
 from ..scratch import settled
 from ..shipping import ship
+from ..sources.files import exists
 
 SPEC_FOLDER = "api-reference/"
 SPEC_SOURCE = "specifications:"  # paths of specification files among those of pages
@@ -120,15 +121,10 @@ def run_stats(chunks: DataFrame) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def load_previous(spark: SparkSession, out: str, name: str = "chunks") -> DataFrame | None:
     """A table of the last run below out; None if there is none or it can't be read, which means a first run."""
     for path in (f"{out}/{name}", f"{out}/{name}.old"):  # the second if the last swap was cut short
-        if _exists(spark, path):
+        if exists(spark, path):
             try:
                 return spark.read.parquet(path)
             except AnalysisException:
@@ -169,7 +165,8 @@ def run(
 
     Files are compared by content hash; with by_revision another (or unknown)
     revision means all files again, and with full all of them in any case.
-    Specifications are read again, all of them, if any of them changed.
+    Specifications are read again, all of them, if any of them changed; without
+    `specs` (none given, which is not an empty table) those of the last run stay.
     """
     git = git or {}
     now = file_hashes(pages)
@@ -178,6 +175,12 @@ def run(
     old, files = (None, None) if full else (load_previous(spark, out, n) for n in ("chunks", "files"))
     if old is None or files is None:
         old = files = None
+    below = lambda top: F.col("doc_path").startswith(top)
+    held = [load_previous(spark, out, n) for n in ("chunks", "files")] if specs is None else [None, None]
+    if held[0] is None or held[1] is None:
+        held = None
+    elif files is not None:
+        files = files.where(~below(SPEC_SOURCE))
     sha = git.get("commit_sha", "unknown")
     before = sha
     if by_revision and files is not None:
@@ -188,8 +191,8 @@ def run(
     changed = pages.join(again, "doc_path", "left_semi")
     chunks, _ = ingest(changed, git, count=count)
     if specs is not None:
-        same = old is not None and todo.where(F.col("doc_path").startswith(SPEC_SOURCE) & (F.col("action") != "skip")).isEmpty()
-        made = old.where(F.col("doc_path").startswith(SPEC_FOLDER)).drop("status") if same else ingest_specs(specs, git, count=count)[0]
+        same = old is not None and todo.where(below(SPEC_SOURCE) & (F.col("action") != "skip")).isEmpty()
+        made = old.where(below(SPEC_FOLDER)).drop("status") if same else ingest_specs(specs, git, count=count)[0]
         chunks = chunks.unionByName(made.withColumn("__same", F.lit(same)), allowMissingColumns=True)
         chunks = chunks.withColumn("status", F.when(F.col("__same"), "kept")).drop("__same")
     else:
@@ -197,9 +200,12 @@ def run(
     if old is None:
         merged = chunks.withColumn("status", F.lit("new"))
     else:
-        kept = old.where(~F.col("doc_path").startswith(SPEC_FOLDER)) if specs is not None else old
-        merged = incremental.carry_over(chunks, kept.drop("status"), old, todo)
+        merged = incremental.carry_over(chunks, old.where(~below(SPEC_FOLDER)).drop("status"), old, todo)
+    now = now.withColumn("commit_sha", F.lit(sha))
+    if held:
+        merged = merged.unionByName(held[0].where(below(SPEC_FOLDER)).withColumn("status", F.lit("kept")), allowMissingColumns=True)
+        now = now.unionByName(held[1].where(below(SPEC_SOURCE)))
     swap(merged, out)
-    swap(now.withColumn("commit_sha", F.lit(sha)), out, "files")
+    swap(now, out, "files")
     figures = todo.agg(*(F.count_if(F.col("action") == a).alias(n) for a, n in (("process", "processed"), ("skip", "skipped"), ("deleted", "deleted"))))
     return run_stats(spark.read.parquet(f"{out}/chunks")).crossJoin(figures)  # one row by one row

@@ -37,11 +37,15 @@ def relative(path: Column, root: str) -> Column:
     return F.substr(full, F.instr(full, plain) + len(plain))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, text, size, modified) of whole files below root; a folder that is missing gives no rows."""
     schema = "path string, text string, size long, modified timestamp"
-    target = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not exists(spark, root):
         return spark.createDataFrame([], schema)
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
     meta = F.col("_metadata")
@@ -55,8 +59,7 @@ def read_texts(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
 def read_outputs(spark: SparkSession, root: str, glob: str = "*.md") -> DataFrame:
     """Files that an earlier step must have written: a missing folder or one without files is an error."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not exists(spark, root):
         raise FileNotFoundError(f"no folder {root}")
     rows = read_texts(spark, root, glob)
     if rows.isEmpty():

@@ -1,35 +1,116 @@
-"""Ingestion of new files as a stream: each file is read once, each batch is written once.
+"""Ingestion as a stream of changes: files that are new, changed or gone since the last run.
 
-The reference behaviour is incremental and batch-wise, without event time; so
-the stream is a file source with availableNow, map-only up to the chunker, and a
-foreachBatch writer whose output folder is named by the batch, so a batch that
-is run again after a failure replaces itself.
+A file source remembers paths, not contents, so files are not streamed
+themselves. Each run takes a listing: path and hash of every file, and a row
+without a hash for each path of the last listing that is gone. Listings are the
+stream. A keyed state, path to hash, turns it into changes; a batch reads the pages
+that changed and writes their chunks, and the changes with them, to a folder named
+by the batch, so a batch that is run again after a failure replaces itself. Several
+listings in one batch (after a lost run) are taken in their order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..config import ScanConfig
+from ..plans.pipeline import file_hashes, ingest
+from ..shipping import ship
+from ..sources.files import exists, read_pages
+
+LISTING = "doc_path string, file_hash string, run long"
+CHANGES = "doc_path string, action string, file_hash string, run long"
+
+
+def last_listing(spark: SparkSession, listings: str) -> DataFrame | None:
+    """The files of the newest listing, or None before the first."""
+    if not exists(spark, listings):
+        return None
+    rows = spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(listings)
+    run = rows.agg(F.max("run")).first()[0]
+    return None if run is None else rows.where((F.col("run") == run) & F.col("file_hash").isNotNull())
+
+
+def take_listing(files: DataFrame, listings: str) -> int:
+    """Add a listing of files (doc_path, file_hash) to the folder; its number.
+
+    An empty folder of files is a listing too: all that was there is gone.
+    """
+    spark = files.sparkSession
+    last = last_listing(spark, listings)
+    run = 0
+    rows = files.select("doc_path", "file_hash")
+    if last is not None:
+        run = (spark.read.schema(LISTING).option("recursiveFileLookup", True).parquet(listings).agg(F.max("run")).first()[0]) + 1
+        gone = last.join(rows, "doc_path", "left_anti").select("doc_path", F.lit(None).cast("string").alias("file_hash"))
+        rows = rows.unionByName(gone)
+    rows.withColumn("run", F.lit(run).cast("long")).write.parquet(f"{listings}/listing-{run}")
+    return run
+
 
-from ..plans.pipeline import ingest
-from ..sources.files import relative
+def _changed(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The last change of one path against its state; nothing if it comes out as it was."""
+    before = state.get[0] if state.exists else None
+    seen = pd.concat(list(rows))
+    last = seen.sort_values("run").iloc[-1]
+    now = None if pd.isna(last.file_hash) else last.file_hash
+    if now is None and state.exists:
+        state.remove()
+    elif now is not None:
+        state.update((now,))
+    if now != before:
+        action = "removed" if now is None else "new" if before is None else "changed"
+        yield pd.DataFrame({"doc_path": [key[0]], "action": [action], "file_hash": [now], "run": [last.run]})
 
 
-def ingest_new_files(spark: SparkSession, root: str, out: str, checkpoint: str, glob: str = "*.{md,mdx}", git: dict[str, str] | None = None) -> StreamingQuery:
-    """Chunk the files below root that no earlier run has seen; rows go to out/batch=<n>."""
-    stream = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(root, wholetext=True)
-    pages = stream.select(relative(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), root).alias("doc_path"), F.col("value").alias("text"))
+def change_stream(spark: SparkSession, listings: str) -> DataFrame:
+    """(doc_path, action, file_hash, run) as a stream: new, changed and removed paths."""
+    ship(spark)
+    stream = spark.readStream.schema(LISTING).option("recursiveFileLookup", True).parquet(listings)
+    return stream.groupBy("doc_path").applyInPandasWithState(_changed, CHANGES, "file_hash string", "append", GroupStateTimeout.NoTimeout)
+
+
+def ingest_changes(
+    spark: SparkSession, pages: DataFrame, work: str, git: dict[str, str] | None = None, normalize: bool = True
+) -> StreamingQuery:
+    """Take a listing of pages (doc_path, text), and ingest what changed since the last one below work.
+
+    pages is read twice, for the hashes and for the changed texts; a page that
+    changes in between is ingested as it is then, and again by the next run.
+    """
+    take_listing(file_hashes(pages), f"{work}/listings")
 
     def write(batch: DataFrame, number: int) -> None:
-        chunks, _ = ingest(batch, git)
-        chunks.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{work}/changes/batch={number}")
+        changes = spark.read.parquet(f"{work}/changes/batch={number}")
+        chunks, _ = ingest(pages.join(changes.where("action <> 'removed'"), "doc_path", "left_semi"), git, normalize=normalize)
+        chunks.write.mode("overwrite").parquet(f"{work}/chunks/batch={number}")
+
+    stream = change_stream(spark, f"{work}/listings")
+    return stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
+
+
+def ingest_folder(spark: SparkSession, root: str, work: str, git: dict[str, str] | None = None, cfg: ScanConfig | None = None) -> StreamingQuery:
+    """ingest_changes of the pages below a folder."""
+    return ingest_changes(spark, read_pages(spark, cfg or ScanConfig(root)).select("doc_path", "text"), work, git)
+
+
+def changes(spark: SparkSession, work: str) -> DataFrame:
+    """All changes so far: doc_path, action, file_hash, run, batch."""
+    return spark.read.option("basePath", f"{work}/changes").parquet(f"{work}/changes")
 
-    return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def latest_chunks(spark: SparkSession, work: str) -> DataFrame:
+    """The chunks that hold now: of each path, those of the batch of its last change, unless that removed it.
 
-def latest_chunks(spark: SparkSession, out: str) -> DataFrame:
-    """The chunks that hold now: of each file, those of the last batch that read it."""
-    rows = spark.read.parquet(out)
-    last = rows.groupBy("doc_path").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["doc_path", "batch"]).drop("batch")
+    A file that has no chunks any more has none here either.
+    """
+    last = changes(spark, work).groupBy("doc_path").agg(F.max(F.struct("batch", "action")).alias("x")).where("x.action <> 'removed'")
+    rows = spark.read.parquet(f"{work}/chunks")
+    return rows.join(last.select("doc_path", "x.batch"), ["doc_path", "batch"]).drop("batch")

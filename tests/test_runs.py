@@ -12,7 +12,7 @@ from docpipe import config as C
 from docpipe.operators import incremental, sync
 from docpipe.plans import fixtures, pipeline
 from docpipe.sources import files, state, stores
-from docpipe.streaming.incremental import ingest_new_files, latest_chunks
+from docpipe.streaming.incremental import changes, ingest_folder, latest_chunks, take_listing
 
 
 def test_scan(spark, tmp_path):
@@ -346,19 +346,64 @@ def test_state(tmp_path):
 
 
 def test_stream(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    page = "# T\n" + "word " * 100
-    (tmp_path / "in/a.md").write_text(page)
-    go = lambda: ingest_new_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    go()
-    go()
-    (tmp_path / "in/b.md").write_text(page)
-    go()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted((r.doc_path, r.batch) for r in got.collect()) == [("a.md", 0), ("b.md", 1)]
-    got.where("batch = 0").drop("batch").withColumn("content", F.lit("again")).write.parquet(str(tmp_path / "out/batch=7"))
-    now = latest_chunks(spark, str(tmp_path / "out"))
-    assert sorted((r.doc_path, r.content == "again") for r in now.collect()) == [("a.md", True), ("b.md", False)]
+    """Files that change, are renamed, lose their chunks and go between runs: the chunks are those of a full run."""
+    root, work = tmp_path / "in", str(tmp_path / "work")
+    (root / "sub").mkdir(parents=True)
+    page = lambda word: f"# T\n{word} " + "word " * 100
+    key = lambda r: (r.doc_path, r.chunk_seq, r.content)
+
+    def go():
+        ingest_folder(spark, str(root), work).awaitTermination()
+        full, _ = pipeline.ingest(files.read_pages(spark, C.ScanConfig(str(root))).select("doc_path", "text"))
+        got = latest_chunks(spark, work)
+        assert sorted(map(key, got.collect())) == sorted(map(key, full.collect()))
+        last = changes(spark, work)
+        top = last.agg(F.max("run")).first()[0]
+        return {r.doc_path: r.action for r in last.where(F.col("run") == top).collect()}, got.count()
+
+    for name in ("a", "b", "sub/c", "d"):
+        (root / f"{name}.md").write_text(page(name))
+    assert go() == ({"a.md": "new", "b.md": "new", "sub/c.md": "new", "d.md": "new"}, 4)
+    assert go()[1] == 4 and changes(spark, work).count() == 4
+    (root / "a.md").write_text(page("second"))
+    (root / "b.md").rename(root / "sub/b.md")
+    (root / "d.md").write_text("no heading, no chunk")
+    (root / "sub/c.md").unlink()
+    assert go() == ({"a.md": "changed", "b.md": "removed", "sub/b.md": "new", "sub/c.md": "removed", "d.md": "changed"}, 2)
+    (root / "sub/c.md").write_text(page("c"))  # back again, as it was
+    assert go() == ({"sub/c.md": "new"}, 3)
+    # A run that was lost after its listing: the next takes both.
+    (root / "a.md").write_text(page("third"))
+    take_listing(pipeline.file_hashes(files.read_pages(spark, C.ScanConfig(str(root)))), f"{work}/listings")
+    (root / "a.md").write_text(page("second"))
+    (root / "e.md").write_text(page("e"))
+    assert go() == ({"e.md": "new"}, 4)
+    for f in root.rglob("*.md"):
+        f.unlink()
+    assert go()[1] == 0
+
+
+def test_specifications_stay_when_none_are_given(spark, tmp_path):
+    pages = spark.createDataFrame([("a.md", "# A\n" + "word " * 90)], "doc_path string, text string")
+    specs = fixtures_specs(spark)
+    run = lambda s, **more: pipeline.run(spark, pages, s, str(tmp_path / "o"), **more).first()
+    count = lambda: spark.read.parquet(str(tmp_path / "o/chunks")).where("doc_path like 'api-reference/%'").count()
+    run(specs)
+    n = count()
+    assert n > 0
+    r = run(None)
+    assert count() == n and r.deleted == 0
+    run(None, full=True)
+    assert count() == n
+    r = run(specs)
+    assert count() == n and r.skipped == 2 and r.processed == 0
+    run(specs.limit(0))
+    assert count() == 0
+
+
+def fixtures_specs(spark):
+    text = json.dumps({"openapi": "3.0.0", "info": {"title": "T", "version": "1"}, "paths": {"/a": {"get": {"summary": "A", "description": "long " * 80, "responses": {"200": {"description": "ok"}}}}}})
+    return spark.createDataFrame([("payments/p.json", text)], "path string, text string")
 
 
 def test_sinks(spark, tmp_path):
