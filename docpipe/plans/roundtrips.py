@@ -22,6 +22,7 @@ from ..operators.chunking import chunk_documents, chunk_pages
 from ..scratch import shared_root
 from ..shipping import spread
 from ..sources import files, sinks, stores
+from ..streaming import incremental as streams
 from . import pipeline
 from .catalogue import _FORCED, _LABEL, CHUNKS_SQL, TOKENS_SQL, chunks, long, previous, query, table, with_cte
 
@@ -543,3 +544,54 @@ def sync_update(spark, sf_dir):
 @query(with_cte("SELECT DISTINCT content_hash FROM previous WHERE content_hash NOT IN (SELECT content_hash FROM chunks)"))
 def sync_delete(spark, sf_dir):
     return _op(spark, sf_dir, "delete")
+
+
+# --- streams ---------------------------------------------------------------
+
+# Three listings of documents as files: some are missing, some changed, and in the last all are as at first.
+_LISTINGS = """l AS (
+  SELECT doc_id, 0 AS run, sha256(text) AS h FROM documents WHERE doc_id % 5 <> 0
+  UNION ALL SELECT doc_id, 1, sha256(text || CASE WHEN doc_id % 3 = 0 THEN ' changed' ELSE '' END) FROM documents WHERE doc_id % 4 <> 0
+  UNION ALL SELECT doc_id, 2, sha256(text) FROM documents)"""
+
+
+@query(
+    f"""WITH {_LISTINGS}, d AS (SELECT doc_id, run FROM (SELECT DISTINCT doc_id FROM documents), (SELECT unnest([0, 1, 2]) AS run)),
+    s AS (SELECT d.doc_id, d.run, h, lag(h) OVER (PARTITION BY d.doc_id ORDER BY d.run) AS before FROM d LEFT JOIN l USING (doc_id, run))
+    SELECT CAST(doc_id AS VARCHAR) AS doc_path, CAST(run AS BIGINT) AS run, CASE WHEN h IS NULL THEN 'removed' WHEN before IS NULL THEN 'new' ELSE 'changed' END AS action, h AS file_hash
+    FROM s WHERE h IS DISTINCT FROM before"""
+)
+def stream_changes(spark, sf_dir):
+    """Changes that the keyed stream finds between three listings of all documents."""
+    work = place(spark, "changes")
+    i = F.col("doc_id")
+    docs = wide(spark, sf_dir)
+    versions = (
+        docs.where(i % 5 != 0),
+        docs.where(i % 4 != 0).withColumn("text", F.when(i % 3 == 0, F.concat("text", F.lit(" changed"))).otherwise(F.col("text"))),
+        docs,
+    )
+    for files_now in versions:
+        streams.take_listing(files_now.select(i.cast("string").alias("doc_path"), F.sha2("text", 256).alias("file_hash")), f"{work}/listings")
+        out = streams.change_stream(spark, f"{work}/listings").writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+        out.option("path", f"{work}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{work}/out").select("doc_path", "run", "action", "file_hash")
+
+
+_CHANGED = _CUT.replace(f"string_split({_LETTERS}", f"string_split(CASE WHEN source = 'src9' THEN 'second ' ELSE '' END || {_LETTERS}")
+
+
+@query(
+    f"""WITH {_CHANGED} SELECT CAST(doc_id AS VARCHAR) || '.md' AS doc_path, CAST(chunk_seq AS INTEGER) AS chunk_seq, sha256(array_to_string(part, ' ')) AS content_hash, CAST(len(part) AS INTEGER) AS token_count
+    FROM cut WHERE lang <> 'de'"""
+)
+def stream_chunks(spark, sf_dir):
+    """Documents as pages in two runs of the change stream: French ones come, German ones go, those of one source change."""
+    work = place(spark, "stream")
+    path = F.concat(F.col("doc_id").cast("string"), F.lit(".md"))
+    first = F.concat(F.lit("# Page\n\n"), letters())
+    second = F.concat(F.lit("# Page\n\n"), F.when(F.col("source") == "src9", F.lit("second ")).otherwise(F.lit("")), letters())
+    for missing, text in (("fr", first), ("de", second)):
+        pages = wide(spark, sf_dir).where(F.col("lang") != missing).select(path.alias("doc_path"), text.alias("text"))
+        streams.ingest_changes(spark, pages, work).awaitTermination()
+    return streams.latest_chunks(spark, work).select("doc_path", "chunk_seq", "content_hash", "token_count")
