@@ -214,7 +214,7 @@ def sync(
 
     spark = chunks.sparkSession
     wanted = keep_first(chunks.where(should_embed(F.col("token_count"), F.col("doc_path"))), "content_hash", "file_seq", "chunk_seq")
-    wanted = wanted.persist()
+    wanted, plan = wanted.persist(), None
     try:
         plan = sync_plan(wanted, state).persist()
         counts = {r["op"]: r["count"] for r in plan.groupBy("op").count().collect()}
@@ -244,6 +244,7 @@ def sync(
                 broken += 1
                 if broken >= C.BREAKER:
                     raise RuntimeError(f"{broken} stages in a row could not be written") from e
+            store.unstage()
             result.stages += 1
             if save:
                 save(store)
@@ -259,4 +260,7 @@ def sync(
         result.hashes = store.vectors(spark).select(F.col("id").alias("content_hash"))
         return result
     finally:
-        wanted.unpersist()
+        store.unstage()
+        for table in (plan, wanted):
+            if table is not None:
+                table.unpersist()

@@ -12,8 +12,10 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ..config import VECTOR_SIZE
+from .buckets import BucketedTable
 
 VECTOR_SCHEMA = "id string, embedding array<float>, metadata map<string,string>"
 
@@ -75,6 +77,7 @@ def mock_vector(size: int = VECTOR_SIZE):
 class VectorStore(Protocol):
     def vectors(self, spark: SparkSession) -> DataFrame: ...
     def stage(self, rows: DataFrame) -> DataFrame: ...
+    def unstage(self) -> None: ...
     def upsert(self, rows: DataFrame) -> None: ...
     def delete(self, ids: DataFrame) -> None: ...
 
@@ -89,72 +92,36 @@ def deleted(old: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 
 
 class ParquetVectorStore:
-    """Versioned Parquet folders; a pointer file names those that make up the current version.
+    """Vectors in a BucketedTable: a write costs the buckets it touches, and old files go after a grace time."""
 
-    The first folder is whole; each later one holds changes: rows in place of
-    those with their id, or (without an embedding) ids that are gone. So a write
-    costs what it changes, and all is rewritten only after MOST_CHANGES of them.
-    Folders are complete before the pointer moves, so readers and a run that was
-    lost half-way never see a part of one.
-    """
-
-    MOST_CHANGES = 16
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _current(self) -> list[str]:
-        for name in ("CURRENT", "CURRENT.old"):  # the second if the last move was cut short
-            fs, p = self._fs(f"{self.root}/{name}")
-            if fs.exists(p):
-                return [r[0].strip() for r in self.spark.read.text(f"{self.root}/{name}").collect() if r[0].strip()]
-        return []
-
-    def _write(self, rows: DataFrame, names: list[str]) -> None:
-        name = f"v-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{name}")
-        fs, pointer = self._fs(f"{self.root}/CURRENT")
-        (_, draft), (_, old) = self._fs(f"{self.root}/CURRENT.{name}"), self._fs(f"{self.root}/CURRENT.old")
-        out = fs.create(draft, True)
-        out.write(bytearray("\n".join([*names, name]).encode()))
-        out.close()
-        if fs.exists(pointer):
-            fs.delete(old, False)
-            fs.rename(pointer, old)
-        fs.rename(draft, pointer)
-
-    def _change(self, rows: DataFrame) -> None:
-        names = self._current()
-        if len(names) > self.MOST_CHANGES:
-            self._write(self.vectors(self.spark), [])
-            names = self._current()
-        self._write(rows, names)
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, most_changes: int = 8, grace: float = 3600.0):
+        self.spark = spark
+        self.table = BucketedTable(spark, root, _parse_datatype_string(VECTOR_SCHEMA), "id", buckets, most_changes, grace)
+        self.root = self.table.root
+        self._staged: list[str] = []
 
     def vectors(self, spark: SparkSession) -> DataFrame:
-        names = self._current()
-        if not names:
-            return spark.createDataFrame([], VECTOR_SCHEMA)
-        read = lambda n: spark.read.schema(VECTOR_SCHEMA).parquet(f"{self.root}/{n}")
-        out = read(names[0])
-        for name in names[1:]:
-            out = upserted(out, read(name))
-        return out.where("embedding is not null")
+        return self.table.rows()
 
     def stage(self, rows: DataFrame) -> DataFrame:
-        path = f"{self.root}/staged-{uuid.uuid4().hex}"
+        """rows as they are now, written in the store's folder until `unstage`."""
+        self._staged.append(f"staged-{uuid.uuid4().hex}")
+        path = f"{self.root}/{self._staged[-1]}"
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def unstage(self) -> None:
+        """Remove what this process has staged; after the rows are in the store, or were given up."""
+        for name in self._staged:
+            self.table.remove(name)
+        self._staged.clear()
+
     def upsert(self, rows: DataFrame) -> None:
-        self._change(rows.select("id", "embedding", "metadata"))
+        self.table.write(rows.select("id", "embedding", "metadata", F.lit(False).alias("gone")))
 
     def delete(self, ids: DataFrame) -> None:
-        gone = ids.select("id").distinct()
-        self._change(gone.select("id", F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("map<string,string>").alias("metadata")))
+        gone = ids.select("id", F.lit(None).cast("array<float>").alias("embedding"), F.lit(None).cast("map<string,string>").alias("metadata"), F.lit(True).alias("gone"))
+        self.table.write(gone)
 
     def fetch(self, ids: DataFrame, values: bool = True) -> DataFrame:
         out = self.vectors(self.spark).join(ids.select("id").distinct(), "id")

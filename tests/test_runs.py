@@ -235,8 +235,7 @@ def test_sync_stages_and_breaker(spark, tmp_path):
 
 
 def test_store_versions(spark, tmp_path):
-    store = stores.ParquetVectorStore(spark, str(tmp_path / "v"))
-    store.MOST_CHANGES = 3
+    store = stores.ParquetVectorStore(spark, str(tmp_path / "v"), most_changes=3)
     row = lambda i, k: spark.createDataFrame([(f"i{i}", [1.0], {"k": str(k)})], stores.VECTOR_SCHEMA)
     for k in range(9):
         store.upsert(row(k % 2, k))
@@ -250,6 +249,53 @@ def test_store_versions(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "b")).count() == 1
 
 
+def test_writes_touch_their_buckets_only(spark, tmp_path):
+    root = tmp_path / "v"
+    rows = spark.range(2000).select(F.concat(F.lit("id"), "id").alias("id"), F.array(F.col("id").cast("float")).alias("embedding"), F.create_map(F.lit("k"), F.lit("old")).alias("metadata"))
+    store = stores.ParquetVectorStore(spark, str(root), buckets=32, most_changes=2, grace=0)
+    store.upsert(rows)
+    first = {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+    assert len({p.parent.name for p in first}) == 32
+    few = rows.where("embedding[0] % 100 = 7").withColumn("metadata", F.create_map(F.lit("k"), F.lit("new")))
+    buckets = {r.b for r in few.select(F.pmod(F.xxhash64("id"), F.lit(32)).alias("b")).collect()}
+    assert len(buckets) < 20
+    new = lambda: {p for p in root.rglob("*.parquet") if p not in first}
+    assert set(store.table.write(few.withColumn("gone", F.lit(False)))) == buckets
+    assert {int(p.parent.name.removeprefix("bucket=")) for p in new()} == buckets
+    assert all(p.stat().st_mtime_ns == t for p, t in first.items())
+    store.delete(few.where("embedding[0] < 1000"))  # the third write of these buckets: they are rewritten, alone
+    store.delete(few.where("embedding[0] < 1000"))
+    got = {r.id: r.metadata["k"] for r in store.vectors(spark).collect()}
+    want = {f"id{i}": "new" if i % 100 == 7 else "old" for i in range(2000) if i % 100 != 7 or i >= 1000}
+    assert got == want
+    untouched = {p for p in first if int(p.parent.name.removeprefix("bucket=")) not in buckets}
+    assert all(p.exists() and p.stat().st_mtime_ns == first[p] for p in untouched)
+    store.upsert(rows.limit(1))
+    store.table.clean()
+    named = {f"{n}/bucket={b}" for b, names in store.table.manifest().items() for n in names}
+    on_disk = {f"{p.parent.parent.name}/{p.parent.name}" for p in root.rglob("*.parquet")}
+    assert named <= on_disk and len(on_disk) <= len(named) + 40  # those of the pointer before stay
+
+
+def test_store_leaves_nothing_behind(spark, tmp_path):
+    root = tmp_path / "v"
+    store = stores.ParquetVectorStore(spark, str(root), buckets=2, most_changes=2, grace=0)
+    rows = spark.createDataFrame([(f"h{i:03}", f"t{i}", 100, "a", {}, 0, i) for i in range(30)], CHUNK)
+    sync.sync(rows, spark.createDataFrame([], "content_hash string"), store, stores.HashEmbedder(8), stage_size=2)
+    assert store.count() == 30 and not list(root.glob("staged-*"))
+    assert len(list(root.glob("g0*"))) <= 8
+    (root / "staged-lost").mkdir()
+    slow = stores.ParquetVectorStore(spark, str(root), buckets=2, most_changes=2, grace=10_000)
+    slow.upsert(store.vectors(spark).limit(1))
+    assert (root / "staged-lost").exists()
+    store.table.clean()
+    assert not (root / "staged-lost").exists() and store.count() == 30
+    reader = slow.vectors(spark)  # a reader that began before later writes still finds its files
+    for _ in range(4):
+        slow.upsert(slow.vectors(spark).limit(1))
+    assert reader.count() == 30
+
+
 def test_upload(spark):
     def put(key, text, facts):
         if key == "h1":
