@@ -48,7 +48,10 @@ def normalize_pages(spark: SparkSession, a: argparse.Namespace) -> dict:
 def normalize_specs(spark: SparkSession, a: argparse.Namespace) -> dict:
     apispec.spec_files(_specs(spark, a.specs)).write.mode("overwrite").parquet(f"{a.out}/specs")
     rows = spark.read.parquet(f"{a.out}/specs")
-    return {"files": rows.where("error is null").count(), "errors": [r.asDict() for r in rows.where("error is not null").select("path", "error").limit(20).collect()]}
+    good = rows.where("error is null").select(F.col("out_path").alias("path"), F.col("markdown").alias("text"))
+    done = sinks.write_files(good, f"{a.out}/specifications", clean=True)  # files of specifications that are gone go
+    bad = rows.where("error is not null").select("path", "error").unionByName(done.where("error is not null"))
+    return {"files": done.where("error is null").count(), "errors": [r.asDict() for r in bad.limit(20).collect()]}
 
 
 def upload_content(spark: SparkSession, a: argparse.Namespace) -> dict:

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 import urllib.parse
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from .. import config as C
 from ..shipping import ship
@@ -39,19 +38,17 @@ TRANSPORT_HEADERS = (
     "expires",
     "age",
 )
-# Fixed value: the order of ASCII signs in the default Unicode collation.
-_SIGNS = "_-,;:!?.'\"()[]{}@*/\\&#%`^+<=>|~$"
 PLACES = ("path", "header", "query", "cookie", "other")
 REF_DEPTH, SCHEMA_DEPTH = 20, 2
 
 
-def locale_key(text: str) -> tuple:
-    """Order of words as a reader expects it, like the UNICODE collation: signs, digits, letters by their
-    base letter; then accents; then lower case before upper."""
-    split = unicodedata.normalize("NFD", text)
-    base = [c for c in split if not unicodedata.combining(c)]
-    ranks = [(0, _SIGNS.find(c), c) if not c.isalnum() else (1 if c.isdigit() else 2, 0, c.lower()) for c in base]
-    return ranks, [c for c in split if unicodedata.combining(c)], [c.isupper() for c in base]
+Order = Callable[[str], object]  # the sort key of a name
+
+
+def ranked(names: list[str]) -> Order:
+    """The order of names that Spark has sorted; see `with_order`."""
+    rank = {n: i for i, n in enumerate(names)}
+    return lambda name: rank.get(name, len(rank))
 
 
 # --- reading ----------------------------------------------------------------
@@ -156,7 +153,7 @@ def _merged(schema: dict, required: list[str]) -> dict | None:
     return rest | {"properties": properties, "required": needed} if properties else None
 
 
-def properties_of(schema, required: list[str] | None = None, prefix: str = "", depth: int = 0) -> list[dict]:
+def properties_of(schema, required: list[str] | None = None, prefix: str = "", depth: int = 0, order: Order = str) -> list[dict]:
     """Flat property rows: dotted names, [] for items, two levels down, by name at each level."""
     if not isinstance(schema, dict) or depth > SCHEMA_DEPTH:
         return []
@@ -165,20 +162,20 @@ def properties_of(schema, required: list[str] | None = None, prefix: str = "", d
         schema = _merged(schema, required) or schema
     variants = schema.get("anyOf") or schema.get("oneOf")
     if variants:
-        return [row for v in variants for row in properties_of(v, required, prefix, depth)]
+        return [row for v in variants for row in properties_of(v, required, prefix, depth, order)]
     fields = schema.get("properties")
     if not isinstance(fields, dict):
         return []
     needed = set(schema["required"] if schema.get("required") is not None else required)
     rows: list[dict] = []
-    for name in sorted(fields, key=locale_key):
+    for name in sorted(fields, key=order):
         value = fields[name] if isinstance(fields[name], dict) else {}
         full = f"{prefix}.{name}" if prefix else name
         rows.append({"name": full, "type": type_label(value), "required": name in needed, "description": value.get("description") or ""})
         items = value.get("items") if value.get("type") == "array" else None
         inner, mark = (items, "[]") if isinstance(items, dict) else (value, "")
         if inner.get("type") == "object" and inner.get("properties") and depth < SCHEMA_DEPTH:
-            rows += properties_of(inner, inner.get("required") or [], full + mark, depth + 1)
+            rows += properties_of(inner, inner.get("required") or [], full + mark, depth + 1, order)
     return rows
 
 
@@ -211,13 +208,13 @@ def _parameter(p: dict) -> dict:
     return {"name": p.get("name") or "", "in": p.get("in") or "", "required": bool(p.get("required")), "type": kind, "description": p.get("description") or ""}
 
 
-def _body(raw: dict, schema, example) -> dict:
+def _body(raw: dict, schema, example, order: Order) -> dict:
     schema = schema or {}
-    rows = properties_of(schema, schema.get("required") or [])
+    rows = properties_of(schema, schema.get("required") or [], order=order)
     return {"description": raw.get("description") or "", "required": bool(raw.get("required")), "properties": rows, "example": example}
 
 
-def _response(code: str, raw: dict, form: str) -> dict:
+def _response(code: str, raw: dict, form: str, order: Order) -> dict:
     media = _json_media(raw.get("content")) if form == "openapi3" else raw
     schema = media.get("schema") or {}
     example = MISSING
@@ -228,29 +225,29 @@ def _response(code: str, raw: dict, form: str) -> dict:
         example = (raw.get("examples") or {}).get("application/json") or MISSING
     headers = [
         {"name": n, "description": h.get("description") or "", "type": (h.get("schema") or {}).get("type") or h.get("type") or "string"}
-        for n, h in sorted((raw.get("headers") or {}).items(), key=lambda x: locale_key(x[0]))
+        for n, h in sorted((raw.get("headers") or {}).items(), key=lambda x: order(x[0]))
         if n.lower() not in TRANSPORT_HEADERS
     ]
     return {
         "statusCode": code,
         "description": raw.get("description") or "",
-        "properties": properties_of(schema, schema.get("required") or []),
+        "properties": properties_of(schema, schema.get("required") or [], order=order),
         "example": example_of(schema) if example is MISSING else example,
         "headers": headers,
     }
 
 
-def _endpoint(path: str, method: str, op: dict, shared: list, form: str) -> dict:
+def _endpoint(path: str, method: str, op: dict, shared: list, form: str, order: Order = str) -> dict:
     by_key = {f"{p.get('name')}:{p.get('in')}": p for p in (*shared, *(op.get("parameters") or []))}  # first place, last value
     in_body = [p for p in by_key.values() if form == "swagger2" and p.get("in") == "body"]
     body = None
     if in_body:
-        body = _body(in_body[-1], in_body[-1].get("schema"), example_of(in_body[-1].get("schema")))
+        body = _body(in_body[-1], in_body[-1].get("schema"), example_of(in_body[-1].get("schema")), order)
     elif op.get("requestBody"):
         media = _json_media(op["requestBody"].get("content"))
         example = example_of(media.get("schema"))
-        body = _body(op["requestBody"], media.get("schema"), (media.get("example", example) if example is MISSING or not example else example))
-    responses = sorted((op.get("responses") or {}).items(), key=lambda x: locale_key(str(x[0])))
+        body = _body(op["requestBody"], media.get("schema"), (media.get("example", example) if example is MISSING or not example else example), order)
+    responses = sorted((op.get("responses") or {}).items(), key=lambda x: order(str(x[0])))
     return {
         "method": method.upper(),
         "path": path,
@@ -260,31 +257,31 @@ def _endpoint(path: str, method: str, op: dict, shared: list, form: str) -> dict
         "tags": sorted(op.get("tags") or []),
         "parameters": [_parameter(p) for p in by_key.values() if p not in in_body],
         "requestBody": body,
-        "responses": [_response(str(c), r or {}, form) for c, r in responses],
+        "responses": [_response(str(c), r or {}, form, order) for c, r in responses],
         "deprecated": bool(op.get("deprecated")),
     }
 
 
-def endpoints_of(resolved: dict, form: str) -> list[dict]:
+def endpoints_of(resolved: dict, form: str, order: Order = str) -> list[dict]:
     found = [
-        _endpoint(path, method, item[method], item.get("parameters") or [], form)
+        _endpoint(path, method, item[method], item.get("parameters") or [], form, order)
         for path, item in (resolved.get("paths") or {}).items()
         if isinstance(item, dict)
         for method in METHODS
         if item.get(method)
     ]
-    return sorted(found, key=lambda e: (locale_key(e["path"]), locale_key(e["method"])))
+    return sorted(found, key=lambda e: (order(e["path"]), e["method"]))
 
 
-def security_of(resolved: dict, form: str) -> list[dict]:
+def security_of(resolved: dict, form: str, order: Order = str) -> list[dict]:
     schemes = resolved.get("securityDefinitions") if form == "swagger2" else (resolved.get("components") or {}).get("securitySchemes")
     return [
         {"name": n, "type": s.get("type") or ""} | {k: s.get(k) for k in ("scheme", "in", "description")}
-        for n, s in sorted((schemes or {}).items(), key=lambda x: locale_key(x[0]))
+        for n, s in sorted((schemes or {}).items(), key=lambda x: order(x[0]))
     ]
 
 
-def parse_spec(raw: dict) -> dict:
+def parse_spec(raw: dict, order: Order = str) -> dict:
     form = spec_format(raw)
     spec = Resolver(raw).deep(raw)
     info = spec.get("info") or {}
@@ -299,8 +296,8 @@ def parse_spec(raw: dict) -> dict:
         "version": info.get("version") or "",
         "baseUrl": base,
         "format": form,
-        "endpoints": endpoints_of(spec, form),
-        "securitySchemes": security_of(spec, form),
+        "endpoints": endpoints_of(spec, form, order),
+        "securitySchemes": security_of(spec, form, order),
     }
 
 
@@ -378,14 +375,14 @@ def render_header(spec: dict) -> str:
     return "\n".join(line for p in paragraphs if p for line in (p, ""))
 
 
-def grouped_parameters(params: list[dict]) -> list[dict]:
+def grouped_parameters(params: list[dict], order: Order = str) -> list[dict]:
     """Parameters by place in the fixed order, then by name; other places are left out."""
     known = [p | {"in": p["in"] or "other"} for p in params]
-    return sorted((p for p in known if p["in"] in PLACES), key=lambda p: (PLACES.index(p["in"]), locale_key(p["name"])))
+    return sorted((p for p in known if p["in"] in PLACES), key=lambda p: (PLACES.index(p["in"]), order(p["name"])))
 
 
-def render_endpoint(e: dict) -> str:
-    rows = [_bullet(p["name"], [p["in"], p["type"], _need(p)], p["description"]) for p in grouped_parameters(e["parameters"])]
+def render_endpoint(e: dict, order: Order = str) -> str:
+    rows = [_bullet(p["name"], [p["in"], p["type"], _need(p)], p["description"]) for p in grouped_parameters(e["parameters"], order)]
     body = e["requestBody"]
     paragraphs = [
         f"## {e['method']} {e['path']}" + (" (DEPRECATED)" if e["deprecated"] else ""),
@@ -419,11 +416,11 @@ def endpoint_slug(e: dict) -> str:
     return f"{e['method'].lower()}-{path}"
 
 
-def output_files(spec: dict, category: str, product: str, count: Callable[[str], int] = regex_tokens, limit: int = C.SPEC_FILE_LIMIT) -> list[tuple[str, str, int]]:
+def output_files(spec: dict, category: str, product: str, count: Callable[[str], int] = regex_tokens, limit: int = C.SPEC_FILE_LIMIT, order: Order = str) -> list[tuple[str, str, int]]:
     """(path, Markdown, tokens): one file, or one an endpoint if that is above the limit."""
     head, foot = render_header(spec), render_footer(product, category, spec["format"])
     page = lambda parts: f"{head}\n" + "\n".join(parts) + f"\n{foot}"
-    bodies = [render_endpoint(e) for e in spec["endpoints"]]
+    bodies = [render_endpoint(e, order) for e in spec["endpoints"]]
     whole = page(bodies)
     if count(whole) <= limit:
         return [(f"{category}/{product}.md", whole, count(whole))]
@@ -442,13 +439,47 @@ ENDPOINT_SCHEMA = (
 )
 
 
+def _names_in(node, found: dict[str, None]) -> None:
+    if isinstance(node, dict):
+        for k, v in node.items():
+            found[str(k)] = None
+            if k == "name" and isinstance(v, str):
+                found[v] = None
+            _names_in(v, found)
+    elif isinstance(node, list):
+        for v in node:
+            _names_in(v, found)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def names_of(texts: pd.Series) -> pd.Series:
+    """The distinct object keys of each specification, and the values of `name`; none if it can't be read."""
+
+    def one(text: str | None) -> list[str]:
+        found = {"": None}
+        try:
+            _names_in(parse_lenient(text or ""), found)
+        except (ValueError, RecursionError):
+            return []
+        return list(found)
+
+    return texts.map(one)
+
+
+def with_order(specs: DataFrame) -> DataFrame:
+    """path, text and the names of each specification in the UNICODE collation: Spark sorts, in the row; Python only looks ranks up."""
+    names = F.array_sort(F.transform(names_of(F.col("text")), lambda n: F.collate(n, "UNICODE")))
+    return specs.select("path", "text", F.transform(names, lambda n: F.collate(n, "UTF8_BINARY")).alias("names"))
+
+
 def _files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows: list[tuple] = []
-        for path, text in zip(pdf.path, pdf.text):
+        for path, text, names in zip(pdf.path, pdf.text, pdf.names):
+            order = ranked(names)
             category, *rest = path.removesuffix(".json").split("/")
             try:
-                files = output_files(parse_spec(parse_lenient(text or "")), category, "/".join(rest) or category)
+                files = output_files(parse_spec(parse_lenient(text or ""), order), category, "/".join(rest) or category, order=order)
                 rows += [(path, *f, None) for f in files]
             except (ValueError, AttributeError, TypeError) as e:  # a broken file is reported, not fatal
                 rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:200]))
@@ -458,16 +489,16 @@ def _files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def spec_files(specs: DataFrame) -> DataFrame:
     """Markdown files of specs (path, text); a specification that cannot be read gives one row with error."""
     ship(specs.sparkSession)
-    return specs.select("path", "text").mapInPandas(_files, FILE_SCHEMA)
+    return with_order(specs).mapInPandas(_files, FILE_SCHEMA)
 
 
 def _endpoints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in re.split(r", (?=[a-z_]+ )", ENDPOINT_SCHEMA)]
     for pdf in batches:
         rows = []
-        for path, text in zip(pdf.path, pdf.text):
+        for path, text, in_order in zip(pdf.path, pdf.text, pdf.names):
             try:
-                found = parse_spec(parse_lenient(text or ""))["endpoints"]
+                found = parse_spec(parse_lenient(text or ""), ranked(in_order))["endpoints"]
             except (ValueError, AttributeError, TypeError):
                 continue
             for i, e in enumerate(found):
@@ -481,4 +512,4 @@ def _endpoints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def endpoint_table(specs: DataFrame) -> DataFrame:
     """One row an endpoint of specs (path, text)."""
     ship(specs.sparkSession)
-    return specs.select("path", "text").mapInPandas(_endpoints, ENDPOINT_SCHEMA)
+    return with_order(specs).mapInPandas(_endpoints, ENDPOINT_SCHEMA)

@@ -21,7 +21,7 @@ from ..operators import apispec, incremental, ranking, sections, sync, validate
 from ..operators.chunking import chunk_documents, chunk_pages
 from ..scratch import shared_root
 from ..shipping import spread
-from ..sources import files, sinks, stores
+from ..sources import files, paged, sinks, stores
 from ..streaming import incremental as streams
 from . import pipeline
 from .catalogue import _FORCED, _LABEL, CHUNKS_SQL, TOKENS_SQL, chunks, long, previous, query, table, with_cte
@@ -170,6 +170,60 @@ def content_store(spark, sf_dir):
     return store.contents().select("content_hash", (T.content_hash(F.col("content")) == F.col("content_hash")).alias("intact"))
 
 
+def _objects(spark, sf_dir) -> DataFrame:
+    facts = F.create_map(F.lit("lang"), F.col("lang"))
+    return wide(spark, sf_dir).select(F.sha2("text", 256).alias("key"), F.col("text").alias("content"), facts.alias("facts"), "lang", "source")
+
+
+@query(
+    """SELECT DISTINCT sha256(text) AS key, CAST(strlen(text) AS BIGINT) AS size, substr(sha256(text), 1, 1) < '8' AS low,
+    sha256(text) IN (SELECT sha256(text) FROM documents WHERE lang = 'fr') AS probed FROM documents"""
+)
+def paged_listing(spark, sf_dir):
+    """Texts put into a paged store by two runs that overlap: listed page by page, narrowed by a pushed prefix, and probed."""
+    rows, path = _objects(spark, sf_dir), place(spark, "paged")
+    paged.put(rows.where("lang <> 'es'"), path)
+    paged.put(rows, path)
+    every = paged.listing(spark, path)
+    low = paged.listing(spark, path, prefixes="0,1,2,3,4,5,6,7").select("key", F.lit(True).alias("low"))
+    probed = paged.existing(rows.where("lang = 'fr'"), path, "key").select("key", F.lit(True).alias("probed"))
+    out = every.join(low, "key", "left").join(probed, "key", "left")
+    return out.select("key", "size", *(F.coalesce(c, F.lit(False)).alias(c) for c in ("low", "probed")))
+
+
+@query("SELECT 'after a failed write' AS phase, CAST(0 AS BIGINT) AS objects UNION ALL SELECT 'after a whole one', count(DISTINCT sha256(text)) FROM documents")
+def paged_writes(spark, sf_dir):
+    """A write with a task that fails leaves nothing; the next stores every text once."""
+    rows, path = _objects(spark, sf_dir), place(spark, "paged")
+    paged.register(spark)
+    last = rows.agg(F.max("key")).first()[0]
+    broken = rows.withColumn("content", F.when(F.col("key") == last, F.raise_error(F.lit("lost"))).otherwise(F.col("content")))
+    counts = []
+    try:
+        broken.select("key", "content", "facts").write.format("paged_store").option("path", path).mode("append").save()
+    except Exception:  # what the query is about
+        counts.append(("after a failed write", paged.listing(spark, path).count()))
+    paged.put(rows, path)
+    counts.append(("after a whole one", paged.listing(spark, path).count()))
+    return spark.createDataFrame(counts, "phase string, objects long")
+
+
+@query(
+    """SELECT CAST(vec_id AS VARCHAR) AS id, CAST(CASE WHEN vec_id % 100 = 7 THEN 4 ELSE 0 END AS INTEGER) AS version FROM embeddings WHERE vec_id % 50 <> 3"""
+)
+def bucketed_store(spark, sf_dir):
+    """Four upserts of one row in a hundred and a delete, over a first write of all rows: buckets merge on read and are rewritten alone."""
+    store = stores.ParquetVectorStore(spark, place(spark, "buckets"), buckets=16, most_changes=2)
+    i = F.col("vec_id")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", i.cast("string").alias("id"), "embedding")
+    at = lambda df, n: df.select("id", "embedding", F.create_map(F.lit("version"), F.lit(str(n))).alias("metadata"))
+    store.upsert(at(rows, 0))
+    for n in range(1, 5):
+        store.upsert(at(rows.where(i % 100 == 7), n))
+    store.delete(rows.where(i % 50 == 3))
+    return store.vectors(spark).select("id", F.col("metadata")["version"].cast("int").alias("version"))
+
+
 def _refuse(key: str, text: str, facts: dict) -> None:
     if "/src5/" in facts["doc-path"]:
         raise OSError("refused")

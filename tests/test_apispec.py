@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import json
+import random
+import unicodedata
+
 import pytest
+from pyspark.sql import functions as F
 
 from docpipe.operators import apispec as A
 from docpipe.plans import fixtures
@@ -89,3 +94,31 @@ def test_whole_specs():
 def test_broken_files_are_reported(spark):
     got = {r.path: r.error for r in A.spec_files(fixtures.specs(spark)).select("path", "error").distinct().collect()}
     assert got["data/broken.json"] and not got["data/old.json"]
+
+
+def test_names_are_in_the_order_of_the_collation(spark):
+    """5,000 random names beyond ASCII come out as Spark's UNICODE collation has them; no other order is in use."""
+    rng = random.Random(5)
+    signs = "aAbBzZ09_-.äÄéßøñçœı–—“”’½ªΑωЖж字あ한́"
+    names = sorted({"".join(rng.choice(signs) for _ in range(rng.randint(1, 6))) for _ in range(8000)})[:5000]
+    rng.shuffle(names)
+    spec = {
+        "openapi": "3.0.0", "info": {"title": "T", "version": "1"},
+        "paths": {
+            "/p": {"post": {
+                "parameters": [{"name": n, "in": "query"} for n in names[:500]],
+                "requestBody": {"content": {"application/json": {"schema": {"type": "object", "properties": {n: {"type": "string"} for n in names}}}}},
+                "responses": {"200": {"description": "ok"}},
+            }},
+            "/é": {"get": {"responses": {}}}, "/f": {"get": {"responses": {}}}, "/E": {"get": {"responses": {}}}, "/d": {"get": {"responses": {}}},
+        },
+    }
+    df = spark.createDataFrame([("a/b.json", json.dumps(spec)), ("a/c.json", json.dumps(spec, ensure_ascii=False)), ("a/bad.json", "{")], "path string, text string")
+    rows = {(r.path, r.route): r for r in A.endpoint_table(df).collect()}
+    assert [r.route for r in sorted(rows.values(), key=lambda r: r.seq) if r.path == "a/b.json"] == ["/d", "/E", "/é", "/f", "/p"]
+    key = lambda x: unicodedata.normalize("NFC", x)  # noqa: E731  (spellings that are canonically equal tie)
+    want = [key(r.n) for r in spark.createDataFrame([(n,) for n in names], "n string").orderBy(F.collate("n", "UNICODE")).collect()]
+    for path in ("a/b.json", "a/c.json"):
+        got = [key(p.name) for p in rows[path, "/p"].body_properties]
+        assert got == want
+    assert A.spec_files(df).where("error is not null").count() == 1

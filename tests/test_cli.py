@@ -27,7 +27,15 @@ def test_whole_run(spark, tmp_path, capsys):
     assert len(json.loads((tmp_path / "all.json").read_text())["chunks"]) == stats["chunks"]
     assert run("normalize-pages", "--pages", str(pages))[1] == {"pages": 1, "passed": True, "errors": []}
     assert (tmp_path / "out/normalized/payments/a.md").exists()
+    (specs / "payments/gone.json").write_text(json.dumps(fixtures.openapi(1, 5)))
+    (specs / "payments/bad.json").write_text("{")
+    done = run("normalize-specs", "--specs", str(specs))[1]
+    assert done["files"] == 2 and [e["path"] for e in done["errors"]] == ["payments/bad.json"]
+    (specs / "payments/gone.json").unlink()
+    (specs / "payments/bad.json").unlink()
     assert run("normalize-specs", "--specs", str(specs))[1] == {"files": 1, "errors": []}
+    files = [p for p in (tmp_path / "out/specifications").rglob("*.md")]
+    assert [p.name for p in files] == ["small.md"] and files[0].read_text().startswith("# ")
     assert run("check-token-limits")[0] == 0
     assert run("smoke-test", "--least", "2")[0] == 0
     assert run("smoke-test")[0] == 1
