@@ -23,6 +23,7 @@ from ..scratch import shared_root
 from ..shipping import spread
 from ..sources import files, paged, sinks, stores
 from ..streaming import incremental as streams
+from ..streaming import vectors as vector_streams
 from . import pipeline
 from .catalogue import _FORCED, _LABEL, CHUNKS_SQL, TOKENS_SQL, chunks, long, previous, query, table, with_cte
 
@@ -649,3 +650,15 @@ def stream_chunks(spark, sf_dir):
         pages = wide(spark, sf_dir).where(F.col("lang") != missing).select(path.alias("doc_path"), text.alias("text"))
         streams.ingest_changes(spark, pages, work).awaitTermination()
     return streams.latest_chunks(spark, work).select("doc_path", "chunk_seq", "content_hash", "token_count")
+
+
+@query(with_cte(f"SELECT DISTINCT h AS content_hash, 8 AS size FROM ({_EMBEDDABLE}) WHERE section <> 'fr'"))
+def stream_sync(spark, sf_dir):
+    """Chunks as files, put into a store batch by batch in two runs of the stream; what the second table lacks is pruned."""
+    rows, work = _sync_rows(spark, sf_dir), place(spark, "stream-sync")
+    store = stores.ParquetVectorStore(spark, f"{work}/vectors")
+    for n, wanted in enumerate(("section <> 'es'", "section <> 'fr'")):
+        rows.where(wanted).repartition(4).write.parquet(f"{work}/chunks/batch={n}")
+        vector_streams.sync_stream(spark, f"{work}/chunks", store, stores.HashEmbedder(8), f"{work}/checkpoint").awaitTermination()
+    vector_streams.prune(spark, store, rows.where("section <> 'fr'"))
+    return store.vectors(spark).select(F.col("id").alias("content_hash"), F.size("embedding").alias("size"))

@@ -13,6 +13,7 @@ from docpipe.operators import incremental, sync
 from docpipe.plans import fixtures, pipeline
 from docpipe.sources import files, state, stores
 from docpipe.streaming.incremental import changes, ingest_folder, latest_chunks, take_listing
+from docpipe.streaming.vectors import prune, sync_stream
 
 
 def test_scan(spark, tmp_path):
@@ -429,6 +430,46 @@ def test_stream(spark, tmp_path):
     assert go()[1] == 0
 
 
+class Lost(stores.ParquetVectorStore):
+    """Its n-th upsert is lost."""
+
+    at, n = 1, 0
+
+    def upsert(self, rows):
+        self.n += 1
+        if self.n == self.at:
+            raise OSError("lost between embed and save")
+        super().upsert(rows)
+
+
+def test_sync_as_a_stream(spark, tmp_path):
+    chunks, root = str(tmp_path / "chunks"), str(tmp_path / "v")
+    rows = spark.createDataFrame([(f"h{i:03}", f"t{i}", 100, "a", {"k": "v"}, 0, i) for i in range(40)], CHUNK)
+    rows.repartition(4).write.parquet(f"{chunks}/batch=0")
+    go = lambda store: sync_stream(spark, chunks, store, Counted(str(tmp_path)), str(tmp_path / "ck"), files=1).awaitTermination()
+    lost = Lost(spark, root, buckets=4)
+    lost.at = 2
+    with pytest.raises(Exception, match="lost"):
+        go(lost)
+    assert 0 < lost.count() < 40 and len(list((tmp_path / "v").glob("staged-batch-*"))) == 1
+    store = stores.ParquetVectorStore(spark, root, buckets=4)
+    go(store)
+    calls = lambda: (tmp_path / "calls").read_text().split()
+    assert store.count() == 40 and len(calls()) == 40 == len(set(calls()))
+    assert not list((tmp_path / "v").glob("staged-*"))
+    more = spark.createDataFrame([("h001", "t1", 100, "b", {}, 0, 0), ("new", "n", 100, "b", {}, 0, 1), ("small", "s", 3, "b", {}, 0, 2)], CHUNK)
+    more.write.parquet(f"{chunks}/batch=1")
+    go(store)
+    go(store)
+    assert store.count() == 41 and calls().count("n") == 1 and len(calls()) == 41
+    assert prune(spark, store, more) == 39 and {r.id for r in store.vectors(spark).collect()} == {"h001", "new"}
+    spark.createDataFrame([("x", "bad", 100, "a", {}, 0, 0)], CHUNK).write.parquet(f"{chunks}/batch=2")
+    with pytest.raises(Exception, match="embeddings failed"):
+        sync_stream(spark, chunks, store, Failing(8), str(tmp_path / "ck")).awaitTermination()
+    go(store)
+    assert store.count() == 3
+
+
 def test_specifications_stay_when_none_are_given(spark, tmp_path):
     pages = spark.createDataFrame([("a.md", "# A\n" + "word " * 90)], "doc_path string, text string")
     specs = fixtures_specs(spark)
