@@ -440,6 +440,13 @@ def test_no_hopeful_pair_is_passed_over(seed):
     cat = lambda side: (np.concatenate([p[side] for p in pairs]), np.cumsum([0] + [len(p[side]) for p in pairs]))
     may = dict(substrings.segments_of_pairs(*cat(0), *cat(1), 46))
     found = [substrings.near_spans(a, b, 46) for a, b in pairs]
+    for (a, b), want in zip(pairs, found):  # the other ways to the same ranges
+        if len(set(a.tolist())) == len(a) and len(set(b.tolist())) == len(b):
+            shared = np.flatnonzero(np.isin(b, a)).tolist()
+            assert substrings.spans_by_place({v: i for i, v in enumerate(a.tolist())}, b.tolist(), shared, 46) == want
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(substrings, "FEW_RUNS", -1)
+                assert substrings.near_spans(a, b, 46) == want
     assert any(found) and len(may) < 60 and all(k in may for k, f in enumerate(found) if f)
     for k, segments in may.items():
         if segments is not None:
