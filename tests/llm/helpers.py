@@ -42,5 +42,5 @@ def with_clashes(df):
     """Extra columns whose names the operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ("rep", "token", "cluster", "kept", "score", "y", "hash", "windows", "row", "rank", "piece", "count", "label", "key", "whole", "stats")
+    names = ("rep", "token", "cluster", "kept", "score", "y", "hash", "windows", "row", "rank", "piece", "count", "label", "key", "whole", "stats", "tag", "v", "root", "spotted", "bits", "live", "origin", "slot", "base", "x", "found", "w", "group", "low", "n", "s", "dim")
     return df.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
