@@ -1,17 +1,20 @@
 """File sinks for results that other tools read one file at a time.
 
 Tables go to Parquet through Spark's own writers. Many small files are written
-by the executors; one large document by the driver, row by row.
+by the executors; one large document too, as parts that are joined byte by byte.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..scratch import settled
 
@@ -88,21 +91,56 @@ def write_pages(pages: DataFrame, root: str) -> DataFrame:
 
 
 def write_json_export(chunks: DataFrame, path: str, head: dict) -> None:
-    """One JSON document {..., "chunks": [...]}, chunks in file and chunk order."""
+    """One JSON document {..., "chunks": [...]}, chunks in file and chunk order, a chunk a line.
+
+    The executors write the lines as sorted parts; the driver's JVM only copies the
+    parts' bytes one after another, through a small buffer.
+    """
     from pyspark.sql import functions as F
 
-    rows = chunks.orderBy("doc_path", "chunk_seq").select(F.to_json(F.struct(*chunks.columns)).alias("j")).toLocalIterator()
+    spark = chunks.sparkSession
+    parts = f"{path}.{uuid.uuid4().hex}"
+    line = F.concat(F.to_json(F.struct(*chunks.columns)), F.lit(","))
+    chunks.orderBy("doc_path", "chunk_seq").select(line.alias("value")).write.option("lineSep", "\n").option("compression", "none").text(parts)
+    start = json.dumps(head, ensure_ascii=False, default=str)
+    start = start[:-1] + (", " if head else "") + '"chunks": ['
+    jvm, folder = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(parts)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s for s in store.listStatus(folder) if s.getPath().getName().startswith("part-") and s.getLen()]
+    found.sort(key=lambda s: int(s.getPath().getName().split("-")[1]))
+    out = _open(spark, path)
+    try:
+        out.write(bytearray((start + "\n").encode()))
+        for i, status in enumerate(found):
+            size = status.getLen() - 2 * (i == len(found) - 1)  # the last line has no comma, nor a line end of its own
+            part = store.open(status.getPath())
+            try:
+                jvm.org.apache.commons.io.IOUtils.copyLarge(part, out, 0, size)
+            finally:
+                part.close()
+        out.write(bytearray(b"\n]}" if found else b"]}"))
+    finally:
+        out.close()
+        wipe(spark, parts)
 
-    def parts():
-        start = json.dumps(head, ensure_ascii=False, default=str)
-        yield start[:-1] + (", " if head else "") + '"chunks": ['
-        for i, row in enumerate(rows):
-            yield ("," if i else "") + "\n" + row.j
-        yield "\n]}"
 
-    write_text(chunks.sparkSession, path, parts())
+def read_json_export(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of such a document (or of any with a `chunks` array).
 
+    A document as write_json_export writes it has a chunk a line, so its lines are
+    read in splits by all executors. Any other layout is one value, read by one task.
+    """
+    from pyspark.sql import functions as F
 
-def read_json_export(spark: SparkSession, path: str) -> DataFrame:
-    """The chunks of such a document (or of any with a `chunks` array)."""
+    lines = spark.read.text(path, lineSep="\n").where("trim(value) <> ''")
+    bad = "__not_a_row"
+    schema = spark.read.json(path, lineSep="\n", columnNameOfCorruptRecord=bad).schema
+    names = [n for n in schema.names if n != bad]
+    kind = StructType([f for f in schema.fields if f.name != bad] + [StructField(bad, StringType())])
+    row = F.from_json(F.regexp_replace("value", r",\s*$", ""), kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    rows = lines.select("value", F.inline(F.array(row)))  # a generator: read once a line, whatever is asked of it
+    frame = [r.value for r in rows.where(F.col(bad).isNotNull()).select("value").limit(3).collect()]
+    frame.sort(key=lambda v: v.strip() == "]}")
+    if names and len(frame) == 2 and frame[1].strip() == "]}" and re.search(r'"chunks"\s*:\s*\[\s*$', frame[0]):
+        return rows.where(F.col(bad).isNull()).select(*(f"`{n}`" for n in names))
     return spark.read.json(path, multiLine=True).selectExpr("inline(chunks)")

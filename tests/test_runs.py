@@ -508,6 +508,30 @@ def test_sinks(spark, tmp_path):
     assert [r.doc_path for r in sinks.read_json_export(spark, str(tmp_path / "o.json")).collect()] == ["a", "b"]
 
 
+def test_json_export_is_one_document_of_lines(spark, tmp_path):
+    """Read in splits, by its lines; other layouts as one value; no part is left beside the file."""
+    from docpipe.sources import sinks
+
+    path = tmp_path / "o.json"
+    rows = spark.range(2000).selectExpr("concat('f', id % 7) AS doc_path", "id AS chunk_seq", "concat('{\n\"', id, '\"},\u2028]') AS content").repartition(9)
+    sinks.write_json_export(rows, str(path), {"stats": {"n": 1}})
+    want = sorted(map(tuple, rows.collect()))
+    assert [tuple(r.values()) for r in json.loads(path.read_text())["chunks"]] == want
+    assert len(path.read_text().splitlines()) >= 2002 and [p.name for p in tmp_path.iterdir() if "crc" not in p.name] == ["o.json"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = sinks.read_json_export(spark, str(path))
+        assert back.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, back.select("doc_path", "chunk_seq", "content").collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for name, text in {"a": '{"chunks": [\n{"x": [{"y": 1},\n{"y": 2}]},\n{"x": []}\n]}', "b": '{\n"chunks": [{"x": [{"y": 1}]},\n{"x": null}]\n}'}.items():
+        (tmp_path / name).write_text(text)
+        assert sinks.read_json_export(spark, str(tmp_path / name)).count() == 2
+    sinks.write_json_export(rows.limit(0), str(path), {})
+    assert json.loads(path.read_text()) == {"chunks": []}
+
+
 def test_counters(spark):
     from docpipe.functions import tokens
     from docpipe.operators.chunking import chunk_documents
