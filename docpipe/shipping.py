@@ -33,12 +33,18 @@ def ship(spark: SparkSession) -> None:
     context._docpipe_shipped = True
 
 
+ROWS = 20_000  # of a partition, at most, where rows cost much more CPU than their bytes in the file
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A file scan over all cores, for steps that cost much CPU a row.
 
-    A scan with fewer partitions than the cluster has cores is small (a core
-    gets one split at most), so dealing it out moves little; any other scan is
-    left as it is. Only for plain scans: the partitions are counted by planning.
+    Splits are cut by bytes of the file, so packed or dictionary-coded rows come in
+    millions to a task, and a file of one row group leaves all but one split empty.
+    A scan with fewer partitions than the cluster has cores, or than its rows need
+    at ROWS a partition, is dealt out; any other scan is left as it is. Only for
+    plain scans: partitions and rows are counted by planning and from file footers.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = max(cores, -(-scan.count() // ROWS))
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan

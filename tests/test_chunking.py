@@ -107,3 +107,26 @@ def test_tables(spark):
     rows = S.sections_tree(df).withColumn("section", S.flat_path(F.col("section_path")))
     got = K.chunk_documents(rows).collect()
     assert [(r.doc_path, r.section, r.token_count) for r in got] == [("p", "A", 100)]
+
+
+def test_regex_tokens_counts_as_the_pattern_does():
+    import random
+
+    from docpipe.operators.chunking import _TOKEN, regex_tokens
+
+    signs = [chr(c) for c in range(128)] + list("aab1234 .\n") * 10 + list("é—ß٣٤५六\u2003\u0085ʰ") * 3
+    draw = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(draw.choices(signs, k=draw.randint(0, 25)))
+        assert regex_tokens(text) == len(_TOKEN.findall(text)), text
+    assert regex_tokens("") == 0
+
+
+def test_spread_deals_rows_out_by_number(spark, tmp_path):
+    """A small file of many rows is cut by bytes into few splits; rows decide."""
+    from docpipe.shipping import ROWS, spread
+
+    spark.range(6 * ROWS).selectExpr("id % 3 AS x").coalesce(1).write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    assert scan.rdd.getNumPartitions() < 6 <= spread(scan).rdd.getNumPartitions()
+    assert spread(scan.limit(10)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
