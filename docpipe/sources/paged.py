@@ -20,12 +20,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack
 from dataclasses import dataclass
+from heapq import merge
 from importlib import import_module
-from itertools import count, tee
+from itertools import chain, groupby, islice
+from operator import itemgetter
 from typing import Protocol
 
 import pyarrow as pa
@@ -37,6 +38,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from ..shipping import ship
 
 PAGE = 1000  # keys of one listing or probe
+SHARD = 2  # first signs of a key that name the part of the index a probe looks into
+SPAN = 4096  # bytes of an index file read at a time while a key is looked for
+CLOSED = (None, None, iter(()))
 HEX = "0123456789abcdef"  # keys are content hashes: their first digits
 SCHEMA = "key string, size long"
 WRITE_SCHEMA = "key string, content string, facts map<string,string>"
@@ -55,10 +59,11 @@ class Store(Protocol):
 
 
 class FolderStore:
-    """Objects as one file for each staged token, and the published tokens of each job in a file; any path that pyarrow opens."""
+    """Objects as one file for each staged token, its keys in order in another, and the published tokens of each job in a file; any path that pyarrow opens."""
 
     def __init__(self, path: str):
         self.fs, self.root = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+        self.open, self.shard = CLOSED, (None, {})
 
     def _names(self, folder: str) -> list[str]:
         found = self.fs.get_file_info(pafs.FileSelector(f"{self.root}/{folder}", allow_not_found=True))
@@ -81,34 +86,82 @@ class FolderStore:
         with self.fs.open_input_stream(f"{self.root}/{name}") as f:
             return [json.loads(x) for x in f.read().decode().split("\n") if x]
 
-    def _sizes(self, prefix: str) -> dict[str, int]:
-        """Published keys with a prefix; an index file of each token names its keys. Of equal keys the first published holds."""
-        found: dict[str, int] = {}
-        for job in self._names("published"):
-            for token in self._lines(f"published/{job}"):
-                for key, size in self._lines(f"index/{token}"):
-                    if key.startswith(prefix):
-                        found.setdefault(key, size)
-        return found
+    def _index(self, token: str, prefix: str, after: str | None) -> Iterator[tuple[str, int]]:
+        """(key, size) of a token with a prefix and behind a key; index files are in key order, so only that part is read."""
+        low = max(prefix, after or "")
+        with self.fs.open_input_file(f"{self.root}/index/{token}") as f:
+
+            def line(at: int) -> tuple[int, str | None]:
+                """Where the line behind a place ends, and its key."""
+                raw, end = b"", f.size()
+                while raw.count(b"\n") < 2 and at + len(raw) < end:
+                    raw += f.read_at(min(SPAN, end - at - len(raw)), at + len(raw))
+                whole = raw.split(b"\n", 2)
+                return (at + len(whole[0]) + len(whole[1]) + 2, json.loads(whole[1])[0]) if len(whole) > 2 else (end, None)
+
+            begin, end = 0, f.size()  # the line at begin starts there, and no line behind end is the first wanted
+            while end - begin > 16 * SPAN:
+                middle = (begin + end) // 2
+                to, key = line(middle)
+                if key is None or key >= low or to >= end:
+                    end = middle
+                else:
+                    begin = to
+            f.seek(begin)
+            rest, found = b"", []
+            while data := f.read(16 * SPAN):
+                *lines, rest = (rest + data).split(b"\n")
+                found += lines
+                if lines and not (key := json.loads(lines[-1])[0]).startswith(prefix) and key > low:
+                    break
+        for raw in found:
+            key, size = json.loads(raw)
+            if key.startswith(prefix) and (after is None or key > after):
+                yield key, size
+            elif key > low:
+                return
+
+    def _listed(self, prefix: str, after: str | None) -> Iterator[tuple[str, int]]:
+        """Published (key, size) with a prefix, behind a key, in key order. Of equal keys the first published holds."""
+        tokens = [t for job in self._names("published") for t in self._lines(f"published/{job}")]
+        last = None
+        for key, size in merge(*(self._index(t, prefix, after) for t in tokens), key=itemgetter(0)):  # stable: in order of tokens
+            if key != last:
+                yield key, size
+            last = key
 
     def page(self, prefix: str, after: str | None, most: int) -> tuple[list[tuple[str, int]], str | None]:
-        sizes = self._sizes(prefix)
-        keys = sorted(sizes)
-        at = bisect_right(keys, after) if after is not None else 0
-        some = keys[at : at + most]
-        return [(k, sizes[k]) for k in some], some[-1] if at + most < len(keys) else None
+        if after is None or self.open[:2] != (prefix, after):
+            self.open = (prefix, after, self._listed(prefix, after))
+        rows = self.open[2]
+        some = list(islice(rows, most))
+        more = list(islice(rows, 1))
+        if not more:
+            self.open = CLOSED
+            return some, None
+        self.open = (prefix, some[-1][0], chain(more, rows))  # the next page goes on here
+        return some, some[-1][0]
 
     def probe(self, keys: list[str]) -> list[tuple[str, int]]:
-        sizes = self._sizes("")
-        return [(k, sizes[k]) for k in keys if k in sizes]
+        """Keys are looked up by their first SHARD signs; the last such part is kept, so keys in order read each part once."""
+        found = {}
+        for shard, some in groupby(sorted(set(keys)), lambda k: k[:SHARD]):
+            if self.shard[0] != shard:
+                self.shard = (shard, dict(self._listed(shard, None)))
+            found |= {k: self.shard[1][k] for k in some if k in self.shard[1]}
+        return [(k, found[k]) for k in keys if k in found]
 
     def stage(self, token: str, objects: Iterable[tuple[str, str, dict]]) -> int:
-        rows, again = tee(objects)
-        stored = count()
-        index = (json.dumps([key, len((content or "").encode())]) for key, content, _ in rows)
-        whole = (json.dumps([*row, next(stored)]) for row in again)
-        self._put({f"index/{token}": index, f"objects/{token}": whole})
-        return next(stored)
+        index: list[tuple[str, int]] = []
+
+        def whole() -> Iterator[str]:
+            for n, (key, content, facts) in enumerate(objects):
+                index.append((key, len((content or "").encode())))
+                yield json.dumps([key, content, facts, n])
+
+        self._put({f"objects/{token}": whole()})
+        self._put({f"index/{token}": map(json.dumps, sorted(index))})
+        return len(index)
 
     def publish(self, job: str, tokens: list[str]) -> None:
         number = len(self._names("published"))
@@ -256,7 +309,10 @@ def existing(ids: DataFrame, path: str, key: str = "content_hash", **options: st
             for a in range(0, len(keys), size):
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in store.probe(keys[a : a + size])], pa.string())], names=[key])
 
-    return ids.select(F.col(key).cast("string").alias(key)).distinct().mapInArrow(run, f"{key} string")
+    # Keys in order and those of a part of the index together, so that a task reads its parts only, each once.
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = ids.select(F.col(key).cast("string").alias(key)).distinct().repartition(parts, F.substring(key, 1, SHARD)).sortWithinPartitions(key)
+    return wanted.mapInArrow(run, f"{key} string")
 
 
 def put(rows: DataFrame, path: str, **options: str) -> None:
@@ -264,7 +320,7 @@ def put(rows: DataFrame, path: str, **options: str) -> None:
     from ..operators.ranking import keep_first
 
     register(rows.sparkSession)
-    new = keep_first(rows.select("key", "content", "facts"), "key", "content")
-    have = existing(new, path, "key", **options)
-    new = new.join(have, "key", "left_anti")
+    have = existing(rows.select("key"), path, "key", **options)
+    new = rows.select("key", "content", "facts").join(have, "key", "left_anti")  # first, so that texts are moved once
+    new = keep_first(new, "key", "content")
     new.write.format("paged_store").options(path=path, **options).mode("append").save()

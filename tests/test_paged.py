@@ -130,3 +130,29 @@ def test_put_stores_what_is_new(spark, rows, tmp_path):
     store = paged.FolderStore(str(tmp_path))
     stored = [k for t in store._names("index") for k, _ in store._lines(f"index/{t}")]
     assert len(stored) == N == len(set(stored))
+
+
+def test_a_listing_reads_each_index_once(tmp_path, monkeypatch):
+    """Pages go on where the last one ended, and probes in key order read each part of an index once."""
+    store = paged.FolderStore(str(tmp_path))
+    for n in range(3):
+        store.stage(f"t{n}", ((key(i), "x" * (i + n), {}) for i in range(n, 6000, 2)))
+        store.publish(f"j{n}", [f"t{n}"])
+    want = sorted((key(i), i + i % 2) for i in range(6000))
+    opened = []
+    read = paged.FolderStore._index
+    monkeypatch.setattr(paged.FolderStore, "_index", lambda self, *a: opened.append(a) or read(self, *a))
+    store, found, after = paged.FolderStore(str(tmp_path)), [], None
+    while True:
+        some, after = store.page("", after, 100)
+        found += some
+        if after is None:
+            break
+    assert found == want and len(opened) == 3
+    opened.clear()
+    keys = [k for k, _ in want] + ["none"]
+    assert [x for a in range(0, len(keys), 100) for x in store.probe(keys[a : a + 100])] == want and len(opened) == 3 * 257
+    for at in (0, 1, 2999, 5998, 5999):  # another instance takes up a listing
+        assert paged.FolderStore(str(tmp_path)).page("", want[at][0], 10)[0] == want[at + 1 : at + 11]
+    for prefix in ("00", "7", "abc", "ff"):
+        assert paged.FolderStore(str(tmp_path)).page(prefix, None, 9000) == ([x for x in want if x[0].startswith(prefix)], None)
