@@ -130,3 +130,15 @@ def test_spread_deals_rows_out_by_number(spark, tmp_path):
     scan = spark.read.parquet(str(tmp_path / "t"))
     assert scan.rdd.getNumPartitions() < 6 <= spread(scan).rdd.getNumPartitions()
     assert spread(scan.limit(10)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_documents_go_to_python_in_batches(spark):
+    """No call of Python for each document; sections come in order of seq, those without content go."""
+    rows = spark.createDataFrame(
+        [(str(d), s, f"h{s}", ["h"], None if s == 1 else f"w{s} " * 100) for d in range(3) for s in (2, 0, 1)],
+        "doc_path string, seq int, section string, section_path array<string>, content string",
+    )
+    found = K.chunk_documents(rows)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().toString()
+    got = {(r.doc_path, r.chunk_seq, r.section, tuple(r.section_path), r.content[:2], r.token_count) for r in found.collect()}
+    assert got == {(str(d), i, f"h{s}", ("h",), f"w{s}", 200) for d in range(3) for i, s in enumerate((0, 2))}
