@@ -32,6 +32,7 @@ from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 from ..functions import text as T
 from ..functions.mdblocks import blocks
 from ..functions.mdinline import Span, inlines
+from ..scratch import settled
 from ..shipping import ship
 from .sections import front_text, heading_paths, split_front_matter, targets_of
 
@@ -153,9 +154,11 @@ def block_texts(tree: DataFrame, key: str) -> DataFrame:
 
 def block_paths(tree: DataFrame, key: str) -> DataFrame:
     """(key, seq, path, level, info, words) of every block in order: the kinds from the root down to it, and the words of a leaf."""
-    block = tree.where("node = leaf").select(key, "node", "kind", "level", "info", F.when(~F.col("kind").isin("list", "definition"), F.col("value")).alias("value"))
+    tree = settled(tree.where("node = leaf or value is not null").repartition(F.col(key)))  # read once, and one shuffle serves all that follows
+    blocks = tree.where("node = leaf")  # nothing but blocks lies above a block
+    block = blocks.select(key, "node", "kind", "level", "info", F.when(~F.col("kind").isin("list", "definition"), F.col("value")).alias("value"))
     kinds = F.array_sort(F.collect_list(F.struct("above", "above_kind")))
-    above = ancestors(tree, key).join(block.select(key, "node"), [key, "node"], "left_semi").groupBy(key, "node").agg(F.transform(kinds, lambda k: k["above_kind"]).alias("above"))
+    above = ancestors(blocks, key).groupBy(key, "node").agg(F.transform(kinds, lambda k: k["above_kind"]).alias("above"))
     words = _joined(tree.where("node <> leaf and value is not null").select(key, F.col("leaf").alias("at"), "node", F.col("value").alias("text")), [key, "at"], "node", "")
     rows = block.join(above, [key, "node"], "left").join(words.withColumnRenamed("at", "node"), [key, "node"], "left")
     path = F.array_join(F.array_append(F.coalesce("above", F.array().cast("array<string>")), F.col("kind")), " > ")

@@ -193,3 +193,14 @@ def test_words_of_blocks(spark):
     rows = mdtree.block_texts(mdtree.syntax_tree(df), "id").orderBy("top").select("kind", "text").collect()
     assert [tuple(r) for r in rows] == [("list", "a\nb"), ("quote", "c\nd"), ("table", "x y\n1 ")]
     assert mdtree.block_texts(mdtree.syntax_tree(df.withColumn("body", F.lit(None).cast("string"))), "id").count() == 0
+
+
+def test_block_paths_read_the_pages_once(spark):
+    """The tree is made once, not for each of its uses."""
+    tree = mdtree.syntax_tree(spark.createDataFrame([(1, "> - a *b*\n\nc")], "id long, body string"))
+    found = mdtree.block_paths(tree, "id")
+    assert "PythonUDTF" not in found._jdf.queryExecution().toString()
+    assert [(r.path, r.words) for r in found.orderBy("seq").collect()] == [
+        ("root", None), ("root > quote", None), ("root > quote > list", None), ("root > quote > list > item", None),
+        ("root > quote > list > item > paragraph", "a b"), ("root > paragraph", "c"),
+    ]
