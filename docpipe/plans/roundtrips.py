@@ -658,7 +658,7 @@ def stream_sync(spark, sf_dir):
     rows, work = _sync_rows(spark, sf_dir), place(spark, "stream-sync")
     store = stores.ParquetVectorStore(spark, f"{work}/vectors")
     for n, wanted in enumerate(("section <> 'es'", "section <> 'fr'")):
-        rows.where(wanted).repartition(4).write.parquet(f"{work}/chunks/batch={n}")
+        rows.where(wanted).write.parquet(f"{work}/chunks/batch={n}")  # as the scan deals them: a fixed number of files would grow with the input
         vector_streams.sync_stream(spark, f"{work}/chunks", store, stores.HashEmbedder(8), f"{work}/checkpoint").awaitTermination()
     vector_streams.prune(spark, store, rows.where("section <> 'fr'"))
     return store.vectors(spark).select(F.col("id").alias("content_hash"), F.size("embedding").alias("size"))
