@@ -617,7 +617,7 @@ _LISTINGS = """l AS (
     FROM s WHERE h IS DISTINCT FROM before"""
 )
 def stream_changes(spark, sf_dir):
-    """Changes that the keyed stream finds between three listings of all documents."""
+    """Changes that the stream finds between three listings of all documents."""
     work = place(spark, "changes")
     i = F.col("doc_id")
     docs = wide(spark, sf_dir)
@@ -628,9 +628,9 @@ def stream_changes(spark, sf_dir):
     )
     for files_now in versions:
         streams.take_listing(files_now.select(i.cast("string").alias("doc_path"), F.sha2("text", 256).alias("file_hash")), f"{work}/listings")
-        out = streams.change_stream(spark, f"{work}/listings").writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
-        out.option("path", f"{work}/out").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{work}/out").select("doc_path", "run", "action", "file_hash")
+        write = lambda found, number: found.write.mode("overwrite").parquet(f"{work}/out/batch={number}")
+        streams.change_stream(spark, f"{work}/listings", f"{work}/checkpoint", write).awaitTermination()
+    return spark.read.option("basePath", f"{work}/out").parquet(f"{work}/out").select("doc_path", "run", "action", "file_hash")
 
 
 _CHANGED = _CUT.replace(f"string_split({_LETTERS}", f"string_split(CASE WHEN source = 'src9' THEN 'second ' ELSE '' END || {_LETTERS}")

@@ -3,29 +3,27 @@
 A file source remembers paths, not contents, so files are not streamed
 themselves. Each run takes a listing: path and hash of every file, and a row
 without a hash for each path of the last listing that is gone. Listings are the
-stream. A keyed state, path to hash, turns it into changes; a batch reads the pages
+stream, and the state too: what a batch is compared with is the listing before its
+first, joined by path, so no path costs a call of Python. A batch reads the pages
 that changed and writes their chunks, and the changes with them, to a folder named
 by the batch, so a batch that is run again after a failure replaces itself. Several
-listings in one batch (after a lost run) are taken in their order.
+listings in one batch (after a lost run) are taken as one step from the state before
+them to the last.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import ScanConfig
 from ..plans.pipeline import file_hashes, ingest
-from ..shipping import ship
 from ..sources.files import exists, read_pages
 
 LISTING = "doc_path string, file_hash string, run long"
-CHANGES = "doc_path string, action string, file_hash string, run long"
 
 
 def last_listing(spark: SparkSession, listings: str) -> DataFrame | None:
@@ -54,26 +52,25 @@ def take_listing(files: DataFrame, listings: str) -> int:
     return run
 
 
-def _changed(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The last change of one path against its state; nothing if it comes out as it was."""
-    before = state.get[0] if state.exists else None
-    seen = pd.concat(list(rows))
-    last = seen.sort_values("run").iloc[-1]
-    now = None if pd.isna(last.file_hash) else last.file_hash
-    if now is None and state.exists:
-        state.remove()
-    elif now is not None:
-        state.update((now,))
-    if now != before:
-        action = "removed" if now is None else "new" if before is None else "changed"
-        yield pd.DataFrame({"doc_path": [key[0]], "action": [action], "file_hash": [now], "run": [last.run]})
-
-
-def change_stream(spark: SparkSession, listings: str) -> DataFrame:
-    """(doc_path, action, file_hash, run) as a stream: new, changed and removed paths."""
-    ship(spark)
+def changes_of(batch: DataFrame, listings: str) -> DataFrame:
+    """(doc_path, action, file_hash, run): the last state of each path of a batch against the listing before it; nothing if it comes out as it was."""
+    spark = batch.sparkSession
+    first = batch.agg(F.min("run")).first()[0]
+    last = batch.groupBy("doc_path").agg(F.max(F.struct("run", "file_hash")).alias("x")).select("doc_path", "x.*")
+    if first:
+        old = spark.read.schema(LISTING).parquet(f"{listings}/listing-{first - 1}").where("file_hash is not null")
+        last = last.join(old.groupBy("doc_path").agg(F.max("file_hash").alias("before")), "doc_path", "left")
+    else:
+        last = last.withColumn("before", F.lit(None).cast("string"))
+    action = F.when(F.col("file_hash").isNull(), "removed").when(F.col("before").isNull(), "new").otherwise("changed")
+    return last.where(~F.col("file_hash").eqNullSafe(F.col("before"))).select("doc_path", action.alias("action"), "file_hash", "run")
+
+
+def change_stream(spark: SparkSession, listings: str, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Start the stream over the listings there are; write takes the new, changed and removed paths of a batch, and its number."""
     stream = spark.readStream.schema(LISTING).option("recursiveFileLookup", True).parquet(listings)
-    return stream.groupBy("doc_path").applyInPandasWithState(_changed, CHANGES, "file_hash string", "append", GroupStateTimeout.NoTimeout)
+    each = lambda batch, number: write(changes_of(batch, listings), number)
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def ingest_changes(
@@ -86,14 +83,13 @@ def ingest_changes(
     """
     take_listing(file_hashes(pages), f"{work}/listings")
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{work}/changes/batch={number}")
+    def write(found: DataFrame, number: int) -> None:
+        found.write.mode("overwrite").parquet(f"{work}/changes/batch={number}")
         changes = spark.read.parquet(f"{work}/changes/batch={number}")
         chunks, _ = ingest(pages.join(changes.where("action <> 'removed'"), "doc_path", "left_semi"), git, normalize=normalize)
         chunks.write.mode("overwrite").parquet(f"{work}/chunks/batch={number}")
 
-    stream = change_stream(spark, f"{work}/listings")
-    return stream.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start()
+    return change_stream(spark, f"{work}/listings", f"{work}/checkpoint", write)
 
 
 def ingest_folder(spark: SparkSession, root: str, work: str, git: dict[str, str] | None = None, cfg: ScanConfig | None = None) -> StreamingQuery:

@@ -12,7 +12,7 @@ from docpipe import config as C
 from docpipe.operators import incremental, sync
 from docpipe.plans import fixtures, pipeline
 from docpipe.sources import files, state, stores
-from docpipe.streaming.incremental import changes, ingest_folder, latest_chunks, take_listing
+from docpipe.streaming.incremental import change_stream, changes, ingest_folder, latest_chunks, take_listing
 from docpipe.streaming.vectors import prune, sync_stream
 
 
@@ -430,6 +430,31 @@ def test_stream(spark, tmp_path):
     assert go()[1] == 0
 
 
+def test_changes_cost_no_python(spark, tmp_path, capsys):
+    """Paths are compared by a join: no Python for each of them, and the same changes if a run is lost or done again."""
+    listings, got = str(tmp_path / "listings"), []
+
+    def write(found, number):
+        found.explain()
+        got.append(sorted(tuple(r) for r in found.collect()))
+        if len(got) == 2:
+            raise OSError("lost")
+
+    def take(**files_now):
+        take_listing(spark.createDataFrame(list(files_now.items()), "doc_path string, file_hash string"), listings)
+
+    take(a="1", b="1", c="1")
+    change_stream(spark, listings, str(tmp_path / "ck"), write).awaitTermination()
+    take(a="2", c="1", d="1")
+    take(a="2", b="1", c="3")
+    with pytest.raises(Exception):  # noqa: B017
+        change_stream(spark, listings, str(tmp_path / "ck"), write).awaitTermination()
+    change_stream(spark, listings, str(tmp_path / "ck"), write).awaitTermination()
+    assert "Python" not in (plan := capsys.readouterr().out) and "Pandas" not in plan and "Join" in plan
+    assert got[0] == [(p, "new", "1", 0) for p in "abc"]
+    assert got[1] == got[2] == [("a", "changed", "2", 2), ("c", "changed", "3", 2)]
+
+
 class Lost(stores.ParquetVectorStore):
     """Its n-th upsert is lost."""
 
