@@ -18,15 +18,20 @@ range of numbers and ancestors are a range join:
 With `front`, a constant list of names, the page's front matter is split off as YAML
 and its scalars are columns of the root's row (null elsewhere). With `mdx`, indented
 lines are no code. A null text gives no rows, an empty one a root.
+
+`page_trees` gives the same trees as arrays, each in the row of its page. What needs
+one page at a time (`block_texts`, `sections_of`) is a plan over such arrays, so text
+is neither shuffled nor sorted; a tree of rows is gathered by page first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions import text as T
@@ -34,7 +39,7 @@ from ..functions.mdblocks import blocks
 from ..functions.mdinline import Span, inlines
 from ..scratch import settled
 from ..shipping import ship
-from .sections import front_text, heading_paths, split_front_matter, targets_of
+from .sections import front_text, split_front_matter, targets_of
 
 COLUMNS = {"node": int, "last": int, "parent": int, "depth": int, "top": int, "line": int, "leaf": int, "kind": str, "level": int, "info": str, "value": str}
 TREE = StructType([StructField(n, IntegerType() if t is int else StringType()) for n, t in COLUMNS.items()])
@@ -121,6 +126,43 @@ def syntax_tree(pages: DataFrame, body: str = "body", mdx: bool = False, front:
     return spark.sql(f"SELECT {listed}, t.* FROM {{pages}} p, LATERAL markdown_tree(p.`{body}`, {args}) t", pages=pages)
 
 
+def _tree_batches(body: str, mdx: bool):
+    kinds = [pa.int32() if t is int else pa.string() for t in COLUMNS.values()]
+    step = 50  # pages whose nodes are held at once
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(body)
+            batch = batch.filter(batch.column(at).is_valid())
+            for a in range(0, batch.num_rows, step):
+                part = batch.slice(a, step)
+                nodes: list[list] = []
+                ends = [0]
+                for text in part.column(at).to_pylist():
+                    nodes += rows_of(text, mdx)
+                    ends.append(len(nodes))
+                fields = [pa.array(c, k) for c, k in zip(zip(*nodes), kinds)]
+                trees = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, names=list(COLUMNS)))
+                kept = [(n, c) for n, c in zip(part.schema.names, part.columns) if n != body]
+                yield pa.RecordBatch.from_arrays([*(c for _, c in kept), trees], names=[*(n for n, _ in kept), "tree"])
+
+    return run
+
+
+def page_trees(pages: DataFrame, body: str = "body", mdx: bool = False) -> DataFrame:
+    """The other columns of pages, and `tree`: the nodes of each page in order, as an array; map-only."""
+    ship(pages.sparkSession)
+    fields = [f for f in pages.schema.fields if f.name != body]
+    return pages.mapInArrow(_tree_batches(body, mdx), StructType([*fields, StructField("tree", ArrayType(TREE))]))
+
+
+def _nested(tree: DataFrame, key: str) -> DataFrame:
+    """(key, tree): whole trees as of page_trees; those of rows are gathered by one aggregate."""
+    if "tree" in tree.columns:
+        return tree.select(key, "tree")
+    return tree.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*COLUMNS))).alias("tree"))
+
+
 def ancestors(tree: DataFrame, key: str) -> DataFrame:
     """(key, node, above, above_kind) of every node and each node that it lies below: a range join inside a page."""
     below = tree.select(key, "node")
@@ -135,21 +177,50 @@ def _joined(rows: DataFrame, by: list[str], order: str, between: str) -> DataFra
     return rows.groupBy(*by).agg(F.array_join(F.transform(parts, lambda p: p["t"]), between).alias("text"))
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once for all its places inside other lambdas."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _words(node: Column) -> Column:
+    """The words that a node adds to its block, null if it adds none; a cell adds a place in its row."""
+    lines = F.transform(F.split(node["value"], "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, "<[^>]*>", ""), r"\s+$", ""))
+    html = F.nullif(F.array_join(F.filter(lines, lambda x: x != ""), "\n"), F.lit(""))
+    words = F.when(node["kind"] == "cell", "").when(node["kind"] == "html", html).otherwise(node["value"])
+    return F.when(~node["kind"].isin("definition", "list"), words)
+
+
+def _block_arrays(tree: DataFrame, key: str) -> DataFrame:
+    """(key, blocks): an array of (top, kind, level, info, text) for each page; see block_texts."""
+
+    def text(nodes: Column) -> Column:
+        found = F.filter(F.transform(nodes, lambda n: F.struct(n["line"].alias("line"), n["leaf"].alias("leaf"), _words(n).alias("t"))), lambda n: n["t"].isNotNull())
+
+        def joined(held: Column) -> Column:
+            def part(n: Column, i: Column) -> Column:
+                before = F.get(held, i - 1)
+                between = F.when((i == 0) | (n["leaf"] == before["leaf"]), "").when(n["line"] == before["line"], " ").otherwise("\n")
+                return F.concat(between, n["t"])
+
+            return F.array_join(F.transform(held, part), "")
+
+        return _let(found, joined)
+
+    def block(n: Column) -> Column:  # its nodes stand side by side
+        nodes = F.slice("tree", n["node"] + 1, n["last"] - n["node"] + 1)
+        return F.struct(n["node"].alias("top"), *(n[c].alias(c) for c in ("kind", "level", "info")), F.when(n["kind"] == "break", "---").otherwise(text(nodes)).alias("text"))
+
+    return _nested(tree, key).select(key, F.transform(F.filter("tree", lambda n: n["depth"] == 1), block).alias("blocks"))
+
+
 def block_texts(tree: DataFrame, key: str) -> DataFrame:
     """(key, top, kind, level, info, text) of the blocks below the root: their words without marks.
 
     Each paragraph, item, row and piece of code is a line of its own; cells of a
     row are joined by blanks; definitions have no words, and breaks only by
-    themselves ("---"). All groups begin with the page: one shuffle serves them.
+    themselves ("---"). tree: of page_trees, or whole trees as rows.
     """
-    rows = tree.where("depth > 0").repartition(F.col(key))
-    words = F.transform(F.split("value", "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, "<[^>]*>", ""), r"\s+$", ""))
-    value = F.when(F.col("kind") == "cell", "").when(F.col("kind") == "html", F.nullif(F.array_join(F.filter(words, lambda x: x != ""), "\n"), F.lit("")))
-    text = rows.withColumn("text", value.otherwise(F.col("value"))).where("text is not null and kind not in ('definition', 'list')")
-    leaves = _joined(text, [key, "top", "line", "leaf"], "node", "")
-    texts = _joined(_joined(leaves, [key, "top", "line"], "leaf", " "), [key, "top"], "line", "\n")
-    heads = rows.where("depth = 1").select(key, "top", "kind", "level", "info")
-    return heads.join(texts, [key, "top"], "left").withColumn("text", F.when(F.col("kind") == "break", "---").otherwise(F.coalesce("text", F.lit(""))))
+    return _block_arrays(tree, key).select(key, F.inline("blocks"))
 
 
 def block_paths(tree: DataFrame, key: str) -> DataFrame:
@@ -170,17 +241,32 @@ def sections_of(tree: DataFrame, key: str) -> DataFrame:
     """(key, seq, level, heading, section_path, content): the sections of each page as a plan over its tree.
 
     The rules are those of operators.sections: blocks before the first heading
-    belong to the first section, equal code counts once a page.
+    belong to the first section, equal code counts once a page. tree: as of block_texts.
     """
-    in_page = Window.partitionBy(key).orderBy("top")
-    heading, code = F.col("kind") == "heading", F.col("kind") == "code"
-    found = block_texts(tree, key).where("kind <> 'definition'").withColumn("at", F.count_if(heading).over(in_page))
-    digest = F.when(code, T.code_hash8(F.coalesce("info", F.lit("")), F.col("text")))
-    found = found.withColumn("again", F.row_number().over(Window.partitionBy(key, digest).orderBy("top")))
-    fenced = F.concat(F.lit("```"), F.coalesce("info", F.lit("")), F.lit("\n"), "text", F.lit("\n```"))
-    body = found.where(~heading & ~(code & (F.col("again") > 1))).withColumn("text", F.when(code, fenced).otherwise(F.col("text")))
-    body = body.where(T.trim_ws(F.col("text")) != "").withColumn("seq", F.greatest(F.col("at") - 1, F.lit(0)).cast("int"))
-    content = _joined(body, [key, "seq"], "top", "\n\n").withColumnRenamed("text", "content")
-    heads = found.where(heading).select(key, (F.col("at") - 1).cast("int").alias("seq"), "level", F.col("text").alias("heading"))
-    rows = heads.join(heading_paths(heads, key, "seq"), [key, "seq"]).join(content, [key, "seq"], "left")
-    return rows.withColumn("content", F.coalesce("content", F.lit("")))
+    heading, code = (lambda b: b["kind"] == "heading"), (lambda b: b["kind"] == "code")
+    digest = lambda b: F.when(code(b), T.code_hash8(F.coalesce(b["info"], F.lit("")), b["text"]))
+    fenced = lambda b: F.concat(F.lit("```"), F.coalesce(b["info"], F.lit("")), F.lit("\n"), b["text"], F.lit("\n```"))
+    rows = _block_arrays(tree, key).select(key, F.filter("blocks", lambda b: b["kind"] != "definition").alias("blocks"))
+    rows = rows.withColumns(
+        {
+            "heads": F.filter(F.transform("blocks", lambda b, i: F.when(heading(b), F.struct(i.alias("at"), b["level"].alias("level"), b["text"].alias("heading")))), lambda h: h.isNotNull()),
+            "codes": F.transform("blocks", digest),
+        }
+    )
+    # What a block adds to its section; null if nothing.
+    text = lambda b, i: F.when(code(b), F.when(F.array_position("codes", F.get("codes", i)) == i + 1, fenced(b))).when(~heading(b) & (T.trim_ws(b["text"]) != ""), b["text"])
+    start = F.struct(F.array().cast("array<struct<level:int,heading:string>>").alias("above"), F.array().cast("array<array<string>>").alias("paths"))
+
+    def step(s: Column, h: Column) -> Column:
+        above = F.array_append(F.filter(s["above"], lambda a: a["level"] < h["level"]), F.struct(h["level"].alias("level"), h["heading"].alias("heading")))
+        return _let(above, lambda a: F.struct(a.alias("above"), F.array_append(s["paths"], F.transform(a, lambda x: x["heading"])).alias("paths")))
+
+    rows = rows.select(key, "heads", F.transform("blocks", text).alias("texts"), F.aggregate("heads", start, step, lambda s: s["paths"]).alias("paths"))
+
+    def section(h: Column, k: Column) -> Column:
+        first = F.when(k == 0, 0).otherwise(h["at"])
+        after = F.coalesce(F.get("heads", k + 1)["at"], F.size("texts"))
+        content = F.array_join(F.slice("texts", first + 1, after - first), "\n\n")  # leaves out nulls
+        return F.struct(k.alias("seq"), h["level"].alias("level"), h["heading"].alias("heading"), F.get("paths", k).alias("section_path"), content.alias("content"))
+
+    return rows.select(key, F.inline(F.transform("heads", section)))

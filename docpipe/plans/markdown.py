@@ -76,5 +76,5 @@ def syntax_tree(spark, sf_dir):
 @query(SECTIONS_SQL)
 def tree_sections(spark, sf_dir):
     """The sections of the pages of sections_tree, as a plan over their trees."""
-    rows = mdtree.sections_of(mdtree.syntax_tree(section_pages(spark, sf_dir)), "doc_path")
+    rows = mdtree.sections_of(mdtree.page_trees(section_pages(spark, sf_dir)), "doc_path")
     return rows.select(long("doc_path").alias("doc_id"), "seq", "level", "heading", sections.flat_path(F.col("section_path")).alias("section"), "content")

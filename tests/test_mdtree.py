@@ -204,3 +204,22 @@ def test_block_paths_read_the_pages_once(spark):
         ("root", None), ("root > quote", None), ("root > quote > list", None), ("root > quote > list > item", None),
         ("root > quote > list > item > paragraph", "a b"), ("root > paragraph", "c"),
     ]
+
+
+def test_plans_over_trees_move_no_text(spark, capsys):
+    """Sections and words of page_trees: those of the trees as rows and of the sequential reader, without a shuffle or a sort."""
+    page = "early\n\n# A\n\n```x\nc\n```\n\n```x\nc \n```\n\n### C\n\n[r]: x\n\n| a | |\n|---|---|\n| 1 | 2 |\n\n## B *e*\n\n<b>\n\n---\n\n- one\n- two\n\n  > three\n"
+    bodies = [page, page.replace("#", "\n"), "", None, "# only", "no heading"]
+    pages = spark.createDataFrame(list(enumerate(bodies)), "doc_path long, body string")
+    nested, flat = mdtree.page_trees(pages), mdtree.syntax_tree(pages)
+    assert nested.count() == 5
+    for plan in (mdtree.sections_of, mdtree.block_texts):
+        found = plan(nested, "doc_path")
+        found.explain()
+        shown = capsys.readouterr().out
+        assert "Exchange" not in shown and "Sort" not in shown
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plan(flat, "doc_path").collect()))
+    columns = ("level", "heading", "section_path", "content")
+    for i, body in enumerate(bodies):
+        got = mdtree.sections_of(nested, "doc_path").where(F.col("doc_path") == i).orderBy("seq").select(*columns).collect()
+        assert [tuple(r) for r in got] == [tuple(s[c] for c in columns) for s in S.sections(body or "")]
