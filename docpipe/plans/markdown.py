@@ -52,7 +52,7 @@ def markdown_words(spark, sf_dir):
         F.lit("*"), t, F.lit(" **"), t, F.lit("***"), F.lit("_"), "lang", F.lit("_ in ***"), t, F.lit("*** `a*b` **"), "source", F.lit("** [see *"), "lang",
         F.lit("*](<http://b.org/a b> \"t\") ![alt "), t, F.lit("](c.png) [mark][R] <http://a.org/x> &amp; \\* <i>raw</i> ~~old~~  \nnext\\\nsnake_case_name 2 * 3 [ref]\n\n[r]: http://r.org\n[ref]: <x> 'title'\n"),
     )
-    tree = mdtree.syntax_tree(wide(spark, sf_dir).select("doc_id", body.alias("body")))
+    tree = mdtree.page_trees(wide(spark, sf_dir).select("doc_id", body.alias("body")))
     return mdtree.block_texts(tree, "doc_id").where("kind = 'paragraph'").select("doc_id", F.col("text").alias("words"))
 
 
