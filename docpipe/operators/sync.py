@@ -178,6 +178,30 @@ def stages(rows: DataFrame, order: str, size: int = C.STAGE_SIZE) -> DataFrame:
     return with_rank(rows, order).withColumn("stage", F.floor(F.col("rank") / size).cast("int"))
 
 
+def planned(wanted: DataFrame, state: DataFrame) -> DataFrame:
+    """(content_hash, op, content, metadata): sync_plan with the first row of each hash by file_seq and chunk_seq; null for deletes.
+
+    One aggregate over both tables, so texts are shuffled once. Rows without a hash have no place in a store.
+    """
+    now = wanted.select("content_hash", F.struct("content", "metadata").alias("row"), F.struct("file_seq", "chunk_seq").alias("at"), F.lit(False).alias("old"))
+    both = now.unionByName(state.select("content_hash", F.lit(True).alias("old")), allowMissingColumns=True).where("content_hash is not null")
+    found = both.groupBy("content_hash").agg(F.min_by("row", "at").alias("row"), F.count("at").alias("n"), F.bool_or("old").alias("old"))
+    op = F.when(~F.col("old"), "insert").when(F.col("n") == 0, "delete").otherwise("update")
+    return found.select("content_hash", op.alias("op"), "row.*")
+
+
+def stage_ranges(hashes: DataFrame, n: int, size: int) -> list[Column]:
+    """A condition for each stage of `size` of n distinct hashes, in their order; only the first hashes of the stages are collected."""
+    from .ranking import with_rank
+
+    h = F.col("content_hash")
+    if n <= size:
+        return [h.isNotNull()] if n else []
+    ranked = with_rank(hashes.select("content_hash"), "content_hash")
+    first = [r[0] for r in ranked.where(F.col("rank") % size == 0).orderBy("rank").select("content_hash").collect()]
+    return [(h >= a) & (h < b) for a, b in zip(first, first[1:])] + [h >= first[-1]]
+
+
 @dataclass
 class SyncResult:
     plan: dict[str, int]
@@ -213,22 +237,19 @@ def sync(
     from .filters import should_embed
 
     spark = chunks.sparkSession
-    wanted = keep_first(chunks.where(should_embed(F.col("token_count"), F.col("doc_path"))), "content_hash", "file_seq", "chunk_seq")
-    wanted, plan = wanted.persist(), None
+    plan = planned(chunks.where(should_embed(F.col("token_count"), F.col("doc_path"))), state).persist()
     try:
-        plan = sync_plan(wanted, state).persist()
         counts = {r["op"]: r["count"] for r in plan.groupBy("op").count().collect()}
-        of = lambda op: plan.where(F.col("op") == op).select("content_hash")
+        of = lambda op: plan.where(F.col("op") == op)
         if dry_run:
             return SyncResult(counts, 0, 0, 0, 0, state.select("content_hash"))
         result = SyncResult(counts, 0, 0, 0, 0, state)
         n = counts.get("insert", 0)
-        size = max(stage_size, -(-n // most_stages))
-        meta = wanted.select("content_hash", "metadata")
-        fresh = stages(wanted.join(of("insert"), "content_hash", "left_semi").select("content_hash", "content"), "content_hash", size) if n else None
+        fresh = of("insert")
         broken = 0
-        for k in range(-(-n // size)):
-            made = store.stage(embed(fresh.where(F.col("stage") == k), embedder))
+        for k, in_stage in enumerate(stage_ranges(fresh, n, max(stage_size, -(-n // most_stages)))):
+            made = store.stage(embed(fresh.where(in_stage), embedder))
+            meta = fresh.where(in_stage).select("content_hash", "metadata")
             r = made.agg(F.count_if(F.col("error").isNull()).alias("ok"), F.count("error").alias("bad"), F.sum("calls").alias("calls")).first()
             result.calls += r.calls or 0
             result.failed += r.bad
@@ -248,7 +269,7 @@ def sync(
             result.stages += 1
             if save:
                 save(store)
-        kept, _ = metadata_refresh(meta.join(of("update"), "content_hash", "left_semi"), store.vectors(spark))
+        kept, _ = metadata_refresh(of("update").select("content_hash", "metadata"), store.vectors(spark))
         if counts.get("update"):
             result.refreshed = kept.count()
             retry(lambda: store.upsert(kept.select(F.col("content_hash").alias("id"), "embedding", "metadata")), sleep=sleep)
@@ -261,6 +282,4 @@ def sync(
         return result
     finally:
         store.unstage()
-        for table in (plan, wanted):
-            if table is not None:
-                table.unpersist()
+        plan.unpersist()

@@ -617,3 +617,20 @@ def test_patient_embedder():
     with pytest.raises(RuntimeError):
         broken.embed("bad")
     assert broken.calls == 1
+
+
+def test_sync_plan_moves_texts_once(spark):
+    """Plan and first rows come from one aggregate; stages are ranges of hashes, each of its size, and need no shuffle of texts."""
+    rows = [(f"h{i % 70:02d}", f"t{i}", {"m": str(i)}, i, 0) for i in range(140)] + [(None, "x", None, 1, 1)]
+    wanted = spark.createDataFrame(rows, "content_hash string, content string, metadata map<string,string>, file_seq int, chunk_seq int")
+    state = spark.createDataFrame([("h03",), ("h03",), ("old",), (None,)], "content_hash string")
+    plan = sync.planned(wanted, state)
+    assert plan._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange hashpartitioning") <= 1
+    got = {r.content_hash: (r.op, r.content) for r in plan.collect()}
+    assert len(got) == 71 and got["h03"] == ("update", "t3") and got["old"] == ("delete", None) and got["h69"] == ("insert", "t69")
+    fresh = plan.where("op = 'insert'").persist()
+    ranges = sync.stage_ranges(fresh, 69, 20)
+    assert [fresh.where(c).count() for c in ranges] == [20, 20, 20, 9]
+    assert [h for c in ranges for h in sorted(r[0] for r in fresh.where(c).collect())] == sorted(h for h, (op, _) in got.items() if op == "insert")
+    assert not any("Exchange" in fresh.where(c)._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0] for c in ranges)
+    assert sync.stage_ranges(fresh, 0, 20) == [] and len(sync.stage_ranges(fresh, 69, 69)) == 1
