@@ -12,7 +12,8 @@ REQUIRED = ("content", "doc_path", "section", "section_path", "page_context", "c
 
 
 def should_embed(tokens: Column, path: Column) -> Column:
-    return (tokens >= C.EMBED_MIN) & ((tokens <= C.EMBED_MAX) | T.is_forced(path))
+    """Bound once in a lambda: a filter would compute a token count for each place where it is named."""
+    return F.exists(F.array(tokens), lambda n: (n >= C.EMBED_MIN) & ((n <= C.EMBED_MAX) | T.is_forced(path)))
 
 
 def embed_label(tokens: Column, path: Column) -> Column:

@@ -634,3 +634,14 @@ def test_sync_plan_moves_texts_once(spark):
     assert [h for c in ranges for h in sorted(r[0] for r in fresh.where(c).collect())] == sorted(h for h, (op, _) in got.items() if op == "insert")
     assert not any("Exchange" in fresh.where(c)._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0] for c in ranges)
     assert sync.stage_ranges(fresh, 0, 20) == [] and len(sync.stage_ranges(fresh, 69, 69)) == 1
+
+
+def test_token_count_is_computed_once(spark):
+    from docpipe.functions import text as T
+    from docpipe.operators.filters import should_embed
+
+    texts = [("w " * 49, "a"), ("w " * 50, "a"), ("w " * 1600, "a"), ("w " * 1601, "a"), ("w " * 1601, C.FORCE_PREFIXES[0])]
+    rows = spark.createDataFrame(texts, "text string, doc_path string")
+    kept = rows.withColumn("token_count", T.token_count(F.col("text"))).where(should_embed(F.col("token_count"), F.col("doc_path")))
+    assert kept.select("doc_path")._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted(r.token_count for r in kept.collect()) == [50, 1600, 1601]
