@@ -25,19 +25,18 @@
    a probability of 2.7 %, at 0.9 of 0.4 %. Pairs come in two steps:
    a. every document with the first document of each of its keys, so a group of
       near copies costs about one pair a member;
-   b. windows whose minimum lies in no passage found so far: with all windows of
-      their key if it has up to HOT; of larger keys, joint windows (the common
-      range of two windows of different functions that holds both minima, posted
-      under both keys with the words of both) are joined in the same way, so a phrase that many documents
-      hold under one function only makes no pairs;
-   c. in joint keys of more than HOT windows they meet all windows of their key
-      too, in pairs of blocks of BLOCK_BYTES, with the shingles (32-bit hashes) up
-      to REACH beyond both minima; longer passages have windows of other minima
-      along them. Shared shingles are counted for all pairs of two blocks by matrix
-      products, pairs that share too few to hold a passage go, and the others are
-      verified, the fullest first, as long as they reach words that no pair before
-      has covered. So no key, however large, meets one task, and none of its pairs
-      is left out.
+   b. windows whose minimum lies in no passage found so far, by joint windows (two
+      windows of different functions whose common range holds both minima, posted
+      under both keys): texts that share a joint key are compared on the ranges
+      that both windows span. Keys with one first document are one group, so a
+      text goes there once, with the range of all its windows in the group and
+      bits for what is covered. The rule is the same for keys of any size. Groups
+      larger than BLOCK_BYTES meet in pairs of blocks. Shared shingles (32-bit
+      hashes) and shared keys of all pairs are counted by matrix products; pairs
+      that share too few shingles for a passage go, and the others are verified,
+      the fullest first, as long as a place that is not covered may lie in a range
+      of both. So no key, however large, meets one task, and none of its pairs is
+      left out.
 
 Documents with the same word sequence are one text; all but the least doc_id are
 whole repeats (if they have MIN_WORDS words). Words are compared with A-Z lowered
@@ -70,12 +69,11 @@ MIN_WORDS = 50
 WIDTH = 5
 K, AGREE = 4, 2
 PERCENT = 80
-HOT = 16  # windows of a key that are joined as pairs; those of larger keys meet in blocks
-REACH = 64  # shingles on either side of the two minima of a window that go to a block
 BLOCK_BYTES = 1 << 20  # shingles of one side of a pair of blocks
-STAGE = 8  # partners of a window whose bounds are computed first; then eight times as many, and so on
+STAGE = 32  # partners of a range whose bounds are computed first; then eight times as many, and so on
 FEW_RUNS = 64
-MINE, THEIRS = 1, 2  # roles of a window in a group: it is searched for, it is compared with
+MINE, THEIRS = 1, 2  # roles of a range in a block: it is searched for, it is compared with
+RUN_CELLS = 1 << 18  # pairs of runs of equal shingles that are looked at together
 TABLE_BYTES = 32 << 20  # of one table of which text has which shingle
 
 _MULTIPLIERS = X.seeds(K, 31)
@@ -502,38 +500,27 @@ def joint_windows(keys: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.n
 
 
 def _joint_rows(min_words: int):
-    """(doc_id, tag, live, key, bits, start, end, low, high) of the joint windows of each text; start to end spans both, low and high are their minima."""
+    """(doc_id, tag, live, key, first, after) of the joint windows of each text, with the shingles of their range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             cuts, w = _list_parts(batch.column("windows"))
+            found = []
             for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                keys, start, end, live = (w[c][a:b] for c in ("key", "start", "end", "live"))
-                at = w["at"][a:b]
-                i, j = joint_windows(keys, start >> 32, end >> 32, at, w["n"][a:b] > HOT, min_words)
-                if not len(i):
-                    continue
+                keys, start, end, at, live = (w[c][a:b] for c in ("key", "start", "end", "at", "live"))
+                start, end, live = start >> 32, end >> 32, live.astype(bool)
+                i, j = joint_windows(keys, start, end, at, np.ones(len(keys), bool), min_words)
                 u = keys.view(np.uint64)
                 swap = (u[i] & _FUNCTION) > (u[j] & _FUNCTION)
                 x, y = np.where(swap, u[j], u[i]), np.where(swap, u[i], u[j])
-                one = np.array([k])
-                source = pa.array(np.repeat(one, len(i)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(source),
-                        batch.column("tag").take(source),
-                        pa.array(live[i].astype(bool) & live[j].astype(bool)),
-                        pa.array(X.splitmix(x * _KEY_SEEDS[0] + X.splitmix(y)).view(np.int64)),
-                        pa.array(((1 << (x & _FUNCTION).astype(np.int32)) | (1 << (y & _FUNCTION).astype(np.int32))).astype(np.int32)),
-                        pa.array(np.minimum(start[i], start[j])),
-                        pa.array(np.maximum(end[i], end[j])),
-                        pa.array(np.minimum(at[i], at[j]), pa.int32()),
-                        pa.array(np.maximum(at[i], at[j]), pa.int32()),
-                    ],
-                    names=["doc_id", "tag", "live", "key", "bits", "start", "end", "low", "high"],
-                )
+                key = X.splitmix(x * _KEY_SEEDS[0] + X.splitmix(y)).view(np.int64)
+                found.append((np.full(len(i), k), live[i] & live[j], key, np.minimum(start[i], start[j]), np.maximum(end[i], end[j]) - WIDTH + 1))
+            source, live, key, first, after = (np.concatenate(c) for c in zip(*found))
+            columns = [pa.array(live), pa.array(key), pa.array(first, pa.int32()), pa.array(after, pa.int32())]
+            ids = [batch.column(n).take(pa.array(source)) for n in ("doc_id", "tag")]
+            yield pa.RecordBatch.from_arrays([*ids, *columns], names=["doc_id", "tag", "live", "key", "first", "after"])
 
     return run
 
@@ -552,8 +539,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     return both.mapInArrow(_near_rows(min_words), "doc_id long, tag long, origin long, places array<int>")
 
 
-def _other_pairs(shared: DataFrame, marks: DataFrame, scratch: Scratch, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs that agree in windows whose minima lie in no passage of the later text found so far; the windows of large joint keys, as (key, doc_id, tag, live, shingles first to after)."""
+def _open_windows(shared: DataFrame, marks: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
+    """The joint windows of the keys of live ones (whose minima lie in no passage of the later text found so far), a row for each text in a group: all keys with one first document.
+
+    (group, doc_id, tag, shingles first to after, keys, live_keys)
+    """
     marked = marks.select("doc_id", "tag", F.arrays_zip("starts", "ends").alias("marks"))
     live = shared.where("first < doc_id").join(marked, ["doc_id", "tag"], "left")
     live = live.where("not coalesce(exists(marks, x -> x.starts <= at and at < x.ends), false)").drop("marks")
@@ -562,47 +552,36 @@ def _other_pairs(shared: DataFrame, marks: DataFrame, scratch: Scratch, min_word
     met = shared.join(keys, "key", "left_semi")  # the live windows and all they may be compared with
     flags = live.select("doc_id", "tag", "key", "start", "at", F.lit(True).alias("live"))
     met = met.join(flags, ["doc_id", "tag", "key", "start", "at"], "left").withColumn("live", F.coalesce("live", F.lit(False)))
-    met = scratch.save(met.withColumn("bits", F.expr(f"shiftleft(1, cast(key & {K - 1} as int))")))
-    own = {"origin": "doc_id", "o_tag": "tag", "o_start": "start", "o_end": "end"}
-
-    def joined(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-        firsts = firsts.select("key", *(F.col(c).alias(o) for o, c in own.items()))
-        rows = rows.where("live").select("key", "bits", "doc_id", "tag", "start", "end")
-        return rows.join(firsts, "key").where("origin < doc_id").drop("key")
-
-    few = met.where(F.col("n") <= HOT)
-    pairs = joined(few, few)
-    # Keys of many windows: joint windows of two functions.
-    window = F.struct("key", "start", "end", "at", "live", "n")
-    joint = met.groupBy("doc_id", "tag").agg(F.collect_list(window).alias("windows")).where(F.exists("windows", lambda w: w["n"] > HOT))
-    joint = scratch.save(joint.mapInArrow(_joint_rows(min_words), "doc_id long, tag long, live boolean, key long, bits int, start long, end long, low int, high int"))
-    sizes = joint.groupBy("key").agg(F.count("*").alias("n"), F.max("live").alias("any"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    sizes = scratch.save(sizes.where("any and a < b").select("key", "n"))  # written: a plain input, so that a hot key is split
-    joint = scratch.save(joint.join(sizes, "key"))
-    few = joint.where(F.col("n") <= HOT)
-    found = scratch.save(_agreeing(pairs.unionByName(joined(few, few))))
-    first = F.greatest(F.shiftright("start", 32).cast("int"), F.col("low") - REACH).alias("first")
-    after = F.least(F.shiftright("end", 32).cast("int") - WIDTH, F.col("high") + REACH) + 1
-    many = scratch.save(joint.where(F.col("n") > HOT).select("key", "doc_id", "tag", "live", first, after.alias("after")))
-    scratch.drop(live, met, joint)
-    return found, many
+    windows = met.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("key", "start", "end", "at", "live")).alias("windows"))
+    joint = scratch.save(windows.mapInArrow(_joint_rows(min_words), "doc_id long, tag long, live boolean, key long, first int, after int"))
+    wanted = joint.groupBy("key").agg(F.max("live").alias("any"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    wanted = scratch.save(wanted.where("any and a < b").select("key", F.col("a").alias("group")))  # written: a plain input, so that a hot key is split
+    keys = F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("live"), F.col("key"))).alias("live_keys")
+    found = joint.join(wanted, "key").groupBy("group", "doc_id", "tag").agg(F.min("first").alias("first"), F.max("after").alias("after"), *keys)
+    found = scratch.save(found)
+    scratch.drop(live, joint)
+    return found
 
 
 def _part_rows(min_words: int):
-    """The windows of a text that go to blocks, each with the blocks it is dealt to and the hashes of its shingles."""
+    """The ranges of a text that go to blocks, each with the blocks it is dealt to, the hashes of its shingles and bits for those in passages found before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in X.slices(batches, "text"):
-            words, _, _, first = X.word_table([t.translate(X.SPACE_FOLD) for t in X.text_bytes(batch.column("text"))])
-            shingles, at = X.shingle_table(words, first, WIDTH, short=False)
+            words, _, _, at_word = X.word_table([t.translate(X.SPACE_FOLD) for t in X.text_bytes(batch.column("text"))])
+            shingles, at = X.shingle_table(words, at_word, WIDTH, short=False)
             short = (shingles >> np.uint64(32)).astype(np.uint32)
-            windows = batch.column("windows")
-            w = windows.flatten()
-            source = np.repeat(np.arange(batch.num_rows), pc.list_value_length(windows).to_numpy())
-            start, after = (w.field(n).to_numpy() for n in ("first", "after"))
-            parts = [short[at[k] + a : at[k] + b].tobytes() for k, a, b in zip(source, start, after)]
-            named = {n: w.field(n) for n in ("key", "blocks", "first")} | {n: batch.column(n).take(pa.array(source)) for n in ("doc_id", "tag")}
-            yield pa.RecordBatch.from_pydict(named | {"shingles": pa.array(parts, pa.binary())})
+            done = np.zeros(len(short), bool)
+            for k, (starts, ends) in enumerate(zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist())):
+                for a, b in zip(starts or (), ends or ()):
+                    done[at[k] + a : at[k] + b - WIDTH + 1] = True
+            ranges = batch.column("ranges")
+            w = ranges.flatten()
+            source = np.repeat(np.arange(batch.num_rows), pc.list_value_length(ranges).to_numpy())
+            places = [(at[k] + a, at[k] + b) for k, a, b in zip(source, w.field("first").to_numpy(), w.field("after").to_numpy())]
+            named = {n: w.field(n) for n in ("group", "blocks", "first", "keys", "live_keys")} | {n: batch.column(n).take(pa.array(source)) for n in ("doc_id", "tag")}
+            bits = {"shingles": [short[a:b].tobytes() for a, b in places], "done": [np.packbits(done[a:b]).tobytes() for a, b in places]}
+            yield pa.RecordBatch.from_pydict(named | {n: pa.array(x, pa.binary()) for n, x in bits.items()})
 
     return run
 
@@ -636,44 +615,121 @@ def in_several(parts: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
     return value[head][np.minimum.reduceat(of, head) < np.maximum.reduceat(of, head)]
 
 
-def open_passages(mine: np.ndarray, spans: Callable, shared: Callable, counts: np.ndarray, least: int, done: np.ndarray, common: np.ndarray) -> list[tuple[int, int, int]]:
+def places_table(rows: list[np.ndarray], entries: np.ndarray) -> np.ndarray:
+    """A row for each of rows with the place, from 1, of each entry (sorted, distinct), or 0."""
+    table = np.zeros((len(rows), len(entries)), np.int32)
+    sizes = np.array([len(r) for r in rows])
+    value, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), sizes)
+    at = np.minimum(np.searchsorted(entries, value), len(entries) - 1)
+    hit = entries[at] == value
+    table[row[hit], at[hit]] = (np.arange(len(value)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1)[hit]
+    return table
+
+
+def hold_once(rows: list[np.ndarray]) -> np.ndarray:
+    """Which of rows of 32-bit entries hold none twice."""
+    once = np.ones(len(rows), bool)
+    coded = np.repeat(np.arange(len(rows), dtype=np.uint64) << np.uint64(32), [len(r) for r in rows]) | np.concatenate([np.zeros(0, np.uint32), *rows])
+    coded.sort()
+    once[coded[1:][coded[1:] == coded[:-1]] >> np.uint64(32)] = False
+    return once
+
+
+def may_reach(held: np.ndarray, least: int, theirs: np.ndarray | None = None, lone: np.ndarray | None = None) -> np.ndarray:
+    """Which places of mine may lie in a near-duplicate range, for each partner.
+
+    held has a row for each partner with the places of mine that it shares. theirs
+    are those shingles' places in the partner, if no side holds one twice: a range
+    from place s to place t of mine then shares no more than lies between them.
+    Else lone are the places of mine whose shingle comes once: each that is not
+    held lies outside the common set. In both cases the similarity is bounded by a
+    term of t less a term of s, so the best of each before and after a place tell.
+    """
+    n = held.shape[1]
+    if n < least:
+        return np.zeros(held.shape, bool)
+    if theirs is not None:
+        rate = (100 + PERCENT) * np.cumsum(held, axis=1, dtype=np.int64) - PERCENT * (np.arange(n) + theirs)
+        before, after = rate - (100 + PERCENT), rate - 2 * PERCENT
+    else:
+        step = np.where(held, 100 - PERCENT, np.where(lone, -PERCENT, 0))
+        after = np.cumsum(step, axis=1, dtype=np.int64)
+        before = after - step
+    far = np.int64(1) << np.int64(60)
+    from_here = np.minimum.accumulate(np.where(held, before, far), axis=1)
+    to_here = np.maximum.accumulate(np.where(held, after, -far)[:, ::-1], axis=1)[:, ::-1]
+    some = (to_here[:, least - 1 :] >= from_here[:, : n - least + 1]).any(1)
+    return (to_here >= from_here) & some[:, None]
+
+
+def open_ranges(theirs: np.ndarray, done: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """The near-duplicate ranges of mine, as near_spans has them, that hold places which are not done; they are done then.
+
+    theirs says where the partner holds each shingle of mine, from 1, or 0; no side holds one twice.
+    """
+    to = np.flatnonzero(theirs)
+    other = theirs[to] - 1
+    head = np.flatnonzero(np.concatenate([[True], (np.diff(to) != 1) | (np.diff(other) != 1)]))
+    sizes = np.diff(np.append(head, len(to)))
+    from_a, from_b = other[head], to[head]
+    to_a, to_b = from_a + sizes, from_b + sizes
+    left = np.concatenate([[0], np.cumsum(~done)])
+    found = []
+    n, all_runs = len(head), np.arange(len(head))
+    step = max(1, RUN_CELLS // n)
+    for first in range(0, n, step):
+        s = all_runs[first : first + step, None]
+        total = to_a - from_a[s] + to_b - from_b[s]
+        within = np.cumsum(np.where((from_a >= from_a[s]) & (all_runs >= s), sizes, 0), axis=1)
+        good = (to_a - from_a[s] >= least) & (to_b - from_b[s] >= least) & (left[to_b] > left[from_b[s]]) & ((100 + PERCENT) * within >= PERCENT * total)
+        at, ends = np.nonzero(good[:, ::-1])
+        for s, t in zip((at + first).tolist(), (n - 1 - ends).tolist()):
+            j, q = int(from_b[s]), int(to_b[t])
+            if done[j:q].all():
+                continue
+            inside = from_a[s : t + 1]
+            both = int(sizes[s : t + 1][(inside >= from_a[s]) & (inside < to_a[t])].sum())
+            if (100 + PERCENT) * both >= PERCENT * int(to_a[t] - from_a[s] + q - j):
+                done[j:q] = True
+                found.append((j, q))
+    return found
+
+
+def open_passages(
+    mine: np.ndarray, spans: Callable, places: Callable, single: bool, plain: np.ndarray, counts: np.ndarray, least: int, done: np.ndarray
+) -> list[tuple[int, int, int]]:
     """(shingle from, to, which partner) of near-duplicate ranges of mine, the fullest partner first.
 
-    spans(which, places) verifies one partner that holds these places of mine, and gives its ranges.
-    shared(which) has a row for each partner with the places of mine that it holds;
-    common says which places any other document holds. Partners are taken in
-    stages of growing size, and the search ends when all places from the first to the
-    last common one are done. A partner is tried as long as a place that is not
-    done lies in a range that it shares by PERCENT, as all of a near duplicate does
-    (if mine holds a shingle twice: between its first and last shared place).
-    done is brought up to date.
+    spans(which) verifies one partner by near_spans; places(which) has a row for each
+    partner with where it holds each shingle of mine, from 1, or 0; single says
+    whether mine holds none twice, plain which partners do so. Partners are taken in
+    stages of growing size, and one is tried as long as a place that is not done may
+    lie in a range of both. done is brought up to date.
     """
-    n = len(mine)
-    places = np.flatnonzero(common)
-    a, b = int(places[0]), int(places[-1]) + 1
-    single = len(np.unique(mine)) == n
+    lone = None
     order = np.argsort(-counts, kind="stable")
     found: list[tuple[int, int, int]] = []
     at, size = 0, STAGE
-    while at < len(order) and b - a >= least and not done[a:b].all():
+    while at < len(order) and not done.all():
         stage = order[at : at + size]
         at, size = at + size, 8 * size
-        held = shared(stage)
-        low, high = held.argmax(1), n - held[:, ::-1].argmax(1)
-        reach = (np.arange(n) >= low[:, None]) & (np.arange(n) < high[:, None]) & (high - low >= least)[:, None]
-        if single:
-            gain = np.zeros((len(held), n + 1), np.int32)
-            np.cumsum(100 * held.astype(np.int32) - PERCENT, axis=1, out=gain[:, 1:])
-            least_before, most_after = np.minimum.accumulate(gain, axis=1), np.maximum.accumulate(gain[:, ::-1], axis=1)[:, ::-1]
-            reach &= most_after[:, 1:] >= least_before[:, :-1]
-            reach &= (gain[:, least:] >= least_before[:, : n + 1 - least]).any(1)[:, None]
-        while True:
-            left = np.flatnonzero((reach & ~done).any(1))
-            if not len(left):
-                break
-            reach[left[0]] = False
-            k = int(stage[left[0]])
-            for p, q in spans(k, np.flatnonzero(held[left[0]]).tolist()):
+        theirs = places(stage)
+        held = theirs > 0
+        twice = ~plain[stage] if single else np.ones(len(stage), bool)
+        reach = may_reach(held, least, theirs)
+        if twice.any():
+            if lone is None:
+                _, which, times = np.unique(mine, return_inverse=True, return_counts=True)
+                lone = times[which] == 1
+            reach[twice] = may_reach(held[twice], least, lone=lone)
+        for row in np.flatnonzero((reach & ~done).any(1)).tolist():
+            if not (reach[row] & ~done).any():
+                continue
+            k = int(stage[row])
+            if not twice[row]:
+                found.extend((p, q, k) for p, q in open_ranges(theirs[row], done, least))
+                continue
+            for p, q in spans(k):
                 if not done[p:q].all():
                     done[p:q] = True
                     found.append((p, q, k))
@@ -681,49 +737,42 @@ def open_passages(mine: np.ndarray, spans: Callable, shared: Callable, counts: n
 
 
 def _block_rows(min_words: int):
-    """Near-duplicate passages of the windows of one group: for each key those that are mine with those that are theirs."""
+    """Near-duplicate passages of the ranges of one block or pair of blocks: in each group, of texts that are mine with those that are theirs and share a key that is live in mine."""
     least = min_words - WIDTH + 1
 
     def run(table: pa.Table) -> pa.Table:
-        key, doc, tag, start, role = (table.column(c).to_numpy() for c in ("key", "doc_id", "tag", "first", "role"))
+        group, doc, tag, start, role = (table.column(c).to_numpy() for c in ("group", "doc_id", "tag", "first", "role"))
         parts = [np.frombuffer(b, np.uint32) for b in table.column("shingles").to_pylist()]
-        done = [np.zeros(len(p), bool) for p in parts]
-        known: dict[int, tuple[list[int], dict[int, int]]] = {}  # of windows that were verified: shingles, and where each is
-
-        def near(i: int, j: int, shared: list[int]) -> list[tuple[int, int]]:
-            for k in (i, j):
-                if k not in known:
-                    values = parts[k].tolist()
-                    known[k] = values, dict(zip(values, range(len(values))))
-            (mine, mine_at), (theirs, at) = known[i], known[j]
-            if len(mine) > len(mine_at) or len(theirs) > len(at):  # a shingle comes twice
-                return near_spans(parts[j], parts[i], least)
-            return spans_by_place(at, mine, shared, least)
-
+        done = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(p)).astype(bool) for b, p in zip(table.column("done").to_pylist(), parts)]
+        keys, live_keys = ([np.array(x, np.int64) for x in table.column(c).to_pylist()] for c in ("keys", "live_keys"))
+        once = hold_once(parts)
         rows, places, origins = [], [], []
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
+        order = np.lexsort((tag, doc, group))
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
         for members in np.split(order, cuts):
-            known.clear()
             later, earlier = (members[role[members] & bit > 0] for bit in (MINE, THEIRS))
+            later = later[[len(live_keys[i]) > 0 and not done[i].all() for i in later]] if len(later) else later
             if not len(later) or not len(earlier):
                 continue
             both = in_several([parts[i] for i in members], doc[members])
-            step = max(1, TABLE_BYTES // max(1, len(both)))
+            met = np.unique(np.concatenate([live_keys[i] for i in later]))
+            step = max(1, TABLE_BYTES // max(1, 5 * len(both) + len(met)))
             for b in range(0, len(earlier) if len(both) else 0, step):
                 theirs = earlier[b : b + step]
-                held = membership([parts[i] for i in theirs], both)
+                where = places_table([parts[i] for i in theirs], both)
+                held, with_key = (where > 0).view(np.uint8), membership([keys[i] for i in theirs], met)
                 for a in range(0, len(later), 256):
                     mine = later[a : a + 256]
                     counts = common_counts(membership([parts[i] for i in mine], both), held)
                     may = ((100 + PERCENT) * counts >= 2 * PERCENT * least) & (doc[theirs] < doc[mine][:, None])
+                    may &= common_counts(membership([live_keys[i] for i in mine], met), with_key) > 0
                     for r in np.flatnonzero(may.any(1)):
                         i, ok = mine[r], np.flatnonzero(may[r])
                         at = np.minimum(np.searchsorted(both, parts[i]), len(both) - 1)
                         common = both[at] == parts[i]
-                        shared = lambda which, ok=ok, at=at, common=common, held=held: held[np.ix_(ok[which], at)] * common
-                        spans = lambda k, places, i=i, ok=ok, theirs=theirs: near(int(i), int(theirs[ok[k]]), places)
-                        for p, q, k in open_passages(parts[i], spans, shared, counts[r, ok], least, done[i], common):
+                        theirs_of = lambda which, ok=ok, at=at, common=common, where=where: where[np.ix_(ok[which], at)] * common
+                        spans = lambda k, i=i, ok=ok, theirs=theirs: near_spans(parts[theirs[ok[k]]], parts[i], least)
+                        for p, q, k in open_passages(parts[i], spans, theirs_of, once[i], once[theirs[ok]], counts[r, ok], least, done[i]):
                             rows.append(i)
                             places.append([p + int(start[i]), q - p - least + 1])
                             origins.append(doc[theirs[ok[k]]])
@@ -733,39 +782,38 @@ def _block_rows(min_words: int):
     return run
 
 
-def _block_passages(many: DataFrame, texts: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
-    """Near-duplicate passages of the live windows of large joint keys with all windows of their key.
+def _block_passages(ranges: DataFrame, marks: DataFrame, texts: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
+    """Near-duplicate passages, beyond the marks, of texts with earlier ones that share a live key.
 
-    Keys that fit one block share groups with others; those of more are dealt to
-    pairs of blocks: a window goes to its block of all windows once for each block
-    of live ones, and a live window to its block of those once for each block of all.
+    Groups that fit one block share tasks with others; those of more are dealt to
+    pairs of blocks: a range goes to its block of all ranges once for each block
+    of live ones, and a live one to its block of those once for each block of all.
     """
+    live = F.size("live_keys") > 0
     size = (F.col("after") - F.col("first")) * 4
-    sizes = many.groupBy("key").agg(F.sum(size).alias("bytes"), F.sum(F.when(F.col("live"), size)).alias("live_bytes")).where("live_bytes > 0")
+    sizes = ranges.groupBy("group").agg(F.sum(size).alias("bytes"), F.sum(F.when(live, size)).alias("live_bytes")).where("live_bytes > 0")
     sizes = scratch.save(sizes)
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     blocks = {n: F.ceil(F.col(c) / BLOCK_BYTES).cast("int") for n, c in (("all", "bytes"), ("open", "live_bytes"))}
-    sizes = sizes.select("key", *(c.alias(n) for n, c in blocks.items()))
+    sizes = sizes.select("group", *(c.alias(n) for n, c in blocks.items()))
 
     def block(low: Column | int, high: Column | int, role: Column | int) -> Column:
         as_column = lambda x, kind: (F.lit(x) if isinstance(x, int) else x).cast(kind)
         return F.struct(as_column(low, "long").alias("low"), as_column(high, "int").alias("high"), as_column(role, "int").alias("role"))
 
-    live = F.col("live")
-    alone = block(F.pmod(F.xxhash64("key"), F.lit(total // BLOCK_BYTES + 1)), -1, F.when(live, MINE + THEIRS).otherwise(THEIRS))
+    alone = block(F.pmod(F.xxhash64("group"), F.lit(total // BLOCK_BYTES + 1)), -1, F.when(live, MINE + THEIRS).otherwise(THEIRS))
     own = {n: F.pmod(F.xxhash64("doc_id", F.lit(n)), F.col(n)) for n in ("all", "open")}
     as_theirs = F.transform(F.sequence(F.lit(0), F.col("open") - 1), lambda j: block(own["all"], j, THEIRS))
     as_mine = F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda i: block(i, own["open"], MINE))
     dealt = F.when(F.col("all") == 1, F.array(alone)).when(live, F.concat(as_theirs, as_mine)).otherwise(as_theirs)
-    windows = many.join(sizes, "key").select("doc_id", "tag", F.struct("key", "first", "after", dealt.alias("blocks")).alias("w"), "all")
-    windows = windows.groupBy("doc_id", "tag").agg(F.collect_list("w").alias("windows"))
-    kinds = "key long, blocks array<struct<low:long,high:int,role:int>>, first int, doc_id long, tag long, shingles binary"
-    parts = texts.join(windows, ["doc_id", "tag"]).mapInArrow(_part_rows(min_words), kinds)
-    parts = parts.select("key", "doc_id", "tag", "first", "shingles", F.explode("blocks").alias("b")).select("*", "b.*").drop("b")
-    group = F.when(F.col("high") >= 0, F.col("key"))  # pairs of blocks of one key; keys of one block by their number
-    found = parts.groupBy(group.alias("group"), "low", "high").applyInArrow(_block_rows(min_words), "doc_id long, tag long, origin long, places array<int>")
-    found = scratch.save(found)
-    return found
+    dealt = ranges.join(sizes, "group").select("doc_id", "tag", F.struct("group", "first", "after", "keys", "live_keys", dealt.alias("blocks")).alias("r"), "all")
+    dealt = dealt.groupBy("doc_id", "tag").agg(F.collect_list("r").alias("ranges")).join(marks.drop("origins"), ["doc_id", "tag"], "left")
+    kinds = "group long, blocks array<struct<low:long,high:int,role:int>>, first int, keys array<long>, live_keys array<long>, doc_id long, tag long, shingles binary, done binary"
+    parts = texts.join(dealt, ["doc_id", "tag"]).mapInArrow(_part_rows(min_words), kinds)
+    parts = parts.withColumn("b", F.explode("blocks")).drop("blocks").select("*", "b.*").drop("b")
+    task = F.when(F.col("high") >= 0, F.col("group"))  # pairs of blocks of one group; groups of one block by their number
+    found = parts.groupBy(task.alias("task"), "low", "high").applyInArrow(_block_rows(min_words), "doc_id long, tag long, origin long, places array<int>")
+    return scratch.save(found)
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -805,11 +853,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     near = scratch.save(_verified(pairs, texts, min_words))
     marks = scratch.save(_merged(found.unionByName(near), min_words))
     scratch.drop(rows, earliest, pairs, near)
-    pairs, many = _other_pairs(shared, marks, scratch, min_words)
+    joint = _open_windows(shared, marks, scratch, min_words)
     scratch.drop(shared)
-    near = scratch.save(_verified(pairs, texts, min_words))
-    if not many.isEmpty():
-        near = near.unionByName(_block_passages(many, texts, scratch, min_words))
+    near = _block_passages(joint, marks, texts, scratch, min_words)
     spans = _merged(_unmerged(marks, min_words).unionByName(near), min_words).withColumn("whole", F.lit(False))
     every = copies.select("doc_id", "tag", _range(F.lit(0), F.col("n_words").cast("int"), min_words), F.col("least").alias("origin"))
     spans = scratch.save(spans.unionByName(_merged(every, min_words).withColumn("whole", F.lit(True))))
