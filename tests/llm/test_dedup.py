@@ -9,6 +9,7 @@ import time
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docpipe.llm import _text as X
@@ -511,3 +512,37 @@ def test_pipeline_odd_rows(spark, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= 0
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_open_ranges(seed):
+    """All that near_spans covers beyond the places that are done, nothing else; the bounds keep all of it."""
+    rng = np.random.default_rng(seed)
+    a = rng.permutation(400)[:260].astype(np.uint32)
+    b = np.concatenate([a[150:240], rng.permutation(50)[:5] + 900, a[10:140]]).astype(np.uint32)
+    b[rng.choice(len(b), 12, replace=False)] = np.arange(12) + 1000
+    done = np.zeros(len(b), bool)
+    done[20 * seed : 20 * seed + 60] = True
+    want = done.copy()
+    for p, q in substrings.near_spans(a, b, 46):
+        want[p:q] = True
+    entries = np.unique(b)
+    row = substrings.places_table([a], entries)[:, np.searchsorted(entries, b)]
+    held = row > 0
+    assert (row[0][held[0]] - 1 == [a.tolist().index(x) for x in b[held[0]]]).all()
+    lone = np.ones(len(b), bool)
+    for reach in (substrings.may_reach(held, 46, row)[0], substrings.may_reach(held, 46, lone=lone)[0]):
+        assert (reach | done)[want].all()
+    substrings.open_ranges(row[0], done, 46)
+    assert want.any() and (done == want).all()
+    assert substrings.open_ranges(row[0], done, 46) == []
+    assert substrings.hold_once([b, np.array([1, 2, 1], np.uint32), b[:0]]).tolist() == [True, False, True]
+
+
+def test_joint_windows_of_keys_of_any_size():
+    """Joint windows are made of a text's windows alone, not of how many others its keys have."""
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("at", pa.int32()), ("live", pa.bool_())]))
+    windows = [{"key": 4, "start": 0, "end": 120 << 32, "at": 30, "live": True}, {"key": 9, "start": 10 << 32, "end": 130 << 32, "at": 60, "live": True}]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([7, 8]), pa.array([windows, windows[:1]], kind)], names=["doc_id", "tag", "windows"])
+    rows = [r for b in substrings._joint_rows(50)([batch]) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["live"], r["first"], r["after"]) for r in rows] == [(1, True, 0, 126)]
