@@ -60,11 +60,14 @@ def read_pages(spark, sf_dir):
 
 @query("SELECT lang || '/' || source || '/' || doc_id || '.json' AS path, lang AS category, source || '/' || doc_id AS product, sha256(text) AS content_hash FROM documents")
 def spec_paths(spark, sf_dir):
-    """Specification files with the category and product of their paths."""
-    path = F.concat_ws("/", "lang", "source", F.concat(F.col("doc_id").cast("string"), F.lit(".json")))
+    """Specification files with the category and product of their paths; rows that make no file, as path or text is null, stay rows."""
+    i = F.col("doc_id").cast("string")
+    path = F.concat("lang", F.lit("/"), "source", F.lit("/"), i, F.lit(".json"))
+    docs = table(spark, sf_dir, "documents").select(path.alias("path"), F.col("lang").alias("category"), F.concat("source", F.lit("/"), i).alias("product"), "text")
     root = place(spark, "specs")
-    sinks.write_files(table(spark, sf_dir, "documents").select(path.alias("path"), "text"), root)
-    return files.read_specs(spark, root).select("path", "category", "product", T.content_hash(F.col("text")).alias("content_hash"))
+    sinks.write_files(docs.where("path is not null and text is not null").select("path", "text"), root)
+    specs = files.read_specs(spark, root).unionByName(docs.where("path is null or text is null"))
+    return specs.select("path", "category", "product", T.content_hash(F.col("text")).alias("content_hash"))
 
 
 @query("SELECT page_id || '.md' AS path, 'missing' AS side FROM pages WHERE page_id % 3 = 1 UNION ALL SELECT 'extra.md', 'unexpected'")

@@ -58,6 +58,16 @@ def test_imports_above_any_text(spark, tmp_path):
     agrees("strip_imports", spark, tmp_path, documents=documents(spark, texts))
 
 
+def test_files_without_a_byte(spark, tmp_path):
+    """Empty files are read like others; rows that make no file stay."""
+    docs = documents(spark, ["a", "", " ", "\n", ""])
+    odd = spark.createDataFrame([(90, None, "en", "src1", 0), (91, "a", None, "src1", 1), (92, "a", "en", None, 1)], docs.schema)
+    agrees("spec_paths", spark, tmp_path / "d", documents=docs.unionByName(odd))
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "" if i % 3 else "<p>") for i in range(20)], "page_id long, url string, html string")
+    for name in ("read_pages", "unmatched_files"):
+        agrees(name, spark, tmp_path / name, pages=pages)
+
+
 def test_entry_names():
     import __spark_entry__ as e
 

@@ -645,3 +645,23 @@ def test_token_count_is_computed_once(spark):
     kept = rows.withColumn("token_count", T.token_count(F.col("text"))).where(should_embed(F.col("token_count"), F.col("doc_path")))
     assert kept.select("doc_path")._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
     assert sorted(r.token_count for r in kept.collect()) == [50, 1600, 1601]
+
+
+def test_empty_files_are_files(spark, tmp_path, monkeypatch):
+    """Both readers list them: an empty page is a page, and a page that became empty has no chunks any more."""
+    (tmp_path / "in/d/_skip").mkdir(parents=True)
+    for name in ("e.md", "d/e.md", "d/_skip/e.md", "d/.e.md", "e.txt"):
+        (tmp_path / "in" / name).write_text("")
+    (tmp_path / "in/a.md").write_text("# A\n" + "word " * 90)
+    for mounted in (True, False):
+        if not mounted:
+            monkeypatch.setattr(files, "_local_folder", lambda *_: None)
+        found = files.read_texts(spark, str(tmp_path / "in"), "*.md").orderBy("path").collect()
+        assert [(r.path, r.text == "", r.size) for r in found] == [("a.md", False, 454), ("d/e.md", True, 0), ("e.md", True, 0)]
+        assert found[2].modified.timestamp() == int(os.path.getmtime(tmp_path / "in/e.md") * 1000) / 1000
+    monkeypatch.undo()
+    run = lambda: pipeline.run(spark, files.read_pages(spark, C.ScanConfig(str(tmp_path / "in"))).select("doc_path", "text"), None, str(tmp_path / "o")).first()
+    assert (run().processed, run().skipped) == (3, 3)
+    (tmp_path / "in/a.md").write_text("")
+    last = run()
+    assert (last.processed, last.skipped, last.deleted, last.chunks) == (1, 2, 0, 0)
