@@ -20,7 +20,7 @@ and its scalars are columns of the root's row (null elsewhere). With `mdx`, inde
 lines are no code. A null text gives no rows, an empty one a root.
 
 `page_trees` gives the same trees as arrays, each in the row of its page. What needs
-one page at a time (`block_texts`, `sections_of`) is a plan over such arrays, so text
+one page at a time (`block_texts`, `block_paths`, `sections_of`) is a plan over such arrays, so text
 is neither shuffled nor sorted; a tree of rows is gathered by page first.
 """
 
@@ -29,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
@@ -171,12 +171,6 @@ def ancestors(tree: DataFrame, key: str) -> DataFrame:
     return below.join(over, held).select(key, "node", "above", "above_kind")
 
 
-def _joined(rows: DataFrame, by: list[str], order: str, between: str) -> DataFrame:
-    """One row a group: its texts in order, joined."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t"))))
-    return rows.groupBy(*by).agg(F.array_join(F.transform(parts, lambda p: p["t"]), between).alias("text"))
-
-
 def _let(value: Column, use) -> Column:
     """use(value), with the value computed once for all its places inside other lambdas."""
     return F.transform(F.array(value), use)[0]
@@ -224,17 +218,28 @@ def block_texts(tree: DataFrame, key: str) -> DataFrame:
 
 
 def block_paths(tree: DataFrame, key: str) -> DataFrame:
-    """(key, seq, path, level, info, words) of every block in order: the kinds from the root down to it, and the words of a leaf."""
-    tree = settled(tree.where("node = leaf or value is not null").repartition(F.col(key)))  # read once, and one shuffle serves all that follows
-    blocks = tree.where("node = leaf")  # nothing but blocks lies above a block
-    block = blocks.select(key, "node", "kind", "level", "info", F.when(~F.col("kind").isin("list", "definition"), F.col("value")).alias("value"))
-    kinds = F.array_sort(F.collect_list(F.struct("above", "above_kind")))
-    above = ancestors(blocks, key).groupBy(key, "node").agg(F.transform(kinds, lambda k: k["above_kind"]).alias("above"))
-    words = _joined(tree.where("node <> leaf and value is not null").select(key, F.col("leaf").alias("at"), "node", F.col("value").alias("text")), [key, "at"], "node", "")
-    rows = block.join(above, [key, "node"], "left").join(words.withColumnRenamed("at", "node"), [key, "node"], "left")
-    path = F.array_join(F.array_append(F.coalesce("above", F.array().cast("array<string>")), F.col("kind")), " > ")
-    seq = F.row_number().over(Window.partitionBy(key).orderBy("node"))
-    return rows.select(key, seq.alias("seq"), path.alias("path"), "level", F.nullif("info", F.lit("")).alias("info"), F.coalesce("text", "value").alias("words"))
+    """(key, seq, path, level, info, words) of every block in order: the kinds from the root down to it, and the words of a leaf.
+
+    tree: as of block_texts; arrays stay in the rows of their pages, rows are made once.
+    """
+    nested = _nested(tree, key)
+    if "tree" not in tree.columns:
+        nested = settled(nested)
+    at = lambda i: F.get("tree", i)
+
+    def path(n: Column) -> Column:  # up from parent to parent
+        step = lambda s, _: F.struct(at(s["up"])["parent"].alias("up"), F.concat(at(s["up"])["kind"], F.lit(" > "), s["path"]).alias("path"))
+        return F.aggregate(F.array_repeat(F.lit(0), n["depth"]), F.struct(n["parent"].alias("up"), n["kind"].alias("path")), step, lambda s: s["path"])
+
+    def words(n: Column) -> Column:  # below a block with inline text there are spans alone
+        spans = F.filter(F.slice("tree", n["node"] + 2, n["last"] - n["node"]), lambda x: x["value"].isNotNull())
+        text = _let(spans, lambda found: F.when(F.size(found) > 0, F.array_join(F.transform(found, lambda x: x["value"]), "")))
+        return F.when(n["kind"].isin(*INLINE_BLOCKS), text).when(~n["kind"].isin("list", "definition"), n["value"])
+
+    def block(n: Column, i: Column) -> Column:
+        return F.struct((i + 1).alias("seq"), path(n).alias("path"), n["level"].alias("level"), F.nullif(n["info"], F.lit("")).alias("info"), words(n).alias("words"))
+
+    return nested.select(key, F.inline(F.transform(F.filter("tree", lambda n: n["node"] == n["leaf"]), block)))
 
 
 def sections_of(tree: DataFrame, key: str) -> DataFrame:

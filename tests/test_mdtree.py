@@ -223,3 +223,23 @@ def test_plans_over_trees_move_no_text(spark, capsys):
     for i, body in enumerate(bodies):
         got = mdtree.sections_of(nested, "doc_path").where(F.col("doc_path") == i).orderBy("seq").select(*columns).collect()
         assert [tuple(r) for r in got] == [tuple(s[c] for c in columns) for s in S.sections(body or "")]
+
+
+def test_block_paths_move_no_text(spark, pages, capsys):
+    """Paths and words of page_trees: those of the trees as rows and of the block reader, without a shuffle or a sort."""
+    found = mdtree.block_paths(mdtree.page_trees(pages), "doc_path")
+    found.explain()
+    shown = capsys.readouterr().out
+    assert shown.count("Exchange") == 1 and "Sort" not in shown and "Join" not in shown  # the one of the pages themselves
+    got = sorted(map(tuple, found.collect()), key=lambda r: r[:2])
+    assert got == sorted(map(tuple, mdtree.block_paths(mdtree.syntax_tree(pages), "doc_path").collect()), key=lambda r: r[:2])
+    want = []
+    for r in pages.where("body is not null").collect():
+        nodes, paths = blocks(r.body), []
+        targets = S.targets_of(nodes)
+        for i, n in enumerate(nodes):
+            paths.append(f"{paths[n.parent]} > {n.kind}" if n.parent >= 0 else n.kind)
+            text = lambda spans: "".join(s.value + text(s.children) for s in spans)
+            words = text(inlines(n.text or "", targets)) or None if n.kind in mdtree.INLINE_BLOCKS else None if n.kind in ("list", "definition") else n.text
+            want.append((r.doc_path, i + 1, paths[i], n.level, n.info or None, words))
+    assert len(want) > 1000 and got == sorted(want, key=lambda r: r[:2])
