@@ -205,9 +205,12 @@ def rag_metadata(c: Column) -> Column:
         F.filter(lines, lambda s: s.rlike(pattern)),
         lambda s: F.struct(F.regexp_extract(s, pattern, 1).alias("key"), trim_ws(F.regexp_extract(s, pattern, 2)).alias("value")),
     )
-    keys = F.transform(pairs, lambda p: p["key"])
-    last = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["key"]) == F.size(keys) - i)
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+
+    def last(found: Column) -> Column:
+        keys = F.reverse(F.transform(found, lambda p: p["key"]))
+        return let(keys, lambda ks: F.filter(found, lambda p, i: F.array_position(ks, p["key"]) == F.size(ks) - i))
+
+    return F.coalesce(F.map_from_entries(let(pairs, last)), F.create_map().cast("map<string,string>"))
 
 
 def is_forced(path: Column) -> Column:

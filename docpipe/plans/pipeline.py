@@ -35,14 +35,11 @@ def page_bodies(pages: DataFrame, normalize: bool = True) -> DataFrame:
 
 def clean_chunks(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(chunk rows with clean content, the pages that fail) of pages with chunks; one blank chunk fails its page."""
-    clean = F.transform("chunks", lambda c: c.withField("content", T.clean_content(c["content"])))
-    blank = lambda c: T.trim_ws(c["content"]) == ""
-    # Cleaned once, inside the generator, and judged there: a filter would be pushed below and clean again.
-    good = T.let(clean, lambda cs: F.when(~F.exists(cs, blank), cs))
-    failed = T.let(clean, lambda cs: F.when(F.exists(cs, blank), F.array(F.lit(True))))
-    rows = pages.select(*(c for c in pages.columns if c != "chunks"), F.explode(good).alias("__c"))
+    # Cleaning leaves something of any text that is not blank, so chunks are judged as they come, and cleaned only where their content is used.
+    blank = F.exists("chunks", lambda c: T.trim_ws(c["content"]) == "")
+    rows = pages.select(*(c for c in pages.columns if c != "chunks"), F.explode(F.when(~blank, F.col("chunks"))).alias("__c"))
     rows = rows.select("*", "__c.*").drop("__c")
-    return rows, pages.select("doc_path", F.explode(failed)).select("doc_path")
+    return rows.withColumn("content", T.clean_content(F.col("content"))), pages.where(blank).select("doc_path")
 
 
 def enrich(rows: DataFrame, git: dict[str, str], base_url: str, count: Count | None = None) -> DataFrame:

@@ -4,9 +4,11 @@ import json
 import random
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docpipe.functions import text as T
 from docpipe.operators import apispec as A
 from docpipe.plans import fixtures
 
@@ -122,3 +124,26 @@ def test_names_are_in_the_order_of_the_collation(spark):
         got = [key(p.name) for p in rows[path, "/p"].body_properties]
         assert got == want
     assert A.spec_files(df).where("error is not null").count() == 1
+
+
+def test_names_that_are_sorted():
+    """Keys of objects that hold names, and all keys if such an object stands behind a reference; schemas that nothing leads to are not resolved."""
+    plain = {"paths": {"/b": {"get": {"responses": {"200": {"headers": {"H": {"schema": {"type": "x"}}}}}}}}, "components": {"schemas": {"S": {"properties": {"q": {"name": "n"}}}}}, "title": "no"}
+    found = {"": None}
+    assert A._names_in(plain, found) and list(found) == ["", "/b", "200", "H", "q", "n"]
+    behind = {"paths": {"/b": {"get": {"responses": {"200": {"content": {"application/json": {"schema": {"properties": {"$ref": "#/x"}}}}}}}}}, "x": {"z": {}, "Y": {}}}
+    text = A.names_of.func(pa.array([json.dumps(behind), None, "{", "3"])).to_pylist()
+    assert {"z", "Y", "/b"} <= set(text[0]) and text[1:] == [[], [], [""]]
+    order = A.ranked(sorted(text[0], key=str.lower))
+    assert [p["name"] for p in A.parse_spec(behind, order)["endpoints"][0]["responses"][0]["properties"]] == ["Y", "z"]
+    loose = {"a": [{"$ref": "#/paths"}] * 3, "paths": {"/a": {"get": {}}}, "components": {"schemas": {"S": 1}, "securitySchemes": {"k": {"$ref": "#/k"}}}, "k": {"type": "t"}}
+    assert A.Resolver(loose).document() == {"paths": {"/a": {"get": {}}}, "components": {"securitySchemes": {"k": {"type": "t"}}}}
+
+
+def test_footer_is_read_once(spark):
+    """The last of a key holds, and the lines of the list are not read again for each pair."""
+    page = "# T\n\n## RAG Metadata\n- a: 1\n- b: 2\n- a: 3 \n- B: no\n"
+    df = spark.createDataFrame([(page,), ("none",), (None,)], "t string")
+    found = df.select(T.rag_metadata(F.col("t")).alias("m"))
+    assert [r.m for r in found.collect()] == [{"a": "3", "b": "2"}, {}, {}]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

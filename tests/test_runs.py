@@ -665,3 +665,20 @@ def test_empty_files_are_files(spark, tmp_path, monkeypatch):
     (tmp_path / "in/a.md").write_text("")
     last = run()
     assert (last.processed, last.skipped, last.deleted, last.chunks) == (1, 2, 0, 0)
+
+
+def test_chunks_are_judged_before_they_are_cleaned(spark, capsys):
+    """What cleaning leaves is blank only of blank texts; a plan without content does not clean."""
+    from docpipe.functions import text as T
+
+    texts = ["", " ", "\n\n", " ﻿\n\n ", "a", ".", " . \n\n.", "```\n```", "\n\n``````", "__CODE_BLOCK_0__", "a.\n\na.\n\nA.", "\u0085", "\x1f", "!?.", "``` ", " x"]
+    chunk = lambda i, t: (i, "s", ["s"], t, 1)
+    rows = [(str(i), [chunk(0, "x"), chunk(1, t)]) for i, t in enumerate(texts)]
+    pages = spark.createDataFrame(rows, "doc_path string, chunks array<struct<chunk_seq:int,section:string,section_path:array<string>,content:string,token_count:int>>")
+    good, failed = pipeline.clean_chunks(pages)
+    clean = [r[0] for r in spark.createDataFrame(list(enumerate(texts)), "i long, t string").coalesce(1).select(T.clean_content(F.col("t"))).collect()]
+    bad = {str(i) for i, t in enumerate(clean) if not t.strip(" \n ﻿")}
+    assert bad == {"0", "1", "2", "3"} == {r.doc_path for r in failed.collect()}
+    assert {(r.doc_path, r.content) for r in good.where("chunk_seq = 1").collect()} == {(str(i), t) for i, t in enumerate(clean) if str(i) not in bad}
+    good.select("doc_path", "chunk_seq").explain()
+    assert "CODE_BLOCK" not in capsys.readouterr().out
